@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,10 +59,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def load_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The parquet tables of one data folder by name; nothing is read until used."""
-    return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in TABLES}
+class Tables(Mapping):
+    """Tables by name, each opened when first asked for."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = dict(makers)
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._makers[name]()
+        return self._opened[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def load_tables(spark: SparkSession, folder: str) -> Tables:
+    """The parquet tables of one data folder by name."""
+    return Tables({name: (lambda name=name: load_table(spark, folder, name)) for name in TABLES})
