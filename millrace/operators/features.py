@@ -2,7 +2,7 @@
 
 A feature names the facts it needs about the table (a minimum, a percentile, the categories of a column)
 and makes its columns from them. ``fit`` gathers the facts of all features together: one aggregation
-for every plain statistic, one distributed pass for every percentile, one for every quantile bin.
+for every plain statistic and one distributed pass for all percentiles and quantile bins.
 ``Fitted.transform`` is then a projection, so no row is shuffled for scaling, binning or encoding, and
 the same facts can be applied to new rows.
 """
@@ -81,19 +81,16 @@ def _gather(df: DataFrame, features: Mapping[str, Feature], key: Sequence[str])
         ]).first()
         facts.update(zip(plain, row))
     shares: dict[str, list[float]] = {}
+    tiles: dict[str, list[int]] = {}
     for n in needs:
         if n.kind == "percentile":
             shares.setdefault(n.column, []).append(n.detail)
-    if shares:
-        found = ordering.percentiles(df, shares)
-        facts.update({Need("percentile", c, p): v for c, by in found.items() for p, v in by.items()})
-    # One pass takes one number of tiles per column; other numbers take another pass.
-    tiles = [n for n in needs if n.kind == "tiles"]
-    while tiles:
-        batch = list({n.column: n for n in tiles}.values())
-        borders = ordering.ntile_borders(df, {n.column: n.detail for n in batch}, key)
-        facts.update({n: (borders[n.column], tuple(key)) for n in batch})
-        tiles = [n for n in tiles if n not in batch]
+        elif n.kind == "tiles":
+            tiles.setdefault(n.column, []).append(n.detail)
+    if shares or tiles:
+        found, borders = ordering.column_ranks(df, shares, tiles, key)
+        facts.update({Need("percentile", c, p): v for (c, p), v in found.items()})
+        facts.update({Need("tiles", c, k): (rows, tuple(key)) for (c, k), rows in borders.items()})
     for n in needs:
         if n.kind == "mode":
             facts[n] = most_frequent(df, n.column)

@@ -84,46 +84,46 @@ def dense_codes(df: DataFrame, column: str, output: str = "code") -> DataFrame:
     return row_numbers(flagged, ["_is_null", column], output).drop("_is_null")
 
 
-Ranks = Callable[[int], Iterable[int]]
+# Wanted 0-based ranks, given the number of rows of a series and of those with a value.
+Ranks = Callable[[int, int], Iterable[int]]
+# Rank -> (values of the row, how many rows lie before the first row equal to it).
+Found = dict[int, tuple[tuple, int]]
 
 
 def order_statistics(
-    df: DataFrame, order: Sequence[str], ranks: dict[str, Ranks], series: str
-) -> dict[str, tuple[int, dict[int, tuple[tuple, int]]]]:
-    """Exact rows at given 0-based ranks of several series in one pass.
-
-    ``df`` holds one row per observation: the series name and the ``order`` columns. Equal rows are
-    counted first (a map-side combine), so a value that fills a third of the table is one row when the
-    sort begins. ``ranks[s](n)`` names the wanted ranks of series ``s`` given its size. The result maps
-    each series to (size, {rank: (values, how many rows lie before the first equal one)}). What
-    reaches the driver is one number per range partition and one row per wanted rank.
+    df: DataFrame, order: Sequence[str], ranks: dict[str, Ranks], series: str, missing: str | None = None
+) -> dict[str, tuple[int, int, Found]]:
+    """Exact rows at given ranks of several series in one pass: {series: (rows, rows with a value, found)}.
+
+    ``df`` holds one row per observation: the series name and the ``order`` columns, among them a
+    ``missing`` flag if some observations have no value. Equal rows are counted first (a map-side
+    combine), so a value that fills a third of the table is one row when the sort begins. What reaches
+    the driver is one number per range partition and one row per wanted rank.
     """
     counted = df.groupBy(series, *order).agg(F.count(F.lit(1)).alias(_N))
     ranged = _ranged(counted, [series, *order])
+    present = F.sum(F.when(F.col(missing), 0).otherwise(F.col(_N))) if missing else F.sum(_N)
     starts: dict[str, list[tuple[int, int]]] = {}
-    totals: dict[str, int] = {}
-    sizes = ranged.groupBy(series, _PID).agg(F.sum(_N).alias(_N)).collect()
+    totals: dict[str, int] = dict.fromkeys(ranks, 0)
+    with_value: dict[str, int] = dict.fromkeys(ranks, 0)
+    sizes = ranged.groupBy(series, _PID).agg(F.sum(_N).alias(_N), present.alias("_present")).collect()
     for row in sorted(sizes, key=lambda r: (r[series], r[_PID])):
         name = row[series]
-        starts.setdefault(name, []).append((totals.get(name, 0), row[_PID]))
-        totals[name] = totals.get(name, 0) + row[_N]
+        starts.setdefault(name, []).append((totals[name], row[_PID]))
+        totals[name] += row[_N]
+        with_value[name] += row["_present"]
     wanted = []
     for name, pids in starts.items():
         offsets = [offset for offset, _ in pids]
-        for rank in sorted(set(ranks[name](totals[name]))):
+        for rank in sorted(set(ranks[name](totals[name], with_value[name]))):
             offset, pid = pids[bisect_right(offsets, rank) - 1]
             wanted.append((name, pid, offset, rank))
-    result: dict[str, tuple[int, dict[int, tuple[tuple, int]]]] = {
-        name: (totals.get(name, 0), {}) for name in ranks
-    }
+    result: dict[str, tuple[int, int, Found]] = {n: (totals[n], with_value[n], {}) for n in ranks}
     if not wanted:
         return result
-    spark = df.sparkSession
-    requests = spark.createDataFrame(wanted, f"{series} string, {_PID} int, _offset long, _rank long")
+    requests = df.sparkSession.createDataFrame(wanted, f"{series} string, {_PID} int, _offset long, _rank long")
     needed = sorted({pid for _, pid, _, _ in wanted})
-    inside = (
-        Window.partitionBy(series, _PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+    inside = Window.partitionBy(series, _PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     hits = (
         ranged.where(F.col(_PID).isin(needed))
         .withColumn("_upto", F.sum(_N).over(inside))
@@ -134,115 +134,111 @@ def order_statistics(
         .collect()
     )
     for row in hits:
-        result[row[series]][1][row["_rank"]] = (tuple(row[c] for c in order), row["_before"])
+        result[row[series]][2][row["_rank"]] = (tuple(row[c] for c in order), row["_before"])
     return result
 
 
-def _melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(series, value) rows of several numeric columns; NULLs carry no rank and are dropped."""
-    doubles = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
-    return doubles.unpivot([], list(columns), "series", "value").where(F.col("value").isNotNull())
-
-
-def percentiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[str, dict[float, float | None]]:
-    """Exact ``percentile_cont`` of several columns in one pass over the data.
-
-    The built-in exact percentile holds every distinct value of the table in one task; here the values
-    stay spread over range partitions and only the two neighbours of each percentile are fetched.
-    """
-    for column, shares in wanted.items():
-        if any(not 0 <= p <= 1 for p in shares):
-            raise ValueError(f"percentiles of {column} must lie between 0 and 1")
-
-    def neighbours(shares: Sequence[float]) -> Ranks:
-        return lambda n: {r for p in shares for r in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))}
-
-    found = order_statistics(
-        _melt(df, list(wanted)), ["value"], {c: neighbours(p) for c, p in wanted.items()}, "series"
-    )
-    result: dict[str, dict[float, float | None]] = {}
-    for column, shares in wanted.items():
-        n, rows = found[column]
-        result[column] = {}
-        for p in shares:
-            if n == 0:
-                result[column][p] = None
-                continue
-            position = p * (n - 1)
-            low = rows[int(position)][0][0]
-            high = rows[min(int(position) + 1, n - 1)][0][0]
-            result[column][p] = low + (high - low) * (position - int(position))
-    return result
+def _double(column: str) -> Column:
+    """The column as a double with one zero, so that -0.0 and 0.0 are the same value."""
+    return F.col(column).cast("double") + F.lit(0.0)
 
 
 def tile_starts(n: int, k: int) -> list[int]:
     """0-based rank at which tiles 2..k begin; tiles beyond the row count do not begin."""
     small, big = divmod(n, k)
-    sizes = [small + 1 if i < big else small for i in range(k)]
-    starts, at = [], 0
-    for size in sizes[:-1]:
-        at += size
-        starts.append(at)
+    starts = [i * small + min(i, big) for i in range(1, k)]
     return [s for s in starts if s < n]
 
 
-def ntile_borders(
-    df: DataFrame, wanted: dict[str, int], key: Sequence[str]
-) -> dict[str, list[tuple[float | None, tuple | None]]]:
-    """Where each NTILE of each column begins: (value, first key of the tile when ties straddle it).
+# Value at which a tile begins, and the first key of the tile when rows with that value straddle it.
+Border = tuple[float | None, tuple | None]
+
+
+def column_ranks(
+    df: DataFrame, shares: dict[str, Sequence[float]], tiles: dict[str, Sequence[int]], key: Sequence[str] = ()
+) -> tuple[dict[tuple[str, float], float | None], dict[tuple[str, int], list[Border]]]:
+    """Exact percentiles and NTILE borders of numeric columns, all from one pass over the table.
 
-    With the borders known, the tile of a row is a comparison, so the wide table is never sorted or
-    shuffled. Ties are split by ``key``, which has to be unique; only rows whose value straddles a
-    border (at most k - 1 values per column) take part in the second pass. NULLs sort last.
+    Percentiles are ``percentile_cont`` over the values; the built-in exact one holds every distinct
+    value of the table in one task. With the borders of a tile known, the tile of a row is a comparison,
+    so the wide table is never sorted or shuffled. NULLs sort last. Rows with equal values are split by
+    the unique ``key``; only rows whose value straddles a border (at most k - 1 values per column) take
+    part in the second pass.
     """
-    values = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in wanted])
+    for column, wanted in shares.items():
+        if any(not 0 <= p <= 1 for p in wanted):
+            raise ValueError(f"percentiles of {column} must lie between 0 and 1")
+    columns = list(dict.fromkeys([*shares, *tiles]))
+
+    def ranks_of(column: str) -> Ranks:
+        def ranks(n: int, present: int) -> set[int]:
+            low = [int(p * (present - 1)) for p in shares.get(column, ()) if present]
+            high = [min(r + 1, present - 1) for r in low]
+            return {*low, *high, *(s for k in tiles.get(column, ()) for s in tile_starts(n, k))}
+
+        return ranks
+
+    values = df.select(*[_double(c).alias(c) for c in columns]).unpivot([], columns, "series", "value")
     first = order_statistics(
-        values.unpivot([], list(wanted), "series", "value").withColumn("missing", F.col("value").isNull()),
-        ["missing", "value"],
-        {c: (lambda n, k=k: tile_starts(n, k)) for c, k in wanted.items()},
-        "series",
+        values.withColumn("missing", F.col("value").isNull()), ["missing", "value"],
+        {c: ranks_of(c) for c in columns}, "series", "missing",
     )
-    borders: dict[str, list] = {}
-    inner: dict[str, list[int]] = {}
-    series_of: dict[tuple[str, float | None], str] = {}
-    for column, (_, rows) in first.items():
-        borders[column] = []
-        for rank in sorted(rows):
-            (_, value), before = rows[rank]
-            borders[column].append([value, None, rank - before])
-            if rank > before:
-                name = series_of.setdefault((column, value), f"{column}:{len(series_of)}")
-                inner.setdefault(name, []).append(rank - before)
-    if inner:
-        x = {c: F.col(c).cast("double") + F.lit(0.0) for c in wanted}
+    percentiles: dict[tuple[str, float], float | None] = {}
+    for column, wanted in shares.items():
+        _, present, found = first[column]
+        for p in wanted:
+            if present == 0:
+                percentiles[column, p] = None
+                continue
+            at = p * (present - 1)
+            low, high = (found[r][0][1] for r in (int(at), min(int(at) + 1, present - 1)))
+            percentiles[column, p] = low + (high - low) * (at - int(at))
+    # Tiles whose start falls inside a run of equal values: find the key at that place in the run.
+    runs: dict[tuple[str, float | None], set[int]] = {}
+    for column, ks in tiles.items():
+        n, _, found = first[column]
+        for start in {s for k in ks for s in tile_starts(n, k)}:
+            (_, value), before = found[start]
+            if start > before:
+                runs.setdefault((column, value), set()).add(start - before)
+    first_keys: dict[tuple[str, float | None], Found] = {}
+    if runs:
+        names = {run: f"run{i}" for i, run in enumerate(runs)}
         tags = [
-            F.when(x[column].eqNullSafe(F.lit(value).cast("double")), F.lit(name))
-            for (column, value), name in series_of.items()
+            F.when(_double(column).eqNullSafe(F.lit(value).cast("double")), F.lit(names[column, value]))
+            for column, value in runs
         ]
         tagged = df.select(F.explode(F.array_compact(F.array(*tags))).alias("series"), *key)
-        second = order_statistics(
-            tagged, list(key), {s: (lambda n, r=r: r) for s, r in inner.items()}, "series"
+        inner = order_statistics(
+            tagged, list(key), {names[run]: (lambda n, present, r=places: r) for run, places in runs.items()}, "series"
         )
-        for column, rows in borders.items():
-            for border in rows:
-                if border[2] > 0:
-                    name = series_of[(column, border[0])]
-                    border[1] = second[name][1][border[2]][0]
-    return {c: [(value, first_key) for value, first_key, _ in rows] for c, rows in borders.items()}
+        first_keys = {run: inner[name][2] for run, name in names.items()}
+    borders: dict[tuple[str, int], list[Border]] = {}
+    for column, ks in tiles.items():
+        n, _, found = first[column]
+        for k in ks:
+            rows = borders[column, k] = []
+            for start in tile_starts(n, k):
+                (_, value), before = found[start]
+                inside_run = first_keys[column, value][start - before][0] if start > before else None
+                rows.append((value, inside_run))
+    return percentiles, borders
+
+
+def percentiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
+    """{(column, share): exact percentile_cont} of several columns in one pass over the table."""
+    return column_ranks(df, wanted, {})[0]
 
 
-def ntile_column(
-    df: DataFrame, column: str, borders: Sequence[tuple[float | None, tuple | None]], key: Sequence[str]
-) -> Column:
+def ntile_column(df: DataFrame, column: str, borders: Sequence[Border], key: Sequence[str]) -> Column:
     """The tile of each row from the borders: 1 + the number of tile starts at or before the row."""
-    x = F.col(column).cast("double") + F.lit(0.0)
+    x = _double(column)
     tile = F.lit(1).cast("long")
     for value, first_key in borders:
         if value is None:
             after, equal = F.lit(False), x.isNull()
         else:
-            after = x.isNull() | (x > F.lit(value))
-            equal = x.eqNullSafe(F.lit(value))
+            after, equal = x.isNull() | (x > F.lit(value)), x.eqNullSafe(F.lit(value))
         if first_key is not None:
             fields = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(key, first_key)]
             equal = equal & (F.struct(*key) >= F.struct(*fields))

@@ -25,7 +25,8 @@ def check_date(date: str) -> str:
 
 
 def stage_sales(
-    spark: SparkSession, raw_dir: str, stg_dir: str, date: str, schema: str = SALES_SCHEMA, format: str = "avro"
+    spark: SparkSession, raw_dir: str, stg_dir: str, date: str, schema: str = SALES_SCHEMA, format: str = "avro",
+    pattern: str = "*.json",
 ) -> None:
     """Stage the pages of one date; staging the date again replaces that date and no other.
 
@@ -36,7 +37,7 @@ def stage_sales(
     date = check_date(date)
     if not raw_dir or not stg_dir:
         raise ValueError("raw_dir and stg_dir are required")
-    pages = read_json_pages(spark, raw_dir, schema)
+    pages = read_json_pages(spark, raw_dir, schema, pattern)
     complete = pages.select(*[
         F.coalesce(c, F.raise_error(F.lit(f"a record has no {c}")).cast(pages.schema[c].dataType)).alias(c)
         for c in pages.columns

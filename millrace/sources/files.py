@@ -45,12 +45,11 @@ def read_seed(
     return read_csv(spark, path, T.StructType(fields), **options)
 
 
-def read_json_pages(spark: SparkSession, folder: str, schema: str | T.StructType = SALES_SCHEMA) -> DataFrame:
-    """Every ``*.json`` file of a folder, each one JSON array of records; a bad record is an error."""
-    return (
-        spark.read.schema(schema)
-        .options(multiLine=True, mode="FAILFAST", pathGlobFilter="*.json").json(folder)
-    )
+def read_json_pages(
+    spark: SparkSession, folder: str, schema: str | T.StructType = SALES_SCHEMA, pattern: str = "*.json"
+) -> DataFrame:
+    """Every page file of a folder, each one JSON array of records; a bad record is an error."""
+    return spark.read.schema(schema).options(multiLine=True, mode="FAILFAST", pathGlobFilter=pattern).json(folder)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
