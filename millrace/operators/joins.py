@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import quoted
+
 BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_KEYS = 100
 
@@ -38,27 +40,28 @@ def lookup(
     rows of the at most ``HOT_KEYS`` most frequent keys and of the NULL key are joined by broadcast, so
     no hot key travels through the shuffle; the rest is an ordinary shuffled join.
     """
-    extra = [c for c in mapping.columns if c not in (key, count)]
-    right = mapping.select(F.col(key).alias("_lookup_key"), *extra)
-    same = F.col(key).eqNullSafe(F.col("_lookup_key"))
+    extra = [F.col(quoted(c)) for c in mapping.columns if c not in (key, count)]
+    key, k = quoted(key), F.col(quoted(key))
+    right = mapping.select(k.alias("_lookup_key"), *extra)
+    same = k.eqNullSafe(F.col("_lookup_key"))
     if estimated_bytes(right) <= max_bytes:
         return df.join(F.broadcast(right), same, "left").drop("_lookup_key")
     order = [F.desc(count)] if count else []
     hot = [
         r[0] for r in
-        mapping.where(F.col(key).isNotNull()).orderBy(*order, key).select(key).limit(HOT_KEYS).collect()
+        mapping.where(k.isNotNull()).orderBy(*order, key).select(key).limit(HOT_KEYS).collect()
     ]
-    is_hot = F.col(key).isNull() | F.col(key).isin(hot)
+    is_hot = k.isNull() | k.isin(hot)
     hot_right = right.where(F.col("_lookup_key").isNull() | F.col("_lookup_key").isin(hot))
     hot_rows = df.where(is_hot).join(F.broadcast(hot_right), same, "left")
-    cold_rows = df.where(~is_hot).join(right, F.col(key) == F.col("_lookup_key"), "left")
+    cold_rows = df.where(~is_hot).join(right, k == F.col("_lookup_key"), "left")
     return hot_rows.unionByName(cold_rows).drop("_lookup_key")
 
 
 def semi(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``keys``; the keys are made distinct before the join."""
     columns = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*columns).distinct(), columns, "left_semi")
+    return df.join(keys.select(*columns).distinct(), columns, "left_semi").select(*map(quoted, df.columns))
 
 
 def anti(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -68,4 +71,4 @@ def anti(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     are made distinct first, so a hot key is one row when it is shuffled.
     """
     columns = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*columns).distinct(), columns, "left_anti")
+    return df.join(keys.select(*columns).distinct(), columns, "left_anti").select(*map(quoted, df.columns))
