@@ -91,16 +91,21 @@ Found = dict[int, tuple[tuple, int]]
 
 
 def order_statistics(
-    df: DataFrame, order: Sequence[str], ranks: dict[str, Ranks], series: str, missing: str | None = None
+    df: DataFrame, order: Sequence[str], ranks: dict[str, Ranks], series: str, missing: str | None = None,
+    unique: bool = False,
 ) -> dict[str, tuple[int, int, Found]]:
     """Exact rows at given ranks of several series in one pass: {series: (rows, rows with a value, found)}.
 
     ``df`` holds one row per observation: the series name and the ``order`` columns, among them a
     ``missing`` flag if some observations have no value. Equal rows are counted first (a map-side
-    combine), so a value that fills a third of the table is one row when the sort begins. What reaches
-    the driver is one number per range partition and one row per wanted rank.
+    combine), so a value that fills a third of the table is one row when the sort begins; rows known to
+    be ``unique`` skip that shuffle. What reaches the driver is one number per range partition and one
+    row per wanted rank.
     """
-    counted = df.groupBy(series, *order).agg(F.count(F.lit(1)).alias(_N))
+    if unique:
+        counted = df.select(series, *order, F.lit(1).cast("long").alias(_N))
+    else:
+        counted = df.groupBy(series, *order).agg(F.count(F.lit(1)).alias(_N))
     ranged = _ranged(counted, [series, *order])
     present = F.sum(F.when(F.col(missing), 0).otherwise(F.col(_N))) if missing else F.sum(_N)
     starts: dict[str, list[tuple[int, int]]] = {}
@@ -210,7 +215,8 @@ def column_ranks(
         ]
         tagged = df.select(F.explode(F.array_compact(F.array(*tags))).alias("series"), *key)
         inner = order_statistics(
-            tagged, list(key), {names[run]: (lambda n, present, r=places: r) for run, places in runs.items()}, "series"
+            tagged, list(key), {names[run]: (lambda n, present, r=places: r) for run, places in runs.items()},
+            "series", unique=True,
         )
         first_keys = {run: inner[name][2] for run, name in names.items()}
     borders: dict[tuple[str, int], list[Border]] = {}

@@ -32,8 +32,13 @@ WITH lines AS (SELECT {', '.join(LINE_KEY)}, {', '.join(f'{c} + 0.0 AS {c}' for
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six places: two engines add in different orders."""
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """Doubles to six places, since two engines add in different orders; ``six[...]`` is the same in SQL."""
+    six = lambda c: F.rint(F.col(c) * 1e6) / 1e6 + 0.0
+    return df.select(*[six(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def expanded(sql: str) -> str:
+    return sql.replace("six[", "(round_even((").replace("]", ") * 1e6::DOUBLE, 0) / 1e6::DOUBLE + 0.0::DOUBLE)")
 
 
 def _on_lines(made: dict[str, ft.Feature], sql: str):
@@ -41,7 +46,7 @@ def _on_lines(made: dict[str, ft.Feature], sql: str):
         keep = ["l_orderkey", "l_linenumber"]
         return rounded(ft.fit_transform(lines(spark, folder), made, LINE_KEY, keep))
 
-    return run, f"{LINES_SQL} SELECT l_orderkey, l_linenumber, {sql} FROM lines"
+    return run, expanded(f"{LINES_SQL} SELECT l_orderkey, l_linenumber, {sql} FROM lines")
 
 
 def _scalar(expression: str) -> str:
@@ -54,7 +59,7 @@ def _percentile(column: str, p: float) -> str:
 
 def robust_sql(c: str, iqr: float = 0.5) -> str:
     low, mid, high = (_percentile(c, p) for p in (0.5 - iqr / 2, 0.5, 0.5 + iqr / 2))
-    return f"round(({c} - {mid}) / nullif({high} - {low}, 0), 6)"
+    return f"six[({c} - {mid}) / nullif({high} - {low}, 0)]"
 
 
 def uniform_sql(c: str, k: int) -> str:
@@ -68,25 +73,25 @@ def tile_sql(c: str, k: int) -> str:
 
 def min_max_sql(c: str, low: float = 0, high: float = 1) -> str:
     least, most = _scalar(f"min({c})"), _scalar(f"max({c})")
-    return f"round(({c} - {least}) / ({most} - {least}) * ({high} - {low}) + {low}, 6)"
+    return f"six[({c} - {least}) / ({most} - {least}) * ({high} - {low}) + {low}]"
 
 
 def log_sql(c: str, offset: float = 0) -> str:
-    return f"CASE WHEN {c} + {offset} > 0 THEN round(ln({c} + {offset}) / ln(10::DOUBLE), 6) END"
+    return f"CASE WHEN {c} + {offset} > 0 THEN six[ln({c} + {offset}) / ln(10::DOUBLE)] END"
 
 
 def standard_sql(c: str, mean: float = 0, spread: float = 1) -> str:
-    return f"round(({c} - {_scalar(f'avg({c})')}) / {_scalar(f'stddev_samp({c})')} * {spread} + {mean}, 6)"
+    return f"six[({c} - {_scalar(f'avg({c})')}) / {_scalar(f'stddev_samp({c})')} * {spread} + {mean}]"
 
 
 LINE_FEATURES = {
     "feat_exponentiate": (
         {"e": ft.exponentiate("l_tax"), "two": ft.exponentiate("l_quantity", 2)},
-        "round(exp(l_tax), 6) AS e, round(pow(2, l_quantity), 6) AS two"),
+        "six[exp(l_tax)] AS e, six[pow(2, l_quantity)] AS two"),
     "feat_interact": (
         {"product": ft.interact("l_quantity", "l_tax"), "total": ft.interact("l_quantity", "l_tax", "additive"),
          "power": ft.interact("l_quantity", "l_tax", "exponential")},
-        "round(l_quantity * l_tax, 6) AS product, round(l_quantity + l_tax, 6) AS total, round(pow(l_quantity, l_tax), 6) AS power"),
+        "six[l_quantity * l_tax] AS product, six[l_quantity + l_tax] AS total, six[pow(l_quantity, l_tax)] AS power"),
     "feat_k_bins_quantile": (
         {"price_bin": ft.k_bins_discretize("l_extendedprice", 7), "quantity_bin": ft.k_bins_discretize("l_quantity", 10)},
         f"{tile_sql('l_extendedprice', 7)} AS price_bin, {tile_sql('l_quantity', 10)} AS quantity_bin"),
@@ -101,7 +106,7 @@ LINE_FEATURES = {
         f"{log_sql('l_tax')} AS plain, {log_sql('l_tax', 0.01)} AS shifted"),
     "feat_max_absolute_scale": (
         {"scaled": ft.max_absolute_scale("l_extendedprice")},
-        f"round(l_extendedprice / {_scalar('max(abs(l_extendedprice))')}, 6) AS scaled"),
+        f"six[l_extendedprice / {_scalar('max(abs(l_extendedprice))')}] AS scaled"),
     "feat_min_max_scale": (
         {"unit": ft.min_max_scale("l_quantity"), "wide": ft.min_max_scale("l_extendedprice", -1, 3)},
         f"{min_max_sql('l_quantity')} AS unit, {min_max_sql('l_extendedprice', -1, 3)} AS wide"),
@@ -116,7 +121,7 @@ LINE_FEATURES = {
         + ", CASE WHEN l_returnflag IS NULL THEN 1 ELSE 0 END AS is_l_returnflag__"),
     "feat_poly_transform": (
         {"cube": ft.poly_transform("l_quantity", 3), "root": ft.poly_transform("l_extendedprice", 0.5)},
-        "round(pow(l_quantity, 3), 6) AS cube, round(pow(l_extendedprice, 0.5), 6) AS root"),
+        "six[pow(l_quantity, 3)] AS cube, six[pow(l_extendedprice, 0.5)] AS root"),
     "feat_robust_scale": (
         {"price": ft.robust_scale("l_extendedprice"), "quantity": ft.robust_scale("l_quantity", 0.8)},
         f"{robust_sql('l_extendedprice')} AS price, {robust_sql('l_quantity', 0.8)} AS quantity"),
@@ -156,7 +161,7 @@ def _on_parts(made: dict[str, ft.Feature], sql: str):
     def run(spark, folder):
         return rounded(ft.fit_transform(_gappy_parts(spark, folder), made, ["p_partkey"], ["p_partkey"]))
 
-    return run, f"{GAPPY_SQL} SELECT p_partkey, {sql} FROM parts"
+    return run, expanded(f"{GAPPY_SQL} SELECT p_partkey, {sql} FROM parts")
 
 
 PART_FEATURES = {
@@ -169,9 +174,9 @@ PART_FEATURES = {
     "feat_numerical_impute": (
         {"mean": ft.numerical_impute("price"), "median": ft.numerical_impute("price", "median"),
          "low": ft.numerical_impute("price", "percentile", 0.1)},
-        "round(coalesce(price, (SELECT avg(price) FROM parts)), 6) AS mean, "
-        "round(coalesce(price, (SELECT percentile_cont(0.5) WITHIN GROUP (ORDER BY price) FROM parts)), 6) AS median, "
-        "round(coalesce(price, (SELECT percentile_cont(0.1) WITHIN GROUP (ORDER BY price) FROM parts)), 6) AS low"),
+        "six[coalesce(price, (SELECT avg(price) FROM parts))] AS mean, "
+        "six[coalesce(price, (SELECT percentile_cont(0.5) WITHIN GROUP (ORDER BY price) FROM parts))] AS median, "
+        "six[coalesce(price, (SELECT percentile_cont(0.1) WITHIN GROUP (ORDER BY price) FROM parts))] AS low"),
     "feat_rare_category_encode": (
         {"brand": ft.rare_category_encode("p_brand", 0.04)},
         "CASE WHEN count(*) OVER (PARTITION BY p_brand) / (count(*) OVER ())::DOUBLE < 0.04 THEN 'Other' ELSE p_brand END AS brand"),
@@ -208,16 +213,16 @@ def _mart_sql() -> str:
     made = []
     for c in NUMERIC:
         made += [f"{tile_sql(c, 5)} AS {c}_quantile_bin", f"{uniform_sql(c, 5)} AS {c}_uniform_bin",
-                 f"{robust_sql(c)} AS {c}_robust_scaled", f"round({c} / {_scalar(f'max(abs({c}))')}, 6) AS {c}_max_absolute_scaled",
+                 f"{robust_sql(c)} AS {c}_robust_scaled", f"six[{c} / {_scalar(f'max(abs({c}))')}] AS {c}_max_absolute_scaled",
                  f"{min_max_sql(c)} AS {c}_max_min_max_scaled", f"{log_sql(c)} AS {c}_logged",
                  f"CASE WHEN {c} >= {_percentile(c, 0.5)} THEN 1 ELSE 0 END AS {c}_binarized", f"{standard_sql(c)} AS {c}_standardized"]
     for i, a in enumerate(NUMERIC):
         for b in NUMERIC[i + 1:]:
-            made += [f"round({a} * {b}, 6) AS {a}_x_{b}_interaction", f"round({a} + {b}, 6) AS {a}_plus_{b}_interaction"]
+            made += [f"six[{a} * {b}] AS {a}_x_{b}_interaction", f"six[{a} + {b}] AS {a}_plus_{b}_interaction"]
     made.append(f"dense_rank() OVER (ORDER BY {LABEL}) - 1 AS {LABEL}_label_encoded")
     made.append(LINE_FEATURES["feat_one_hot_encode"][1])
-    numeric = ", ".join(f"round({c}, 6) AS {c}" for c in NUMERIC)
-    return f"{LINES_SQL} SELECT {numeric}, {LABEL}, {', '.join(made)} FROM lines"
+    numeric = ", ".join(f"six[{c}] AS {c}" for c in NUMERIC)
+    return expanded(f"{LINES_SQL} SELECT {numeric}, {LABEL}, {', '.join(made)} FROM lines")
 
 
 @query(_mart_sql())
