@@ -151,12 +151,19 @@ def fit(df: DataFrame, features: Mapping[str, Feature], key: Sequence[str] | Non
 def fit_transform(
     df: DataFrame, features: Mapping[str, Feature], key: Sequence[str] | None = None, keep: Sequence[str] | None = None
 ) -> DataFrame:
-    """Fit on a table and transform it. Without a key, rows are numbered and written once for the bins."""
+    """Fit on a table and transform it.
+
+    Quantile bins split ties by ``key``. Without a key, or when a bin would begin between rows that the
+    key does not tell apart, the rows are numbered and written once.
+    """
     kept = list(df.columns if keep is None else keep)
-    if key is None and any(n.kind == "tiles" for f in features.values() for n in f.needs):
-        df = cut_lineage(df.withColumn(ROW_KEY, F.monotonically_increasing_id()))
-        key = [ROW_KEY]
-    return fit(df, features, key).transform(df, kept)
+    if key is not None or not any(n.kind == "tiles" for f in features.values() for n in f.needs):
+        try:
+            return fit(df, features, key).transform(df, kept)
+        except ordering.DuplicateKey:
+            pass
+    numbered = cut_lineage(df.withColumn(ROW_KEY, F.monotonically_increasing_id()))
+    return fit(numbered, features, [*(key or ()), ROW_KEY]).transform(numbered, kept)
 
 
 def _fact_column(need: Need) -> str:

@@ -11,6 +11,8 @@ from millrace.functions.columns import quoted
 
 BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_KEYS = 100
+# Room for one broadcast row besides the text of its key.
+ROW_BYTES = 64
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -32,19 +34,21 @@ def join_small(
 
 
 def lookup(
-    df: DataFrame, mapping: DataFrame, key: str, count: str | None = None, max_bytes: int = BROADCAST_BYTES
+    df: DataFrame, mapping: DataFrame, key: str, count: str | None = None, max_bytes: int = 4 * BROADCAST_BYTES
 ) -> DataFrame:
-    """Left null-safe join with a mapping that has one row per key.
+    """Left null-safe join with a mapping that has one row per key and is already written or cached.
 
-    A mapping too large to broadcast is split by key frequency (``count`` names its frequency column):
-    rows of the at most ``HOT_KEYS`` most frequent keys and of the NULL key are joined by broadcast, so
-    no hot key travels through the shuffle; the rest is an ordinary shuffled join.
+    The mapping is measured before it is broadcast. One that is too large is split by key frequency
+    (``count`` names its frequency column): rows of the at most ``HOT_KEYS`` most frequent keys and of
+    the NULL key are joined by broadcast, so no hot key travels through the shuffle; the rest is an
+    ordinary shuffled join.
     """
     extra = [F.col(quoted(c)) for c in mapping.columns if c not in (key, count)]
     key, k = quoted(key), F.col(quoted(key))
     right = mapping.select(k.alias("_lookup_key"), *extra)
     same = k.eqNullSafe(F.col("_lookup_key"))
-    if estimated_bytes(right) <= max_bytes:
+    width = F.coalesce(F.octet_length(k.cast("string")), F.lit(0)) + ROW_BYTES
+    if (mapping.agg(F.sum(width)).first()[0] or 0) <= max_bytes:
         return df.join(F.broadcast(right), same, "left").drop("_lookup_key")
     order = [F.desc(count)] if count else []
     hot = [

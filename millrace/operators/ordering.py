@@ -86,26 +86,23 @@ def dense_codes(df: DataFrame, column: str, output: str = "code") -> DataFrame:
 
 # Wanted 0-based ranks, given the number of rows of a series and of those with a value.
 Ranks = Callable[[int, int], Iterable[int]]
-# Rank -> (values of the row, how many rows lie before the first row equal to it).
-Found = dict[int, tuple[tuple, int]]
+# Rank -> (values of the row, how many rows lie before the first row equal to it, how many are equal).
+Found = dict[int, tuple[tuple, int, int]]
+# Runs of equal values with fewer rows than this are numbered in one task each.
+SHORT_RUN = 50_000
 
 
 def order_statistics(
-    df: DataFrame, order: Sequence[str], ranks: dict[str, Ranks], series: str, missing: str | None = None,
-    unique: bool = False,
+    df: DataFrame, order: Sequence[str], ranks: dict[str, Ranks], series: str, missing: str | None = None
 ) -> dict[str, tuple[int, int, Found]]:
     """Exact rows at given ranks of several series in one pass: {series: (rows, rows with a value, found)}.
 
     ``df`` holds one row per observation: the series name and the ``order`` columns, among them a
     ``missing`` flag if some observations have no value. Equal rows are counted first (a map-side
-    combine), so a value that fills a third of the table is one row when the sort begins; rows known to
-    be ``unique`` skip that shuffle. What reaches the driver is one number per range partition and one
-    row per wanted rank.
+    combine), so a value that fills a third of the table is one row when the sort begins. What reaches
+    the driver is one number per range partition and one row per wanted rank.
     """
-    if unique:
-        counted = df.select(series, *order, F.lit(1).cast("long").alias(_N))
-    else:
-        counted = df.groupBy(series, *order).agg(F.count(F.lit(1)).alias(_N))
+    counted = df.groupBy(series, *order).agg(F.count(F.lit(1)).alias(_N))
     ranged = _ranged(counted, [series, *order])
     present = F.sum(F.when(F.col(missing), 0).otherwise(F.col(_N))) if missing else F.sum(_N)
     starts: dict[str, list[tuple[int, int]]] = {}
@@ -135,11 +132,11 @@ def order_statistics(
         .join(F.broadcast(requests), [series, _PID])
         .withColumn("_before", F.col("_offset") + F.col("_upto") - F.col(_N))
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col(_N)))
-        .select(series, "_rank", "_before", *order)
+        .select(series, "_rank", "_before", _N, *order)
         .collect()
     )
     for row in hits:
-        result[row[series]][2][row["_rank"]] = (tuple(row[c] for c in order), row["_before"])
+        result[row[series]][2][row["_rank"]] = (tuple(row[c] for c in order), row["_before"], row[_N])
     return result
 
 
@@ -155,7 +152,11 @@ def tile_starts(n: int, k: int) -> list[int]:
     return [s for s in starts if s < n]
 
 
-# Value at which a tile begins, and the first key of the tile when rows with that value straddle it.
+class DuplicateKey(ValueError):
+    """The key given as unique is not."""
+
+
+# Value at which a tile begins, and the first columns of its first key when rows with that value straddle it.
 Border = tuple[float | None, tuple | None]
 
 
@@ -199,38 +200,92 @@ def column_ranks(
             low, high = (found[r][0][1] for r in (int(at), min(int(at) + 1, present - 1)))
             percentiles[column, p] = low + (high - low) * (at - int(at))
     # Tiles whose start falls inside a run of equal values: find the key at that place in the run.
-    runs: dict[tuple[str, float | None], set[int]] = {}
+    runs: dict[Run, dict[int, int]] = {}
+    rows_in_runs = 0
     for column, ks in tiles.items():
         n, _, found = first[column]
         for start in {s for k in ks for s in tile_starts(n, k)}:
-            (_, value), before = found[start]
+            (_, value), before, equal = found[start]
             if start > before:
-                runs.setdefault((column, value), set()).add(start - before)
-    first_keys: dict[tuple[str, float | None], Found] = {}
-    if runs:
-        names = {run: f"run{i}" for i, run in enumerate(runs)}
-        tags = [
-            F.when(_double(column).eqNullSafe(F.lit(value).cast("double")), F.lit(names[column, value]))
-            for column, value in runs
+                rows_in_runs += equal if (column, value, ()) not in runs else 0
+                runs.setdefault((column, value, ()), {})[start - before] = start
+    first_keys = _split_runs(df, runs, rows_in_runs, list(key))
+    borders = {
+        (column, k): [
+            (first[column][2][start][0][1], first_keys.get((column, start)))
+            for start in tile_starts(first[column][0], k)
         ]
-        tagged = df.select(F.explode(F.array_compact(F.array(*tags))).alias("series"), *key)
-        inner = order_statistics(
-            tagged, list(key), {names[run]: (lambda n, present, r=places: r) for run, places in runs.items()},
-            "series", unique=True,
-        )
-        first_keys = {run: inner[name][2] for run, name in names.items()}
-    borders: dict[tuple[str, int], list[Border]] = {}
-    for column, ks in tiles.items():
-        n, _, found = first[column]
-        for k in ks:
-            rows = borders[column, k] = []
-            for start in tile_starts(n, k):
-                (_, value), before = found[start]
-                inside_run = first_keys[column, value][start - before][0] if start > before else None
-                rows.append((value, inside_run))
+        for column, ks in tiles.items() for k in ks
+    }
     return percentiles, borders
 
 
+# Rows of one value of a column whose first key columns are known: (column, value, known keys).
+Run = tuple[str, float | None, tuple]
+
+
+def _split_runs(
+    df: DataFrame, runs: dict[Run, dict[int, int]], rows: int, key: list[str]
+) -> dict[tuple[str, int], tuple]:
+    """The key of the row at each wanted place of each run: {(column, rank of that row): first key columns}.
+
+    The key is found column by column: only one key column at a time is counted and sorted, and each
+    step leaves just the rows that share the key found so far. A key is as long as it takes to tell the
+    row from the one before it.
+    """
+    found: dict[tuple[str, int], tuple] = {}
+    depth = 0
+    while runs:
+        if depth == len(key):
+            raise DuplicateKey(f"the columns {', '.join(key) or '()'} do not tell all rows apart")
+        names = {run: f"run{i}" for i, run in enumerate(runs)}
+        tags = []
+        for (column, value, known), name in names.items():
+            inside = _double(column).eqNullSafe(F.lit(value).cast("double"))
+            for c, v in zip(key, known):
+                inside = inside & F.col(c).eqNullSafe(F.lit(v).cast(df.schema[c].dataType))
+            tags.append(F.when(inside, F.lit(name)))
+        tagged = df.select(F.explode(F.array_compact(F.array(*tags))).alias("series"), *key[depth:])
+        rest = key[depth:] if rows <= SHORT_RUN else key[depth:depth + 1]
+        if rows <= SHORT_RUN:
+            at = _short_runs(tagged, rest, {names[run]: places for run, places in runs.items()})
+        else:
+            wanted = {names[run]: (lambda n, present, p=places: p) for run, places in runs.items()}
+            at = {name: hits for name, (_, _, hits) in order_statistics(tagged, rest, wanted, "series").items()}
+        longer: dict[Run, dict[int, int]] = {}
+        rows = 0
+        for (column, value, known), places in runs.items():
+            for place, rank in places.items():
+                values, before, equal = at[names[column, value, known]][place]
+                if place == before:
+                    found[column, rank] = known + values
+                else:
+                    run = (column, value, known + values)
+                    rows += equal if run not in longer else 0
+                    longer.setdefault(run, {})[place - before] = rank
+        runs, depth = longer, depth + len(rest)
+    return found
+
+
+def _short_runs(tagged: DataFrame, order: Sequence[str], places: dict[str, dict[int, int]]) -> dict[str, Found]:
+    """As ``order_statistics`` for series that together have at most ``SHORT_RUN`` rows."""
+    counted = tagged.groupBy("series", *order).agg(F.count(F.lit(1)).alias(_N))
+    upto = Window.partitionBy("series").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    wanted = F.lit(False)
+    counted = counted.withColumn("_before", F.sum(_N).over(upto) - F.col(_N))
+    for name, at in places.items():
+        hit = [(F.col("_before") <= p) & (F.col("_before") + F.col(_N) > p) for p in at]
+        for h in hit:
+            wanted = wanted | ((F.col("series") == name) & h)
+    result: dict[str, Found] = {name: {} for name in places}
+    for row in counted.where(wanted).collect():
+        entry = (tuple(row[c] for c in order), row["_before"], row[_N])
+        for p in places[row["series"]]:
+            if entry[1] <= p < entry[1] + entry[2]:
+                result[row["series"]][p] = entry
+    return result
+
+
 def percentiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
     """{(column, share): exact percentile_cont} of several columns in one pass over the table."""
     return column_ranks(df, wanted, {})[0]
@@ -246,8 +301,9 @@ def ntile_column(df: DataFrame, column: str, borders: Sequence[Border], key: Seq
         else:
             after, equal = x.isNull() | (x > F.lit(value)), x.eqNullSafe(F.lit(value))
         if first_key is not None:
-            fields = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(key, first_key)]
-            equal = equal & (F.struct(*key) >= F.struct(*fields))
+            known = key[:len(first_key)]
+            fields = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(known, first_key)]
+            equal = equal & (F.struct(*known) >= F.struct(*fields))
         tile = tile + F.when(after | equal, F.lit(1)).otherwise(F.lit(0))
     return tile
 

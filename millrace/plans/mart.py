@@ -42,5 +42,5 @@ def feature_mart(
     keep_key: bool = False,
 ) -> DataFrame:
     """The mart of a staged table. ``key`` is a unique key that splits ties between quantile bins."""
-    kept = [*(key if key and keep_key else ()), *numeric, label]
+    kept = list(dict.fromkeys([*(key if key and keep_key else ()), *numeric, label]))
     return ft.fit_transform(staged, mart_features(numeric, label, bins), key, kept)

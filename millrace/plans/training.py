@@ -51,10 +51,13 @@ def fit_forest(
 
 def train_model(
     mart: DataFrame, label: str, key: Sequence[str] | None = None, trees: int = 100, seed: int = 42, top: int = 5,
-    ignore: Sequence[str] = (), depth: int = 5,
+    ignore: Sequence[str] | None = None, depth: int = 5,
 ) -> tuple[DataFrame, DataFrame]:
-    """(metrics, importances) of a full model and of one refitted on its ``top`` features."""
-    columns, target = training_columns(mart, label, (*ignore, *(key or ())))
+    """(metrics, importances) of a full model and of one refitted on its ``top`` features.
+
+    ``ignore`` names columns that are no features; the key columns unless given.
+    """
+    columns, target = training_columns(mart, label, key or () if ignore is None else ignore)
     train, test = split_rows(mart, key, seed=seed)
     full, train_score, test_score = fit_forest(train, test, columns, target, trees, seed, depth)
     importances = sorted(zip(columns, full.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))

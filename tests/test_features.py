@@ -63,6 +63,11 @@ def test_k_bins(spark):
     got = ft.fit_transform(df, {"bin": ft.k_bins_discretize("input", 5)}, keep=["input"])
     sizes = {r["bin"]: r["count"] for r in got.groupBy("bin").count().collect()}
     assert sizes == {1: 4, 2: 4, 3: 4, 4: 3, 5: 3}
+    # Nor does a key that repeats change them.
+    repeated = df.withColumn("half", F.floor(F.col("id") / 2))
+    got = ft.fit_transform(repeated, {"bin": ft.k_bins_discretize("input", 5)}, ["half"])
+    assert {r["bin"]: r["count"] for r in got.groupBy("bin").count().collect()} == sizes
+    assert got.columns == ["id", "input", "half", "bin"]
     assert apply(column(spark, [4, 4], "int"), ft.k_bins_discretize("input", 5, "uniform")) == [None, None]
     for bad in (dict(k=0), dict(k=1, strategy="uniform"), dict(k=3, strategy="odd")):
         with pytest.raises(ValueError):

@@ -76,3 +76,18 @@ def test_neighbour_matches_literal_window(skewed, ahead, group):
     want = skewed.select("id", fn("x").over(w).alias("want"), fn("id").over(w).isNotNull().alias("there"))
     wrong = got.join(want, "id").where(~F.col("n").eqNullSafe(F.col("want")) | (F.col("n_exists") != F.col("there")))
     assert wrong.count() == 0 and got.count() == 3000
+
+
+@pytest.mark.parametrize("short", [0, 10**9])
+def test_ties_are_split_by_a_key_of_several_columns(spark, monkeypatch, short):
+    monkeypatch.setattr(ordering, "SHORT_RUN", short)
+    rows = [(1.0 if i % 4 else None, None if i % 6 == 0 else i % 3, f"s{i % 10}", i) for i in range(600)]
+    df = spark.createDataFrame(rows, "x double, a int, b string, c int").repartition(5)
+    key = ["a", "b", "c"]
+    borders = ordering.column_ranks(df, {}, {"x": [7, 3]}, key)[1]
+    for k in (7, 3):
+        got = df.withColumn("tile", ordering.ntile_column(df, "x", borders["x", k], key))
+        want = got.withColumn("want", F.ntile(k).over(Window.orderBy(F.col("x").asc_nulls_last(), *key)))
+        assert want.where("tile <> want").count() == 0
+    with pytest.raises(ordering.DuplicateKey):
+        ordering.column_ranks(df, {}, {"x": [7]}, ["a", "b"])
