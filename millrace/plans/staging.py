@@ -56,7 +56,7 @@ Check = Callable[[DataFrame], DataFrame]
 
 
 def build_and_check(
-    df: DataFrame, name: str, checks: Sequence[tuple[str, Check]], fail_fast: bool = True
+    df: DataFrame, name: str, checks: Sequence[tuple[str, Check]], fail_fast: bool = True, path: str | None = None
 ) -> dict[str, tuple[str, int]]:
     """Run the checks of a model and write it as a table only if all of them pass."""
     results: dict[str, tuple[str, int]] = {}
@@ -67,5 +67,5 @@ def build_and_check(
     failed = {k: v for k, v in results.items() if v[0] == "error"}
     if failed:
         raise ValueError(f"{name} not written; failing checks: {failed}")
-    save_table(df, name)
+    save_table(df, name, path=path)
     return results

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +22,10 @@ def replace_folder(df: DataFrame, path: str, format: str = "parquet", partition_
     writer.save(path)
 
 
-def save_table(df: DataFrame, name: str, format: str = "parquet") -> DataFrame:
-    """Materialize a model as a table."""
-    df.write.format(format).mode("overwrite").saveAsTable(name)
+def save_table(df: DataFrame, name: str, format: str = "parquet", path: str | None = None) -> DataFrame:
+    """Materialize a model as a table; its files lie under ``path``, or in the warehouse without one."""
+    writer = df.write.format(format).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -37,15 +38,17 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
 class MaterializedView:
     """A table that holds the result of a query as of its last refresh; created empty."""
 
-    def __init__(self, spark: SparkSession, name: str, query, key: Sequence[str] = ()):
-        self.spark, self.name, self.query, self.key = spark, name, query, tuple(key)
+    def __init__(
+        self, spark: SparkSession, name: str, query: Callable[[], DataFrame], key: Sequence[str] = (), path: str | None = None
+    ):
+        self.spark, self.name, self.query, self.key, self.path = spark, name, query, tuple(key), path
 
     def create(self) -> None:
-        create_if_absent(self.spark, self.name, self.query().schema)
+        create_if_absent(self.spark, self.name, self.query().schema, path=self.path)
 
     def refresh(self) -> DataFrame:
         """Recompute and replace the table, then verify that the key is unique."""
-        table = save_table(self.query(), self.name)
+        table = save_table(self.query(), self.name, path=self.path)
         if self.key:
             repeated = table.groupBy(*self.key).count().where(F.col("count") > 1)
             if not repeated.isEmpty():
@@ -56,15 +59,18 @@ class MaterializedView:
         return self.spark.table(self.name)
 
 
-def create_if_absent(spark: SparkSession, name: str, schema: str | T.StructType, format: str = "parquet") -> None:
+def create_if_absent(
+    spark: SparkSession, name: str, schema: str | T.StructType, format: str = "parquet", path: str | None = None
+) -> None:
     columns = schema.toDDL() if isinstance(schema, T.StructType) else schema
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {format}")
+    location = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {format}{location}")
 
 
-def append_results(df: DataFrame, name: str, run_timestamp: datetime | str) -> None:
+def append_results(df: DataFrame, name: str, run_timestamp: datetime | str, path: str | None = None) -> None:
     """Append rows stamped with the run's time; the table is created when absent."""
     stamped = df.withColumn("run_timestamp", F.lit(run_timestamp).cast("timestamp"))
-    create_if_absent(df.sparkSession, name, stamped.schema)
+    create_if_absent(df.sparkSession, name, stamped.schema, path=path)
     columns = df.sparkSession.table(name).columns
     stamped.select(*columns).write.mode("append").insertInto(name)
 

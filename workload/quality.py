@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import checks
 from millrace.plans.staging import build_and_check
 from millrace.session import load_table as load
-from millrace.session import shared_folder
+from workload.relational import scratch
 
 QUERIES: dict[str, tuple] = {}
 
@@ -244,13 +244,11 @@ def build_then_test(spark, folder):
     model = load(spark, folder, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("latest")
     )
-    name = f"orders_per_customer_{uuid.uuid4().hex[:12]}"
+    name, path = f"orders_per_customer_{uuid.uuid4().hex[:12]}", scratch(spark)
     build_and_check(model, name, [
         ("customer present", lambda df: checks.not_null(df, "o_custkey")),
         ("customer unique", lambda df: checks.unique(df, "o_custkey")),
         ("some orders", lambda df: checks.accepted_range(df, "n", min_value=1)),
-    ])
-    kept = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    spark.table(name).write.parquet(kept)
+    ], path=path)
     spark.sql(f"DROP TABLE {name}")
-    return spark.read.parquet(kept)
+    return spark.read.parquet(path)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import arithmetic, columns, dates, geo, keys, urls
-from millrace.operators import aggregates, reshape, textsearch
+from millrace.operators import aggregates, ordering, reshape, textsearch
 from millrace.plans.staging import stage_sales
 from millrace.session import load_table as load
 from millrace.session import shared_folder
@@ -27,7 +27,8 @@ def query(sql: str | None = None):
     return register
 
 
-def _scratch(spark: SparkSession) -> str:
+def scratch(spark: SparkSession) -> str:
+    """A new folder that every executor can reach; tables kept there outlive their entry in the catalog."""
     return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -144,6 +145,56 @@ def grouped_statistics(spark, folder):
     ).where("n > 10")
 
 
+@query("""
+SELECT round(percentile_cont(0.1) WITHIN GROUP (ORDER BY l_extendedprice), 4) AS p10,
+       round(percentile_cont(0.5) WITHIN GROUP (ORDER BY l_extendedprice), 4) AS median,
+       round(percentile_cont(0.99) WITHIN GROUP (ORDER BY l_extendedprice), 4) AS p99,
+       percentile_cont(0.5) WITHIN GROUP (ORDER BY l_quantity) AS median_quantity,
+       (SELECT mode() WITHIN GROUP (ORDER BY l_suppkey) FROM lineitem) AS busiest_supplier FROM lineitem""")
+def percentiles_and_mode(spark, folder):
+    lines = load(spark, folder, "lineitem")
+    found = ordering.percentiles(lines, {"l_extendedprice": [0.1, 0.5, 0.99], "l_quantity": [0.5]})
+    price = [round(found["l_extendedprice", p], 4) for p in (0.1, 0.5, 0.99)]
+    row = (*price, found["l_quantity", 0.5], aggregates.most_frequent(lines, "l_suppkey"))
+    return spark.createDataFrame([row], "p10 double, median double, p99 double, median_quantity double, busiest_supplier long")
+
+
+@query("""
+SELECT l_returnflag, n, round(share, 9) AS share FROM (
+  SELECT l_returnflag, count(*) AS n, count(*) / (SELECT count(*) FROM lineitem)::DOUBLE AS share FROM lineitem GROUP BY l_returnflag)""")
+def value_shares(spark, folder):
+    shares = aggregates.frequencies(load(spark, folder, "lineitem"), "l_returnflag")
+    return shares.withColumn("share", F.round("share", 9))
+
+
+@query("""
+SELECT coalesce(c.nation, s.nation) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers
+FROM (SELECT c_nationkey AS nation, count(*) AS customers FROM customer WHERE c_nationkey < 20 GROUP BY 1) c
+FULL JOIN (SELECT s_nationkey AS nation, count(*) AS suppliers FROM supplier WHERE s_nationkey > 5 GROUP BY 1) s ON c.nation = s.nation""")
+def full_outer_counts(spark, folder):
+    per_nation = lambda t, c, n: load(spark, folder, t).groupBy(F.col(c).alias("nation")).agg(F.count(F.lit(1)).alias(n))
+    ours = per_nation("customer", "c_nationkey", "customers").where("nation < 20").alias("c")
+    theirs = per_nation("supplier", "s_nationkey", "suppliers").where("nation > 5").alias("s")
+    zero = F.lit(0).cast("long")
+    return ours.join(theirs, F.col("c.nation").eqNullSafe(F.col("s.nation")), "full").select(
+        F.coalesce("c.nation", "s.nation").alias("nation"), F.coalesce("customers", zero).alias("customers"),
+        F.coalesce("suppliers", zero).alias("suppliers"),
+    )
+
+
+@query("""
+SELECT o_orderkey, ntile(11) OVER (ORDER BY o_totalprice, o_orderkey) AS tile,
+       row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place FROM orders""")
+def global_ntile(spark, folder):
+    """Rank and tile of every row in the order of the whole table."""
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    placed = ordering.row_numbers(orders, ["o_totalprice", "o_orderkey"], "place")
+    total = placed.agg(F.count(F.lit(1)).alias("total"))
+    return placed.crossJoin(F.broadcast(total)).select(
+        "o_orderkey", ordering.ntile_of_position(F.col("place"), F.col("total"), 11).alias("tile"), "place"
+    )
+
+
 @query("""
 SELECT 'customer' AS _source_relation, c_nationkey AS nation, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment, NULL::BIGINT AS supplier_id
 FROM customer WHERE c_acctbal > 0
@@ -306,6 +357,25 @@ def haversine(spark, folder):
     )
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, abs(l_quantity - 25) AS distance, CAST(floor(l_extendedprice / 1000) AS BIGINT) AS low,
+       CAST(ceil(l_extendedprice / 1000) AS BIGINT) AS high, l_orderkey % 7 AS rest, least(l_quantity, 10) AS at_most_ten,
+       round(pow(l_quantity, 0.5), 6) AS power, round(exp(l_tax), 6) AS e, round(ln(l_quantity), 6) AS natural,
+       round(log10(l_quantity) / log10(3), 6) AS log3, round(sqrt(l_extendedprice), 6) AS root,
+       round(sin(radians(l_quantity)), 6) AS sine, round(cos(radians(l_quantity)), 6) AS cosine,
+       round(asin(l_discount + 0.0), 6) AS arcsine, round(acos(l_discount + 0.0), 6) AS arccosine FROM lineitem""")
+def math_functions(spark, folder):
+    q, price = F.col("l_quantity"), F.col("l_extendedprice")
+    six = lambda c, name: F.round(c, 6).alias(name)
+    return load(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.abs(q - 25).alias("distance"), F.floor(price / 1000).alias("low"),
+        F.ceil(price / 1000).alias("high"), (F.col("l_orderkey") % 7).alias("rest"), F.least(q, F.lit(10.0)).alias("at_most_ten"),
+        six(F.pow(q, F.lit(0.5)), "power"), six(F.exp("l_tax"), "e"), six(F.ln(q), "natural"), six(F.log(3.0, q), "log3"),
+        six(F.sqrt(price), "root"), six(F.sin(F.radians(q)), "sine"), six(F.cos(F.radians(q)), "cosine"),
+        six(F.asin(F.col("l_discount") + 0.0), "arcsine"), six(F.acos(F.col("l_discount") + 0.0), "arccosine"),
+    )
+
+
 _BARE = "replace(replace({0}, 'http://', ''), 'https://', '')"
 
 
@@ -404,7 +474,7 @@ SELECT c_name AS client, strftime(o_orderdate, '%Y-%m-%d') AS purchase_date, o_o
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def stage_json_idempotent(spark, folder):
     """Orders written as JSON pages, staged twice for the same date, and read back."""
-    base, date = _scratch(spark), "2022-08-09"
+    base, date = scratch(spark), "2022-08-09"
     sales = load(spark, folder, "orders").join(
         load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).select(
@@ -427,7 +497,7 @@ SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS payment_month
 WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'""")
 def partitioned_sink(spark, folder):
     """One partition per month; months written again replace only themselves; the filter prunes partitions."""
-    path = _scratch(spark)
+    path = scratch(spark)
     orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     sinks.write_monthly(orders, path, "o_orderdate")
     sinks.write_monthly(orders.where(F.year("o_orderdate") == 1997), path, "o_orderdate")
@@ -443,32 +513,26 @@ SELECT l_returnflag, n, run FROM (SELECT l_returnflag, count(*) AS n FROM lineit
      (VALUES ('2024-01-01'), ('2024-01-02')) AS runs(run)""")
 def append_results(spark, folder):
     """Two runs appended to one table, each row stamped with the time of its run."""
-    name = _name("flag_counts")
+    name, path = _name("flag_counts"), scratch(spark)
     counts = load(spark, folder, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     for run in ("2024-01-01 00:00:00", "2024-01-02 00:00:00"):
-        sinks.append_results(counts, name, run)
-    rows = spark.table(name).select("l_returnflag", "n", F.date_format("run_timestamp", "yyyy-MM-dd").alias("run"))
-    return _read_and_drop(spark, rows, name)
-
-
-def _read_and_drop(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """Rows of a table as a result that outlives the table."""
-    kept = _scratch(spark)
-    rows.write.parquet(kept)
+        sinks.append_results(counts, name, run, path)
     spark.sql(f"DROP TABLE {name}")
-    return spark.read.parquet(kept)
+    return spark.read.parquet(path).select("l_returnflag", "n", F.date_format("run_timestamp", "yyyy-MM-dd").alias("run"))
 
 
 @query(star.QUERIES["sales_by_category_view"][1])
 def materialized_refresh(spark, folder):
     """A table created empty and filled by its refresh."""
-    name = _name("rental_by_category")
+    name, path = _name("rental_by_category"), scratch(spark)
     tables = star.rental_tables(spark, folder)
-    view = sinks.MaterializedView(spark, name, lambda: star.rental.sales_by_film_category(tables), key=["category"])
+    view = sinks.MaterializedView(spark, name, lambda: star.rental.sales_by_film_category(tables), key=["category"], path=path)
     view.create()
     if not view.read().isEmpty():
         raise AssertionError("a materialized view starts empty")
-    return _read_and_drop(spark, view.refresh(), name)
+    view.refresh()
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
 
 
 @query("""
@@ -483,7 +547,7 @@ def stamped_rows(spark, folder):
 SELECT r_regionkey, r_name, 'n/a' AS note FROM region""")
 def csv_seed(spark, folder):
     """A table written as CSV and read as a seed: types by column, empty text as NULL, then a default."""
-    path = _scratch(spark)
+    path = scratch(spark)
     load(spark, folder, "region").withColumn("note", F.lit("")).write.option("header", True).csv(path)
     seed = files.read_seed(spark, path, {"r_regionkey": "int", "note": "string"})
     return files.with_defaults(seed, {"note": "n/a"})
