@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.names import slugify
+from millrace.operators.ordering import row_numbers
 
 # Spark keeps one string in one array, so a longer concatenation cannot be a column value.
 LONGEST_TEXT = 2_000_000_000
@@ -21,7 +22,7 @@ def group_concat(
 
     Equal values are counted before the shuffle, so what reaches one task per group is its distinct
     values and their counts. The result is one cell per group; a group whose text would pass
-    the limit of a cell raises an error, it is never cut.
+    the limit of a cell raises an error, it is never cut. ``group_concat_parts`` has no such limit.
     """
     counted = df.groupBy(*by, text).agg(F.count(F.lit(1)).alias("_times"))
     times = F.lit(1) if distinct else F.col("_times")
@@ -42,6 +43,22 @@ def group_concat(
     )
 
 
+def group_concat_parts(
+    df: DataFrame, by: Sequence[str], text: str, output: str, separator: str = ", ", part_rows: int = 10_000
+) -> DataFrame:
+    """The distinct texts of each group in ascending order as numbered parts of ``part_rows`` values.
+
+    Joining the parts of a group by the separator gives its ``group_concat``; a group of any size is
+    spread over as many tasks as it has parts.
+    """
+    values = df.where(F.col(text).isNotNull()).select(*by, text).distinct()
+    numbered = row_numbers(values, [*by, text], "_place")
+    # Positions run through the groups one after another, so a part is cut where either changes.
+    parts = numbered.withColumn("part", F.floor(F.col("_place") / part_rows))
+    grouped = parts.groupBy(*by, "part").agg(F.sort_array(F.collect_list(text)).alias("_texts"))
+    return grouped.select(*by, "part", F.array_join("_texts", separator).alias(output))
+
+
 COMPARISONS = {
     "=": lambda a, b: a == b,
     "!=": lambda a, b: a != b,

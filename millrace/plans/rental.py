@@ -35,12 +35,12 @@ def films_per_category(t: Tables) -> DataFrame:
     )
 
 
-def _rentals_per_film(t: Tables) -> DataFrame:
+def _rentals_per_film(t: Tables, items: DataFrame | None = None) -> DataFrame:
+    """Rentals per film, for all items of the inventory or for the given (inventory_id, film_id) rows."""
+    if items is None:
+        items = t["inventory"].select("inventory_id", "film_id")
     per_item = t["rental"].groupBy("inventory_id").agg(F.count("rental_id").alias("rentals"))
-    return (
-        per_item.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id")
-        .groupBy("film_id").agg(F.sum("rentals").alias("rentals"))
-    )
+    return per_item.join(items, "inventory_id").groupBy("film_id").agg(F.sum("rentals").alias("rentals"))
 
 
 def _rentals_per_actor(t: Tables, films: DataFrame) -> DataFrame:
@@ -65,14 +65,10 @@ def top_actors_in_category(t: Tables, category: str = "Children", k: int = 3) ->
     """As ``top_actors_by_rentals`` for the films of one category."""
     wanted = t["category"].where(F.col("name") == category).select("category_id")
     films = join_small(t["film_category"].select("film_id", "category_id"), wanted, "category_id")
-    # One row per (film, category), so a film listed twice counts twice as in a plain join.
-    listed = films.groupBy("film_id").agg(F.count(F.lit(1)).alias("listings"))
-    rentals = (
-        _rentals_per_film(t).join(listed, "film_id")
-        .select("film_id", (F.col("rentals") * F.col("listings")).alias("rentals"))
-    )
+    # The category picks the items before they meet the rentals. A film listed twice counts twice.
+    items = t["inventory"].select("inventory_id", "film_id").join(films.select("film_id"), "film_id")
     return (
-        _rentals_per_actor(t, rentals)
+        _rentals_per_actor(t, _rentals_per_film(t, items))
         .select("actor_id", "first_name", "last_name", "rental_count")
         .orderBy(F.desc("rental_count"), "actor_id").limit(k)
     )
@@ -124,12 +120,13 @@ def late_rentals(t: Tables, today: date | datetime | str, k: int = 5) -> DataFra
         .where(F.col("return_date").isNull() & (F.col("rental_date") < F.lit(today).cast("timestamp_ntz")))
         .select("rental_id", "customer_id", "inventory_id")
     )
-    customers = t["customer"].select("customer_id", "last_name", "first_name", "address_id")
+    # Dimensions meet each other first, so the rentals are shuffled once per key of their own.
+    customers = t["customer"].select("customer_id", "last_name", "first_name", "address_id").join(
+        t["address"].select("address_id", "phone"), "address_id"
+    )
+    items = t["inventory"].select("inventory_id", "film_id").join(t["film"].select("film_id", "title"), "film_id")
     return (
-        open_rentals.join(customers, "customer_id")
-        .join(t["address"].select("address_id", "phone"), "address_id")
-        .join(t["inventory"].select("inventory_id", "film_id"), "inventory_id")
-        .join(t["film"].select("film_id", "title"), "film_id")
+        open_rentals.join(items, "inventory_id").join(customers, "customer_id")
         .select(
             "rental_id",
             F.concat_ws("", F.col("last_name"), F.lit(", "), F.col("first_name")).alias("customer"),
@@ -270,11 +267,12 @@ def customer_balance(t: Tables, as_of: datetime | str, charge_replacement: bool
     """
     moment = F.lit(as_of).cast("timestamp_ntz")
     films = t["film"].select("film_id", "rental_rate", "rental_duration", "replacement_cost")
+    # Items get the terms of their film first, so the rentals are shuffled once and not twice.
+    items = t["inventory"].select("inventory_id", "film_id").join(films, "film_id")
     kept = (
         t["rental"].where(F.col("rental_date") <= moment)
         .select("customer_id", "inventory_id", "rental_date", "return_date")
-        .join(t["inventory"].select("inventory_id", "film_id"), "inventory_id")
-        .join(films, "film_id")
+        .join(items, "inventory_id")
     )
     # Whole days beyond the allowed ones; an open rental has no overdue fee.
     held = F.timestamp_diff("SECOND", F.col("rental_date"), F.col("return_date"))

@@ -24,6 +24,7 @@ SETTINGS = {
     # one such method runs several times slower than the same projection split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }

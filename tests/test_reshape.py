@@ -91,6 +91,17 @@ def test_group_concat(spark):
     assert rows(aggregates.group_concat(df, ["g"], "t", "all", "|", distinct=True)) == [(1, "a|b"), (2, None)]
 
 
+def test_group_concat_parts(spark):
+    df = spark.createDataFrame([(i % 2, f"t{i:03d}") for i in range(100)] * 2 + [(5, None)], "g int, t string")
+    parts = aggregates.group_concat_parts(df, ["g"], "t", "texts", part_rows=7)
+    joined = {}
+    for r in parts.orderBy("g", "part").collect():
+        assert len(r["texts"].split(", ")) <= 7
+        joined[r["g"]] = ", ".join(filter(None, [joined.get(r["g"]), r["texts"]]))
+    whole = aggregates.group_concat(df, ["g"], "t", "texts", distinct=True)
+    assert {**joined, 5: None} == {r["g"]: r["texts"] for r in whole.collect()}
+
+
 def test_group_by_first_and_frequencies(spark):
     df = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("c", "d", 3), ("c", "e", 4)], "x string, y string, v int")
     assert rows(aggregates.group_by_first(df, 2).agg(F.sum("v"))) == [("a", "b", 3), ("c", "d", 3), ("c", "e", 4)]
