@@ -229,9 +229,9 @@ def _split_runs(
 ) -> dict[tuple[str, int], tuple]:
     """The key of the row at each wanted place of each run: {(column, rank of that row): first key columns}.
 
-    The key is found column by column: only one key column at a time is counted and sorted, and each
-    step leaves just the rows that share the key found so far. A key is as long as it takes to tell the
-    row from the one before it.
+    The first key column is counted and sorted alone, which leaves just the rows that share its value at
+    a wanted place; those are few unless that value is hot, and are ordered by the rest of the key. A key
+    is as long as it takes to tell the row from the one before it.
     """
     found: dict[tuple[str, int], tuple] = {}
     depth = 0
@@ -246,7 +246,7 @@ def _split_runs(
                 inside = inside & F.col(c).eqNullSafe(F.lit(v).cast(df.schema[c].dataType))
             tags.append(F.when(inside, F.lit(name)))
         tagged = df.select(F.explode(F.array_compact(F.array(*tags))).alias("series"), *key[depth:])
-        rest = key[depth:] if rows <= SHORT_RUN else key[depth:depth + 1]
+        rest = key[:1] if depth == 0 and rows > SHORT_RUN else key[depth:]
         if rows <= SHORT_RUN:
             at = _short_runs(tagged, rest, {names[run]: places for run, places in runs.items()})
         else:
