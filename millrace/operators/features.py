@@ -21,7 +21,7 @@ from millrace.operators import ordering
 from millrace.operators.aggregates import COMPARISONS, frequencies, most_frequent
 from millrace.operators.joins import lookup
 from millrace.operators.reshape import DRIVER_VALUES
-from millrace.session import cut_lineage
+from millrace.session import write_once
 
 ROW_KEY = "_row_key"
 # Up to this many codes are a CASE; more are looked up in a joined mapping.
@@ -100,7 +100,7 @@ def _gather(df: DataFrame, features: Mapping[str, Feature], key: Sequence[str])
             # At most 1 / cutoff values can reach the cutoff, which bounds the list.
             kept = frequencies(df, n.column).where(F.col(n.column).isNotNull() & (F.col("share") >= n.detail))
             kept = kept.select(n.column, "n", F.lit(True).alias("_fact"))
-            facts[n] = [r[0] for r in kept.collect()] if 1 / n.detail <= DRIVER_VALUES else cut_lineage(kept)
+            facts[n] = [r[0] for r in kept.collect()] if 1 / n.detail <= DRIVER_VALUES else write_once(kept).rows
         elif n.kind == "codes":
             known = facts.get(Need("categories", n.column)) or _collect_categories(df, n.column, None)
             if known is not None and len(known) <= CASE_VALUES:
@@ -162,7 +162,7 @@ def fit_transform(
             return fit(df, features, key).transform(df, kept)
         except ordering.DuplicateKey:
             pass
-    numbered = cut_lineage(df.withColumn(ROW_KEY, F.monotonically_increasing_id()))
+    numbered = write_once(df.withColumn(ROW_KEY, F.monotonically_increasing_id())).rows
     return fit(numbered, features, [*(key or ()), ROW_KEY]).transform(numbered, kept)
 
 
@@ -391,7 +391,7 @@ def random_impute(
     """
     columns = df.columns
     if key is None:
-        df = cut_lineage(df.withColumn(ROW_KEY, F.monotonically_increasing_id()))
+        df = write_once(df.withColumn(ROW_KEY, F.monotonically_increasing_id())).rows
         key = [ROW_KEY]
     filled, missing = df.where(F.col(column).isNotNull()), df.where(F.col(column).isNull())
     if consider_distribution:

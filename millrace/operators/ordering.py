@@ -3,7 +3,7 @@
 Whole-table windows (``ntile() over (order by x)``, ``dense_rank()``, an ungrouped ``lag``) put every
 row into a single task. The functions here range-partition instead. Partition numbers must not change
 between the pass that counts and the pass that uses them, so the ranged rows are written once to the
-shared folder (``cut_lineage``) and everything after reads what was written.
+shared folder (``write_once``) and everything after reads what was written.
 """
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut_lineage
+from millrace.session import Written, write_once
 
 _PID, _POS, _N = "_range_pid", "_range_pos", "_range_n"
 
 
-def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def _ranged(df: DataFrame, order: Sequence[str]) -> Written:
     """Rows range-partitioned and sorted by ``order`` with their partition number, written once."""
-    return cut_lineage(
+    return write_once(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
@@ -34,13 +34,13 @@ def row_numbers(df: DataFrame, order: Sequence[str], output: str = "row_index")
     One range shuffle and one write. The position inside a partition comes from the row counter of
     ``monotonically_increasing_id``; the per-partition offsets (one row per partition) are broadcast.
     """
-    placed = cut_lineage(
+    placed = write_once(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(_POS, F.monotonically_increasing_id())
         .withColumn(_PID, F.shiftright(_POS, 33))
         .withColumn(_POS, F.col(_POS).bitwiseAND(F.lit((1 << 33) - 1)))
-    )
+    ).rows
     sizes = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_N))
@@ -103,7 +103,8 @@ def order_statistics(
     the driver is one number per range partition and one row per wanted rank.
     """
     counted = df.groupBy(series, *order).agg(F.count(F.lit(1)).alias(_N))
-    ranged = _ranged(counted, [series, *order])
+    written = _ranged(counted, [series, *order])
+    ranged = written.rows
     present = F.sum(F.when(F.col(missing), 0).otherwise(F.col(_N))) if missing else F.sum(_N)
     starts: dict[str, list[tuple[int, int]]] = {}
     totals: dict[str, int] = dict.fromkeys(ranks, 0)
@@ -122,6 +123,7 @@ def order_statistics(
             wanted.append((name, pid, offset, rank))
     result: dict[str, tuple[int, int, Found]] = {n: (totals[n], with_value[n], {}) for n in ranks}
     if not wanted:
+        written.delete()
         return result
     requests = df.sparkSession.createDataFrame(wanted, f"{series} string, {_PID} int, _offset long, _rank long")
     needed = sorted({pid for _, pid, _, _ in wanted})
@@ -137,6 +139,7 @@ def order_statistics(
     )
     for row in hits:
         result[row[series]][2][row["_rank"]] = (tuple(row[c] for c in order), row["_before"], row[_N])
+    written.delete()
     return result
 
 
@@ -319,7 +322,7 @@ def neighbour(
     on (group, order) sit in one partition, so callers count equal rows first.
     """
     columns = [*group, *order]
-    ranged = _ranged(df, columns)
+    ranged = _ranged(df, columns).rows
     inside = Window.partitionBy(_PID, *group).orderBy(*order)
     shifted = F.lead if ahead else F.lag
     # Carry a struct, so that a NULL value and a missing neighbour stay apart.

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +26,6 @@ SETTINGS = {
     # one such method runs several times slower than the same projection split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.checkpoint.compress": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -52,22 +52,50 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The reliable folder named by the cluster; a temporary one only in local mode."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(folder)
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    context.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="millrace-")
+        context.setCheckpointDir(folder)
+        folder = context.getCheckpointDir()
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder, so partition numbers in it stay as they are."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def new_folder(spark: SparkSession) -> str:
+    """The path of a folder of this application that is not there yet."""
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+@dataclass(frozen=True)
+class Written:
+    """A table written to the shared folder, so that partition numbers in it stay as they are."""
+
+    rows: DataFrame
+    path: str
+
+    def delete(self) -> None:
+        delete_folder(self.rows.sparkSession, self.path)
+
+
+def write_once(df: DataFrame) -> Written:
+    """Write ``df`` and read it back: its lineage ends at files that any executor can read again.
+
+    Readers fetch only the columns and, by the files' statistics, only the partition numbers they need.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession)
+    df.write.parquet(path)
+    return Written(spark.read.schema(df.schema).parquet(path), path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder, once no result needs it any more."""
+    delete_folder(spark, f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
 
 
 class Tables(Mapping):

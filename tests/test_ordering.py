@@ -91,3 +91,19 @@ def test_ties_are_split_by_a_key_of_several_columns(spark, monkeypatch, short):
         assert want.where("tile <> want").count() == 0
     with pytest.raises(ordering.DuplicateKey):
         ordering.column_ranks(df, {}, {"x": [7]}, ["a", "b"])
+
+
+def test_written_tables_lie_in_the_shared_folder(spark):
+    import os
+
+    from millrace import session
+
+    written = session.write_once(spark.range(5))
+    path = written.path.removeprefix("file:")
+    assert written.path.startswith(session.shared_folder(spark)) and os.path.isdir(path)
+    assert written.rows.count() == 5
+    written.delete()
+    assert not os.path.exists(path)
+    before = set(os.listdir(os.path.dirname(path)))
+    ordering.percentiles(spark.range(50).selectExpr("double(id) x"), {"x": [0.5]})
+    assert set(os.listdir(os.path.dirname(path))) == before

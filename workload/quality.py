@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators import checks
 from millrace.plans.staging import build_and_check
 from millrace.session import load_table as load
-from workload.relational import scratch
+from millrace.session import new_folder
 
 QUERIES: dict[str, tuple] = {}
 
@@ -244,7 +244,7 @@ def build_then_test(spark, folder):
     model = load(spark, folder, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("latest")
     )
-    name, path = f"orders_per_customer_{uuid.uuid4().hex[:12]}", scratch(spark)
+    name, path = f"orders_per_customer_{uuid.uuid4().hex[:12]}", new_folder(spark)
     build_and_check(model, name, [
         ("customer present", lambda df: checks.not_null(df, "o_custkey")),
         ("customer unique", lambda df: checks.unique(df, "o_custkey")),

@@ -11,7 +11,7 @@ from millrace.functions import arithmetic, columns, dates, geo, keys, urls
 from millrace.operators import aggregates, ordering, reshape, textsearch
 from millrace.plans.staging import stage_sales
 from millrace.session import load_table as load
-from millrace.session import shared_folder
+from millrace.session import new_folder
 from millrace.sinks import tables as sinks
 from millrace.sources import catalog, files, series, synthetic
 from workload import star
@@ -27,11 +27,6 @@ def query(sql: str | None = None):
     return register
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder that every executor can reach; tables kept there outlive their entry in the catalog."""
-    return f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def _name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
@@ -474,7 +469,7 @@ SELECT c_name AS client, strftime(o_orderdate, '%Y-%m-%d') AS purchase_date, o_o
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def stage_json_idempotent(spark, folder):
     """Orders written as JSON pages, staged twice for the same date, and read back."""
-    base, date = scratch(spark), "2022-08-09"
+    base, date = new_folder(spark), "2022-08-09"
     sales = load(spark, folder, "orders").join(
         load(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).select(
@@ -497,7 +492,7 @@ SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS payment_month
 WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'""")
 def partitioned_sink(spark, folder):
     """One partition per month; months written again replace only themselves; the filter prunes partitions."""
-    path = scratch(spark)
+    path = new_folder(spark)
     orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     sinks.write_monthly(orders, path, "o_orderdate")
     sinks.write_monthly(orders.where(F.year("o_orderdate") == 1997), path, "o_orderdate")
@@ -513,7 +508,7 @@ SELECT l_returnflag, n, run FROM (SELECT l_returnflag, count(*) AS n FROM lineit
      (VALUES ('2024-01-01'), ('2024-01-02')) AS runs(run)""")
 def append_results(spark, folder):
     """Two runs appended to one table, each row stamped with the time of its run."""
-    name, path = _name("flag_counts"), scratch(spark)
+    name, path = _name("flag_counts"), new_folder(spark)
     counts = load(spark, folder, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     for run in ("2024-01-01 00:00:00", "2024-01-02 00:00:00"):
         sinks.append_results(counts, name, run, path)
@@ -524,7 +519,7 @@ def append_results(spark, folder):
 @query(star.QUERIES["sales_by_category_view"][1])
 def materialized_refresh(spark, folder):
     """A table created empty and filled by its refresh."""
-    name, path = _name("rental_by_category"), scratch(spark)
+    name, path = _name("rental_by_category"), new_folder(spark)
     tables = star.rental_tables(spark, folder)
     view = sinks.MaterializedView(spark, name, lambda: star.rental.sales_by_film_category(tables), key=["category"], path=path)
     view.create()
@@ -547,7 +542,7 @@ def stamped_rows(spark, folder):
 SELECT r_regionkey, r_name, 'n/a' AS note FROM region""")
 def csv_seed(spark, folder):
     """A table written as CSV and read as a seed: types by column, empty text as NULL, then a default."""
-    path = scratch(spark)
+    path = new_folder(spark)
     load(spark, folder, "region").withColumn("note", F.lit("")).write.option("header", True).csv(path)
     seed = files.read_seed(spark, path, {"r_regionkey": "int", "note": "string"})
     return files.with_defaults(seed, {"note": "n/a"})
