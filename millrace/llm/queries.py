@@ -17,8 +17,9 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data of every document."""
     found = pii.mark(_texts(spark, folder))
     base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
-    count = {kind: F.size(F.filter("pii", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS}
-    return found.select("doc_id", *count.values(), F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
+    kinds = F.transform("pii", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, (lambda kind: lambda k: k == kind)(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"))
 
 
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
