@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import write_once
@@ -32,6 +32,11 @@ def shield(df: DataFrame, used: Sequence[str]) -> tuple[DataFrame, Callable[...,
     return inner, restore
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Delete the shuffle files of a query when it ends, not when the driver next collects its garbage."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def keyed(df: DataFrame, key: str = "row_key") -> DataFrame:
     """``df`` with a key of each row: a hash of its file and its place there, the same in every scan.
 

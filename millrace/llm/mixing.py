@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.columns import shield
+from millrace.llm.columns import release_shuffles, shield
 from millrace.operators.ordering import row_numbers
 from millrace.session import write_once
 
@@ -133,6 +133,7 @@ def mix(documents: DataFrame, seed: int = 42, block: int = BLOCK, **shares) -> D
     ``documents`` has ``doc_id``, ``source`` and ``size``, or ``text`` to take the size from. Rows travel
     with their columns, so bring along only what is needed.
     """
+    release_shuffles(documents.sparkSession)
     documents, restore = shield(documents, [c for c in ("doc_id", "source", "text", "size") if c in documents.columns])
     names = documents.columns
     rows = documents.withColumn("_size", F.col("size") if "size" in names else words())

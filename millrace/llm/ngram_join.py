@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import text as T
-from millrace.llm.columns import shield
+from millrace.llm.columns import release_shuffles, shield
 from millrace.llm.graph import components
 from millrace.session import write_once
 
@@ -78,8 +78,8 @@ def _classes(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(one: np.ndarray) -> bytes:
-    """Every shingle flips one bit; sets of more shingles get more bits (a power of two)."""
-    bits = 1024 if len(one) <= 600 else 2048 if len(one) <= 1200 else 4096
+    """Every shingle flips one bit; there are about as many bits as shingles, 64 to 4096."""
+    bits = 1 << min(12, max(6, (9 * len(one) // 10).bit_length()))
     return np.packbits((np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
 
 
@@ -178,6 +178,38 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.repartition("tile").mapInArrow(run, "tile long, class long, n int")
 
 
+def _fold(bits: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap of fewer bits, in which still every shingle flips one."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def _most_differing(n: np.ndarray | int, m: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """So many shingles may be in one of two sets only: |x & y| >= p / (100 + p) * (|x| + |y|)."""
+    return (n + m) * (100 - percent) // (100 + percent)
+
+
+def _bounded(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs of classes (a, b) whose bitmaps allow a link; ``bits`` has class, n and bits."""
+    for side in ("a", "b"):
+        pairs = pairs.join(bits.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            most = _most_differing(batch.column(2).to_numpy(), batch.column(4).to_numpy(), percent)
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in (3, 5))
+                width = min(len(x), len(y))
+                if np.bitwise_count(_fold(x, width) ^ _fold(y, width)).sum() <= most[i]:
+                    keep.append(i)
+            yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+
+    return pairs.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
+
+
 def _member_set(pairs: DataFrame) -> np.ndarray:
     """The classes of ``pairs`` as a bit set of fixed size."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("c")).select(F.shiftrightunsigned("c", 64 - SET_BITS).alias("bit"))
@@ -207,7 +239,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     sets = texts.mapInArrow(read, "class long, grams binary")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = write_once(sets.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("grams").alias("grams"))).rows
+    written = write_once(sets.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("grams").alias("grams")))
+    sets = written.rows
     left = pairs.join(sets.select(F.col("class").alias("a"), F.col("grams").alias("of_a")), "a")
     both = left.join(sets.select(F.col("class").alias("b"), F.col("grams").alias("of_b")), "b").select("a", "b", "of_a", "of_b")
 
@@ -225,7 +258,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     keep.append(i)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(check, "a long, b long")
+    links = write_once(both.mapInArrow(check, "a long, b long")).rows
+    written.delete()
+    return links
 
 
 def _banded(rows: DataFrame, percent: int) -> DataFrame:
@@ -240,16 +275,6 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
                                                                               F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))).alias("to"))
     rows = rows.select("tile", F.col("to.band").alias("band"), F.col("to.own").alias("own"), "class", "n", "root", "bits")
 
-    def bound(bits_x: np.ndarray, bits_y: np.ndarray) -> np.ndarray:
-        """For each pair of rows, bits that differ; the wider bitmaps are folded."""
-        while bits_x.shape[1] > bits_y.shape[1]:
-            half = bits_x.shape[1] // 2
-            bits_x = bits_x[:, :half] ^ bits_x[:, half:]
-        while bits_y.shape[1] > bits_x.shape[1]:
-            half = bits_y.shape[1] // 2
-            bits_y = bits_y[:, :half] ^ bits_y[:, half:]
-        return np.bitwise_count(bits_x ^ bits_y).sum(axis=1, dtype=np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
         if not parts:
@@ -282,16 +307,15 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
                 x, y = block[i], other[j]
                 if not len(x):
                     continue
-                # |x & y| >= p / (100 + p) * (|x| + |y|), so that many shingles may differ at most.
-                most = (n[x].astype(np.int64) + n[y]) * (100 - percent) // (100 + percent)
+                most = _most_differing(n[x].astype(np.int64), n[y], percent)
                 wx, wy = width[of[x]], width[of[y]]
                 for a in stacked:
                     for b in stacked:
                         at = np.flatnonzero((wx == a) & (wy == b))
                         for k in range(0, len(at), 1 << 15):
                             some = at[k : k + (1 << 15)]
-                            differ = bound(stacked[a][slot[of[x[some]]]], stacked[b][slot[of[y[some]]]])
-                            some = some[differ <= most[some]]
+                            differ = _fold(stacked[a][slot[of[x[some]]]], min(a, b)) ^ _fold(stacked[b][slot[of[y[some]]]], min(a, b))
+                            some = some[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[some]]
                             found.update(zip(np.minimum(key[x[some]], key[y[some]]).tolist(), np.maximum(key[x[some]], key[y[some]]).tolist()))
         if found:
             a, b = zip(*found)
@@ -303,6 +327,7 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
 def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All columns of ``documents`` but the text, ``n_shingles``, ``component_id`` (smallest doc_id linked)
     and ``component`` (a number of each component, also of those that have no id)."""
+    release_shuffles(documents.sparkSession)
     documents, restore = shield(documents, ["doc_id", "text"])
     texts = documents.select("text").filter("text is not null")
     others = [c for c in documents.columns if c != "text"]
@@ -312,19 +337,21 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = placed.withColumn("_class", F.coalesce("_class", alone))
     classes = placed.groupBy("_class").agg(F.min("doc_id").alias("_least"), F.first("_n").alias("_n"), F.first("_bits").alias("_bits"))
     common = _common(texts, placed.count())
-    tiles = write_once(_shared(_leading(texts, common, percent))).rows
+    tiled = write_once(_shared(_leading(texts, common, percent)))
+    tiles = tiled.rows
 
     by_size = Window.partitionBy("tile").orderBy("n", "class")
     near = tiles.withColumn("m", F.lag("n").over(by_size)).withColumn("a", F.lag("class").over(by_size))
     near = near.filter(F.col("m") * 100 >= F.col("n") * percent).select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
-    links = write_once(_verified(write_once(near.distinct()).rows, texts, percent)).rows
+    bits = classes.select(F.col("_class").alias("class"), F.col("_n").alias("n"), F.col("_bits").alias("bits"))
+    links = _verified(write_once(_bounded(near.distinct(), bits, percent)).rows, texts, percent)
     roots = write_once(components(links)).rows
 
     named = tiles.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed = named.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tile")
     named = named.join(mixed, "tile", "left_semi")
-    bits = classes.select(F.col("_class").alias("class"), F.col("_bits").alias("bits"))
-    more = write_once(_banded(named.join(bits, "class").select("tile", "class", "n", "root", "bits"), percent)).rows
+    more = write_once(_banded(named.join(bits.drop("n"), "class").select("tile", "class", "n", "root", "bits"), percent)).rows
+    tiled.delete()
     found = _verified(more, texts, percent)
     # Of round 1 only the spanning links are needed.
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
