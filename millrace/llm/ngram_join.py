@@ -39,6 +39,10 @@ WORDS = 5
 PERCENT = 75
 #: Expected number of texts whose shingles decide which ones count as common, and most such shingles kept.
 ORDER_SAMPLE, COMMON_KEPT = 3000, 50_000
+#: Sets of more shingles go without bitmaps in the tiles; their shared tiles are counted instead.
+LARGE = 2000
+#: Tile groups of so many rows at most are paired all at once, larger ones one by one.
+SMALL_GROUP = 12
 #: Bits of the set of classes whose shingles are read for exact checks; a fuller set reads more of them.
 SET_BITS = 23
 
@@ -78,8 +82,8 @@ def _classes(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(one: np.ndarray) -> bytes:
-    """Every shingle flips one bit; there are about as many bits as shingles, 64 to 4096."""
-    bits = 1 << min(12, max(6, (9 * len(one) // 10).bit_length()))
+    """Every shingle flips one bit; there are about as many bits as shingles (a power of two, 64 at least)."""
+    bits = 1 << max(6, (9 * len(one) // 10).bit_length())
     return np.packbits((np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
 
 
@@ -126,6 +130,15 @@ def _common(texts: DataFrame, n_rows: int) -> np.ndarray:
     return np.sort(np.array([r.gram for r in rows], dtype=np.int64).view(np.uint64))
 
 
+def _shares(n: np.ndarray) -> np.ndarray:
+    """So many of their leading shingles two sets that link share at least, for the smaller of the two numbers.
+
+    Each further shared one costs one more leading shingle. Large sets meet by chance in many tiles, and
+    their bitmaps are too long for tiles, so of them more are asked for.
+    """
+    return np.where(n > LARGE, n // 50, 1)
+
+
 def _leading(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
     """Tile, class and size: for every class the shingles that come first in the common order."""
 
@@ -147,7 +160,7 @@ def _leading(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
                 order = np.lexsort((late, text))  # stable, so shingles stay in order of their hash
                 gram, text = gram[order], text[order]
                 place = np.arange(len(text)) - np.searchsorted(text, text)
-                lead = place < (n - -(-percent * n // 100) + 1)[text]
+                lead = place < (n - -(-percent * n // 100) + _shares(n))[text]
                 gram, text = gram[lead], text[lead]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram.view(np.int64)), pa.array(key[text].view(np.int64)), pa.array(n[text], pa.int32())],
@@ -281,47 +294,73 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
             return
         whole = pa.Table.from_batches(parts)
         tile, band, own, key, n, root = (whole.column(i).to_numpy() for i in range(6))
+        n = n.astype(np.int64)
         bits = whole.column(6).combine_chunks()
         # Every class once: many tiles of a task hold the same ones.
-        classes, one = np.unique(key, return_index=True)
-        of = np.searchsorted(classes, key)
-        maps = [np.frombuffer(bits[int(i)].as_py(), dtype=np.uint64) for i in one]
+        classes, one, of = np.unique(key, return_index=True, return_inverse=True)
+        maps = [np.frombuffer(bits[int(i)].as_py() or b"", dtype=np.uint64) for i in one]
         width = np.array([len(m) for m in maps])
         stacked = {w: np.array([m for m in maps if len(m) == w]) for w in set(width.tolist())}
         slot = np.zeros(len(maps), dtype=np.int64)
         for w in stacked:
             slot[width == w] = np.arange((width == w).sum())
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def add(x: np.ndarray, y: np.ndarray) -> None:
+            ok = (root[x] != root[y]) & (100 * n[x] >= percent * n[y]) & (100 * n[y] >= percent * n[x]) & (own[x] | own[y])
+            x, y = of[x[ok]], of[y[ok]]
+            size = n[one]
+            most = _most_differing(size[x], size[y], percent)
+            keep = np.ones(len(x), dtype=bool)
+            for a in stacked:
+                for b in stacked:
+                    if not a or not b:
+                        continue  # a large set: its pairs are counted
+                    at = np.flatnonzero((width[x] == a) & (width[y] == b))
+                    for k in range(0, len(at), 1 << 15):
+                        some = at[k : k + (1 << 15)]
+                        differ = _fold(stacked[a][slot[x[some]]], min(a, b)) ^ _fold(stacked[b][slot[y[some]]], min(a, b))
+                        keep[some] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[some]
+            if keep.any():
+                found.append((np.minimum(x[keep], y[keep]), np.maximum(x[keep], y[keep]), np.ones(int(keep.sum()), dtype=np.int64)))
+
+        def counted() -> None:
+            if found:
+                x, y, times = (np.concatenate(c) for c in zip(*found))
+                pair, where = np.unique(x * len(classes) + y, return_inverse=True)
+                found[:] = [(pair // len(classes), pair % len(classes), np.bincount(where, weights=times).astype(np.int64))]
+
         order = np.lexsort((n, band, tile))
-        edge = np.flatnonzero((np.diff(tile[order]) != 0) | (np.diff(band[order]) != 0)) + 1
-        found: set[tuple[int, int]] = set()
-        for group in np.split(order, edge):
-            mine = group[own[group]]
-            if not len(mine) or (root[group] == root[group[0]]).all():
+        edge = np.concatenate([[0], np.flatnonzero((np.diff(tile[order]) != 0) | (np.diff(band[order]) != 0)) + 1, [len(order)]])
+        count = np.diff(edge)
+        group = np.repeat(np.arange(len(count)), count)
+        small = np.flatnonzero((count <= SMALL_GROUP)[group])
+        for step in range(1, SMALL_GROUP):
+            same = np.flatnonzero(group[small[:-step]] == group[small[step:]])
+            add(order[small[same]], order[small[same + step]])
+        counted()
+        for g in np.flatnonzero(count > SMALL_GROUP):
+            rows = order[edge[g] : edge[g + 1]]
+            if (root[rows] == root[rows[0]]).all():
                 continue
-            for low in range(0, len(mine), 128):
-                block = mine[low : low + 128]
-                # Partners are the smaller rows: those of the band below, and own ones up to this block.
-                other = np.concatenate([group[~own[group]], mine[: low + len(block)]])
-                i, j = np.nonzero((root[block][:, None] != root[other][None, :]) & (100 * n[other][None, :] >= percent * n[block][:, None])
-                                  & (100 * n[block][:, None] >= percent * n[other][None, :]))
-                x, y = block[i], other[j]
-                if not len(x):
-                    continue
-                most = _most_differing(n[x].astype(np.int64), n[y], percent)
-                wx, wy = width[of[x]], width[of[y]]
-                for a in stacked:
-                    for b in stacked:
-                        at = np.flatnonzero((wx == a) & (wy == b))
-                        for k in range(0, len(at), 1 << 15):
-                            some = at[k : k + (1 << 15)]
-                            differ = _fold(stacked[a][slot[of[x[some]]]], min(a, b)) ^ _fold(stacked[b][slot[of[y[some]]]], min(a, b))
-                            some = some[np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[some]]
-                            found.update(zip(np.minimum(key[x[some]], key[y[some]]).tolist(), np.maximum(key[x[some]], key[y[some]]).tolist()))
+            for low in range(0, len(rows), 128):
+                # Partners of a block are the rows before it in order of size, as far as sizes allow.
+                start = np.searchsorted(100 * n[rows], percent * n[rows[low]])
+                block, other = rows[low : low + 128], rows[start : low + 128]
+                i, j = np.nonzero((np.arange(start, start + len(other))[None, :] < np.arange(low, low + len(block))[:, None]))
+                add(block[i], other[j])
+            if len(found) > 500:
+                counted()
+        counted()
         if found:
-            a, b = zip(*found)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            x, y, times = found[0]
+            a, b = classes[x], classes[y]
+            least = np.minimum(_shares(n[one][x]), _shares(n[one][y]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(times), pa.array(least)], names=["a", "b", "times", "least"])
 
-    return rows.repartition("tile", "band").mapInArrow(run, "a long, b long").distinct()
+    pairs = rows.repartition("tile", "band").mapInArrow(run, "a long, b long, times long, least long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.first("least").alias("least"))
+    return pairs.filter("times >= least").select("a", "b")
 
 
 def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -350,9 +389,10 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = tiles.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed = named.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tile")
     named = named.join(mixed, "tile", "left_semi")
-    more = write_once(_banded(named.join(bits.drop("n"), "class").select("tile", "class", "n", "root", "bits"), percent)).rows
+    more = write_once(_banded(named.join(bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits")), "class").select("tile", "class", "n", "root", "bits"), percent)).rows
     tiled.delete()
-    found = _verified(more, texts, percent)
+    # What tiles have counted only is bounded now.
+    found = _verified(write_once(_bounded(more, bits, percent)).rows, texts, percent)
     # Of round 1 only the spanning links are needed.
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     whole = classes.select("_class", "_least").join(every.select(F.col("node").alias("_class"), "root"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
