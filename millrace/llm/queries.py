@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, mixing, ngram_join, pii, quality_lines
+from millrace.llm import decontamination, html, mixing, neighbours, ngram_join, pii, quality_lines, repeats, tool_calls, url_lists
 from millrace.session import load_table
 
 
@@ -13,6 +13,74 @@ def _texts(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return load_table(spark, folder, "documents").select("doc_id", "text", *columns)
 
 
+def main_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    found = html.extract(load_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def listed_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as a capture of the day its number names, against a list that logs a part of the pages' hosts.
+
+    By the first byte of its md5 a host is listed as a domain (below 100) or by its first path segments
+    (100 to 159): for the first time in the first half of the year, off again after 40 days or more, and for
+    a third of them on again 60 days after that.
+    """
+    pages = load_table(spark, folder, "pages").select("page_id", "url")
+    site = url_lists.host("url")
+    byte = F.conv(F.substring(F.md5("host"), 1, 2), 16, 10).cast("int")
+    second = F.conv(F.substring(F.md5("host"), 3, 2), 16, 10).cast("int")
+    segment = F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)", 1)
+    keys = pages.select(site.alias("host"), segment.alias("segment")).filter("host <> ''").distinct()
+    keys = keys.withColumn("byte", byte).withColumn("second", second)
+    listed = keys.filter("byte < 100").select(F.lit("domain").alias("kind"), F.col("host").alias("key"), "byte", "second").distinct().unionByName(
+        keys.filter("byte between 100 and 159 and segment <> ''").select(F.lit("prefix").alias("kind"), F.concat_ws("/", "host", "segment").alias("key"), "byte", "second"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("byte"))
+    off = F.date_add(day, 40 + F.col("second"))
+    again = F.when(F.col("second") % 3 == 0, F.date_add(off, 60))
+    entry = lambda on, action: F.struct(on.alias("listed_on"), F.lit(action).alias("action"))
+    log = listed.select("kind", "key", F.inline(F.array(entry(day, "add"), entry(off, "remove"), entry(again, "add"))))
+    captures = pages.withColumn("fetched_on", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int")))
+    found = url_lists.judge(captures, log)
+    return found.select("page_id", "url", F.col("fetched_on").cast("string").alias("fetched_on"), F.size("matches").cast("long").alias("n_matches"),
+                        F.array_join("matches", ",").alias("matches"), (F.size("matches") > 0).alias("blocked"))
+
+
+LISTED_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched_on,
+         regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+?)\.?(?:[:/?#]|$)', 1) AS host,
+         regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]+)', 1) AS segment
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, segment, md5(host) AS h FROM captures WHERE host <> ''
+), bytes AS (
+  SELECT host, segment,
+         16 * (instr('0123456789abcdef', h[1]) - 1) + instr('0123456789abcdef', h[2]) - 1 AS b,
+         16 * (instr('0123456789abcdef', h[3]) - 1) + instr('0123456789abcdef', h[4]) - 1 AS s
+  FROM hosts
+), listed AS (
+  SELECT DISTINCT 'domain' AS kind, host AS key, b, s FROM bytes WHERE b < 100
+  UNION ALL SELECT DISTINCT 'prefix', host || '/' || segment, b, s FROM bytes WHERE b BETWEEN 100 AND 159 AND segment <> ''
+), days AS (
+  SELECT kind, key, s, DATE '2024-01-01' + CAST(b AS INTEGER) AS first, DATE '2024-01-01' + CAST(b + 40 + s AS INTEGER) AS until FROM listed
+), spans AS (
+  SELECT kind, key, first, until FROM days
+  UNION ALL SELECT kind, key, until + 60, NULL FROM days WHERE s % 3 = 0
+), found AS (
+  SELECT c.page_id, l.kind || ':' || l.key AS entry
+  FROM captures c JOIN spans l
+    ON ((l.kind = 'domain' AND (c.host = l.key OR ends_with(c.host, '.' || l.key)))
+        OR (l.kind = 'prefix' AND c.host || '/' || c.segment = l.key))
+   AND l.first <= c.fetched_on AND (l.until IS NULL OR c.fetched_on < l.until)
+), lists AS (
+  SELECT page_id, count(DISTINCT entry) AS n, string_agg(DISTINCT entry, ',' ORDER BY entry) AS entries FROM found GROUP BY page_id
+)
+SELECT c.page_id, c.url, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(n, 0) AS n_matches, coalesce(entries, '') AS matches, n IS NOT NULL AS blocked
+FROM captures c LEFT JOIN lists USING (page_id)
+"""
+
+
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data of every document."""
     found = pii.mark(_texts(spark, folder))
@@ -40,6 +108,41 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(_texts(spark, folder)).select("doc_id", "n_shingles", "component_id")
 
 
+def linked_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """The turns of all conversations as tool calls: what a user says calls ``answer``, a system turn ``configure``.
+
+    The turn that follows an ``answer`` is its result; a call comes after the one two turns before.
+    """
+    turns = load_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").filter("conv_id is not null and turn is not null")
+    number = lambda back: F.concat_ws(":", "conv_id", F.col("turn") - back)
+    calls = turns.filter("role in ('user', 'system')").select(
+        "conv_id", number(0).alias("call_id"), F.when(F.col("role") == "user", "answer").otherwise("configure").alias("name"),
+        F.to_json(F.struct("turn", "text", F.length("text").alias("chars"))).alias("arguments"),
+        F.when(F.col("turn") >= 2, number(2)).alias("after"))
+    results = turns.filter("role = 'assistant'").select("conv_id", number(1).alias("call_id"), F.col("text").alias("output"))
+    fields = [("answer", "text", "string", True), ("answer", "turn", "integer", True), ("answer", "chars", "integer", False),
+              ("configure", "text", "string", True), ("configure", "turn", "integer", True), ("configure", "chars", "integer", False)]
+    schemas = spark.createDataFrame(fields, "name string, field string, type string, required boolean")
+    found = tool_calls.link(calls, results, schemas)
+    return found.select("conv_id", "call_id", "name", "level", "n_rows", "n_results", "dangling", F.array_join("problems", ",").alias("problems"), "valid", "json")
+
+
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document by its labelled neighbours; documents of remainder 0 are held out."""
+    texts = _texts(spark, folder)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = neighbours.fit(texts, load_table(spark, folder, "labels"), ~held_out)
+    found = neighbours.score(texts, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= neighbours.THRESHOLD).cast("int").alias("predicted"))
+
+
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings that occur elsewhere."""
+    found = repeats.remove(_texts(spark, folder))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in windows of benchmark items."""
     found = decontamination.judge(_texts(spark, folder), load_table(spark, folder, "benchmark"))
@@ -50,9 +153,14 @@ def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 #: Name: the query, and its SQL or None.
 QUERIES = {
+    "op1_main_text": (main_texts, None),
+    "op2_listed_captures": (listed_captures, LISTED_SQL),
     "op3_personal_data": (personal_data, None),
     "op4_source_mix": (source_mix, None),
     "op5_quality_rules": (quality_rules, None),
     "op6_ngram_join": (jaccard_join, None),
+    "op7_linked_calls": (linked_calls, None),
+    "op8_quality_scores": (quality_scores, None),
     "op9_benchmark_leaks": (benchmark_leaks, None),
+    "op10_repeated_strings": (repeated_strings, None),
 }
