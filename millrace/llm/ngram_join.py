@@ -2,15 +2,15 @@
 
 A text's set is the hashes of its distinct ``WORDS``-word shingles; texts with equal sets form a class, and
 only classes are compared. Two sets that link share one of the shingles that come first in a common order
-(a quarter of each set), so classes meet in the tiles of those shingles. The work takes two rounds:
+(a quarter of each set), so classes meet in the tiles of those shingles. The work takes two steps:
 
-1. Neighbours by size in each tile are checked. In groups of near copies this connects almost all members
-   with as many checks as there are members.
+1. Neighbours in each tile are checked, in ``CHAINS`` turns, each with one class of each component found so
+   far. In groups of near copies this connects almost all members with about as many checks as members.
 2. Tiles that hold classes of different components are cut into bands of similar size. In each band all
    pairs of different components are bounded from above: with bitmaps in which every shingle flips one bit,
    the bits that differ are at most the shingles that differ. Pairs that pass are intersected exactly.
 
-Pairs of classes that round 1 has connected are not compared again, so no pairs within a group of copies
+Pairs of classes that step 1 has connected are not compared again, so no pairs within a group of copies
 are emitted. The order puts shingles that are common in a bounded sample last; it decides the work only,
 results are exact for any order.
 
@@ -39,8 +39,10 @@ WORDS = 5
 PERCENT = 75
 #: Expected number of texts whose shingles decide which ones count as common, and most such shingles kept.
 ORDER_SAMPLE, COMMON_KEPT = 3000, 50_000
+#: Turns in which neighbours in the tiles are checked before all pairs of different components are.
+CHAINS = 2
 #: Sets of more shingles go without bitmaps in the tiles; their shared tiles are counted instead.
-LARGE = 2000
+LARGE = 16_000
 #: Tile groups of so many rows at most are paired all at once, larger ones one by one.
 SMALL_GROUP = 12
 #: Bits of the set of classes whose shingles are read for exact checks; a fuller set reads more of them.
@@ -82,8 +84,11 @@ def _classes(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(one: np.ndarray) -> bytes:
-    """Every shingle flips one bit; there are about as many bits as shingles (a power of two, 64 at least)."""
-    bits = 1 << max(6, (9 * len(one) // 10).bit_length())
+    """Every shingle flips one bit; there are about as many bits as shingles (a power of two, 64 at least).
+
+    Small sets get three times as many: with few bits those that just miss a link would all pass.
+    """
+    bits = 1 << max(6, (3 * len(one) if len(one) <= 340 else 9 * len(one) // 10).bit_length())
     return np.packbits((np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
 
 
@@ -363,6 +368,29 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
     return pairs.filter("times >= least").select("a", "b")
 
 
+def _rooted(tiles: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows of the tiles with the component that each class is known to be in so far."""
+    if roots is None:
+        return tiles.withColumn("root", F.col("class"))
+    return tiles.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of tiles that hold two components or more."""
+    mixed = rows.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tile")
+    return rows.join(mixed, "tile", "left_semi")
+
+
+def _chained(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of neighbours in each tile: one class of each component, in order of size and then, by turns, of a hash."""
+    one = rows.groupBy("tile", "root").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), "n", "class")).alias("x"))
+    order = ["x.n", "x.class"] if turn % 2 == 0 else ["x.h", "x.class"]
+    by = Window.partitionBy("tile").orderBy(*order)
+    near = one.select("tile", F.col("x.n").alias("n"), F.col("x.class").alias("class"), F.lag("x.n").over(by).alias("m"), F.lag("x.class").over(by).alias("b"))
+    near = near.filter((F.least("m", "n") * 100 >= F.greatest("m", "n") * percent))
+    return near.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
+
+
 def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """All columns of ``documents`` but the text, ``n_shingles``, ``component_id`` (smallest doc_id linked)
     and ``component`` (a number of each component, also of those that have no id)."""
@@ -379,21 +407,20 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     tiled = write_once(_shared(_leading(texts, common, percent)))
     tiles = tiled.rows
 
-    by_size = Window.partitionBy("tile").orderBy("n", "class")
-    near = tiles.withColumn("m", F.lag("n").over(by_size)).withColumn("a", F.lag("class").over(by_size))
-    near = near.filter(F.col("m") * 100 >= F.col("n") * percent).select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
     bits = classes.select(F.col("_class").alias("class"), F.col("_n").alias("n"), F.col("_bits").alias("bits"))
-    links = _verified(write_once(_bounded(near.distinct(), bits, percent)).rows, texts, percent)
-    roots = write_once(components(links)).rows
-
-    named = tiles.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = named.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tile")
-    named = named.join(mixed, "tile", "left_semi")
-    more = write_once(_banded(named.join(bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits")), "class").select("tile", "class", "n", "root", "bits"), percent)).rows
+    roots = None
+    for turn in range(CHAINS):
+        near = _bounded(_chained(_rooted(tiles, roots), turn, percent).distinct(), bits, percent)
+        links = _verified(write_once(near).rows, texts, percent)
+        if roots is not None:  # of the links before, only the spanning ones are needed
+            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = write_once(components(links)).rows
+
+    mixed = _mixed(_rooted(tiles, roots))
+    inside = bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits"))
+    more = write_once(_banded(mixed.join(inside, "class").select("tile", "class", "n", "root", "bits"), percent)).rows
     tiled.delete()
-    # What tiles have counted only is bounded now.
-    found = _verified(write_once(_bounded(more, bits, percent)).rows, texts, percent)
-    # Of round 1 only the spanning links are needed.
+    found = _verified(more, texts, percent)
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     whole = classes.select("_class", "_least").join(every.select(F.col("node").alias("_class"), "root"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
     named = whole.join(whole.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("_class", F.col("root").alias("component"), "component_id")
