@@ -6,7 +6,8 @@ only classes are compared. Two sets that link share one of the shingles that com
 
 1. Neighbours in each tile are checked, in ``CHAINS`` turns, each with one class of each component found so
    far. In groups of near copies this connects almost all members with about as many checks as members.
-2. Tiles that hold classes of different components are cut into bands of similar size. In each band all
+2. Tiles that hold classes of different components are cut into bands of similar size, first for the nearest
+   pairs of two components, then, with what these have joined, for all. In each band
    pairs of different components are bounded from above: with bitmaps in which every shingle flips one bit,
    the bits that differ are at most the shingles that differ. Pairs that pass are intersected exactly.
 
@@ -40,7 +41,7 @@ PERCENT = 75
 #: Expected number of texts whose shingles decide which ones count as common, and most such shingles kept.
 ORDER_SAMPLE, COMMON_KEPT = 3000, 50_000
 #: Turns in which neighbours in the tiles are checked before all pairs of different components are.
-CHAINS = 2
+CHAINS = 1
 #: Sets of more shingles go without bitmaps in the tiles; their shared tiles are counted instead.
 LARGE = 16_000
 #: Tile groups of so many rows at most are paired all at once, larger ones one by one.
@@ -84,11 +85,11 @@ def _classes(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(one: np.ndarray) -> bytes:
-    """Every shingle flips one bit; there are about as many bits as shingles (a power of two, 64 at least).
+    """Every shingle flips one bit; there are more bits than shingles (a power of two, 64 at least).
 
-    Small sets get three times as many: with few bits those that just miss a link would all pass.
+    Small sets get the most: with few bits those that just miss a link would all pass.
     """
-    bits = 1 << max(6, (3 * len(one) if len(one) <= 340 else 9 * len(one) // 10).bit_length())
+    bits = 1 << max(6, (6 * len(one) if len(one) <= 340 else 13 * len(one) // 10).bit_length())
     return np.packbits((np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
 
 
@@ -281,9 +282,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return links
 
 
-def _banded(rows: DataFrame, percent: int) -> DataFrame:
+def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs of classes of different components that may link: rows have tile, class, n, root and bits.
 
+    With ``nearest`` only the pair of two components whose bitmaps are nearest, of each task.
+
     A tile's rows go to the band of their size and, as smaller partners, to the next one, so that a tile is
     spread over as many tasks as it has bands. Two sizes that can link differ by one band at most.
     """
@@ -309,6 +312,7 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
         slot = np.zeros(len(maps), dtype=np.int64)
         for w in stacked:
             slot[width == w] = np.arange((width == w).sum())
+        group_of = root[one]
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def add(x: np.ndarray, y: np.ndarray) -> None:
@@ -316,7 +320,8 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
             x, y = of[x[ok]], of[y[ok]]
             size = n[one]
             most = _most_differing(size[x], size[y], percent)
-            keep = np.ones(len(x), dtype=bool)
+            keep = np.full(len(x), not nearest)
+            slack = np.zeros(len(x), dtype=np.int64)
             for a in stacked:
                 for b in stacked:
                     if not a or not b:
@@ -325,9 +330,17 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
                     for k in range(0, len(at), 1 << 15):
                         some = at[k : k + (1 << 15)]
                         differ = _fold(stacked[a][slot[x[some]]], min(a, b)) ^ _fold(stacked[b][slot[y[some]]], min(a, b))
-                        keep[some] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[some]
+                        slack[some] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) - most[some]
+                        keep[some] = slack[some] <= 0
             if keep.any():
-                found.append((np.minimum(x[keep], y[keep]), np.maximum(x[keep], y[keep]), np.ones(int(keep.sum()), dtype=np.int64)))
+                x, y = np.minimum(x[keep], y[keep]), np.maximum(x[keep], y[keep])
+                if nearest:
+                    low, high = np.minimum(group_of[x], group_of[y]), np.maximum(group_of[x], group_of[y])
+                    order = np.lexsort((slack[keep], high, low))
+                    first = np.ones(len(order), dtype=bool)
+                    first[1:] = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+                    x, y = x[order[first]], y[order[first]]
+                found.append((x, y, np.ones(len(x), dtype=np.int64)))
 
         def counted() -> None:
             if found:
@@ -359,6 +372,10 @@ def _banded(rows: DataFrame, percent: int) -> DataFrame:
         counted()
         if found:
             x, y, times = found[0]
+            if nearest:
+                pairs_of = np.stack([np.minimum(group_of[x], group_of[y]), np.maximum(group_of[x], group_of[y])], axis=1)
+                one_of = np.unique(pairs_of, axis=0, return_index=True)[1]
+                x, y, times = x[one_of], y[one_of], times[one_of]
             a, b = classes[x], classes[y]
             least = np.minimum(_shares(n[one][x]), _shares(n[one][y]))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(times), pa.array(least)], names=["a", "b", "times", "least"])
@@ -416,11 +433,14 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
             links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = write_once(components(links)).rows
 
-    mixed = _mixed(_rooted(tiles, roots))
+    # Components that are left meet at their nearest pairs first, then at all.
     inside = bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits"))
-    more = write_once(_banded(mixed.join(inside, "class").select("tile", "class", "n", "root", "bits"), percent)).rows
+    for nearest in (True, False):
+        mixed = _mixed(_rooted(tiles, roots)).join(inside, "class").select("tile", "class", "n", "root", "bits")
+        found = _verified(write_once(_banded(mixed, percent, nearest)).rows, texts, percent)
+        if nearest:
+            roots = write_once(components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))).rows
     tiled.delete()
-    found = _verified(more, texts, percent)
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     whole = classes.select("_class", "_least").join(every.select(F.col("node").alias("_class"), "root"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
     named = whole.join(whole.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("_class", F.col("root").alias("component"), "component_id")
