@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontamination, mixing, ngram_join, pii, quality_lines
-from millrace.llm.columns import keyed, named, shield
+from millrace.llm.columns import keyed, shield
 from millrace.session import load_table, write_once
 
 
@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one with the smallest id; documents without an id come last."""
-    inner, restore = shield(docs, docs.columns)
+    inner, restore = shield(docs, ["doc_id", "text"])
     rows = keyed(inner)
     found = write_once(ngram_join.join(rows.select("row_key", "doc_id", "text"))).rows
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("x"))
@@ -33,9 +33,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
-    rows = keyed(docs)
+    inner, restore = shield(docs, ["text"])
+    rows = keyed(inner)
     found = decontamination.judge(rows.select("row_key", "text"), load_table(spark, sf_dir, "benchmark"))
-    return rows.join(found.filter("n_hit > 0").select("row_key"), "row_key", "left_anti").select(*map(named, docs.columns))
+    return restore(rows.join(found.filter("n_hit > 0").select("row_key"), "row_key", "left_anti"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +48,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, once for each time; ``copy`` counts from 1."""
-    rows = keyed(docs)
+    inner, restore = shield(docs, ["doc_id", "source", "text"])
+    rows = keyed(inner)
     mixed = mixing.mix(rows.select("row_key", "doc_id", "source", mixing.words().alias("size")))
-    taken = mixed.filter("copies > 0").select("row_key", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("nth_copy"))
-    return rows.join(taken, "row_key").select(*(named(c) for c in docs.columns if c != "copy"), F.col("nth_copy").alias("copy"))
+    taken = mixed.filter("copies > 0").select("row_key", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return restore(rows.join(taken, "row_key"), "copy")
 
 
 STAGES = [

@@ -119,7 +119,7 @@ def test_personal_data(spark, edge, empty):
     found = {r.doc_id: [(s["kind"], s["start"], s["end"]) for s in r.pii] for r in pii.mark(documents(spark, texts)).fillna(3, ["doc_id"]).collect()}
     assert [texts[0][a:b] for _, a, b in found[0]] == ["a.b@c.de", "p@q.r", "_s@t.uv", "+1 (017) 555-7713"]
     assert [texts[1][a:b] for _, a, b in found[1]] == ["1.2.3.4", "9.9.9.9", "9.9.9.9"]
-    assert [texts[2][a:b] for k, a, b in found[2]] == ["4532015112830366", "4532 0151 1283 0366"] or len(found[2]) >= 1
+    assert [texts[2][a:b] for k, a, b in found[2]] == ["4532015112830366", "4532 0151 1283 0366"]
     assert [k for k, *_ in found[3]] == ["iban", "national_id"] and not found[4] and not found[5]
     assert pii.redact("to a@b.cd now", [{"kind": "email", "start": 3, "end": 9}]) == "to <EMAIL> now"
     assert pii.mark(edge).count() == len(EDGE) and pii.mark(empty).count() == 0
@@ -319,7 +319,7 @@ def test_pipeline_stages(spark, tmp_path):
     assert ids["quality_rules"] == set(range(60)) | {90, 91, 92, 93}
     assert ids["near_duplicates"] == set(range(60)) | {92, 93} and len(seen["near_duplicates"]) == 62
     assert ids["decontaminate"] == set(range(60)) | {93}
-    assert next(r.text for r in seen["personal_data"] if r.doc_id == 93).endswith("write to <EMAIL>")
+    assert next(r.text for r in seen["personal_data"] if r.doc_id == 93).endswith("write to <EMAIL>.")
     assert {r.copy for r in seen["source_mix"]} <= {1, 2} and len(seen["source_mix"]) > 61
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen["source_mix"])
     for _, stage in corpus_pipeline.STAGES:
