@@ -7,7 +7,8 @@ only classes are compared. Two sets that link share one of the shingles that com
 1. Neighbours in each tile are checked, in ``CHAINS`` turns, each with one class of each component found so
    far. In groups of near copies this connects almost all members with about as many checks as members.
 2. Tiles that hold classes of different components are cut into bands of similar size, first for the nearest
-   pairs of two components, then, with what these have joined, for all. In each band
+   pairs of two components, then for all pairs of those components that had more than one and that the nearest
+   has not joined. In each band
    pairs of different components are bounded from above: with bitmaps in which every shingle flips one bit,
    the bits that differ are at most the shingles that differ. Pairs that pass are intersected exactly.
 
@@ -93,6 +94,11 @@ def _bitmap(one: np.ndarray) -> bytes:
     return np.packbits((np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
 
 
+def _hashed(documents: DataFrame) -> DataFrame:
+    """The texts with a hash of each, by which a text is found again without making its shingles."""
+    return documents.filter("text is not null").select("text", F.xxhash64("text").alias("hash"))
+
+
 def _text_of(batch: pa.RecordBatch) -> pa.Array:
     return batch.column(batch.schema.get_field_index("text"))
 
@@ -229,9 +235,9 @@ def _bounded(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def _member_set(pairs: DataFrame) -> np.ndarray:
-    """The classes of ``pairs`` as a bit set of fixed size."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("c")).select(F.shiftrightunsigned("c", 64 - SET_BITS).alias("bit"))
+def _member_set(wanted: DataFrame) -> np.ndarray:
+    """The texts of ``wanted`` as a bit set of fixed size, by their hash."""
+    ids = wanted.select(F.shiftrightunsigned("hash", 64 - SET_BITS).alias("bit"))
     rows = ids.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect()
     out = np.zeros(1 << (SET_BITS - 6), dtype=np.int64)
     for r in rows:
@@ -239,26 +245,31 @@ def _member_set(pairs: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs of classes (a, b) that link, by exact intersection of their sorted shingles."""
-    members = _member_set(pairs)
+def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs of classes (a, b) that link, by exact intersection of their sorted shingles.
+
+    ``reps`` has the hash of one text of each class; of all texts only those are read into shingles.
+    """
+    ends = write_once(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(reps, "class"))
+    members = _member_set(ends.rows)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(members, bitorder="little").view(bool)
         seen: set[int] = set()
         for batch in batches:
-            for _, _, data, offsets in T.chunks(_text_of(batch)):
+            mark = batch.column(1).to_numpy().view(np.uint64)
+            some = [i for i in np.flatnonzero(known[(mark >> np.uint64(64 - SET_BITS)).astype(np.int64)])
+                    if int(mark[i]) not in seen and not seen.add(int(mark[i]))]
+            for _, _, data, offsets in T.chunks(batch.column(0).take(pa.array(some, pa.int64()))):
                 gram, first = _sets(data, offsets)
                 key = _classes(gram, first)
-                wanted = [i for i in np.flatnonzero((key != 0) & known[(key >> np.uint64(64 - SET_BITS)).astype(np.int64)])
-                          if int(key[i]) not in seen and not seen.add(int(key[i]))]
+                wanted = np.flatnonzero(key != 0)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[wanted].view(np.int64)), pa.array([gram[first[i] : first[i + 1]].tobytes() for i in wanted], pa.binary())],
                     names=["class", "grams"])
 
-    sets = texts.mapInArrow(read, "class long, grams binary")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    written = write_once(sets.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("grams").alias("grams")))
+    sets = _hashed(texts).mapInArrow(read, "class long, grams binary")
+    written = write_once(sets.join(ends.rows, "class", "left_semi").groupBy("class").agg(F.first("grams").alias("grams")))
     sets = written.rows
     left = pairs.join(sets.select(F.col("class").alias("a"), F.col("grams").alias("of_a")), "a")
     both = left.join(sets.select(F.col("class").alias("b"), F.col("grams").alias("of_b")), "b").select("a", "b", "of_a", "of_b")
@@ -279,21 +290,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     links = write_once(both.mapInArrow(check, "a long, b long")).rows
     written.delete()
+    ends.delete()
     return links
 
 
 def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of classes of different components that may link: rows have tile, class, n, root and bits.
+    """Pairs of classes of different components that may link: rows have tile, members, class, n, root and bits.
 
-    With ``nearest`` only the pair of two components whose bitmaps are nearest, of each task.
+    With ``nearest`` only one near pair of two components of each task, and in ``more`` whether there are others;
+    sets without bitmaps have no near pairs.
 
     A tile's rows go to the band of their size and, as smaller partners, to the next one, so that a tile is
-    spread over as many tasks as it has bands. Two sizes that can link differ by one band at most.
+    spread over as many tasks as it has bands. Two sizes that can link differ by one band at most. Tiles that
+    are paired all at once stay whole.
     """
     step = math.log(100 / percent)
     rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int"))
-    rows = rows.select("tile", "class", "n", "root", "bits", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
-                                                                              F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))).alias("to"))
+    rows = rows.select("tile", "class", "n", "root", "bits", F.explode(
+        F.when(F.col("members") <= SMALL_GROUP, F.array(F.struct(F.lit(-1).alias("band"), F.lit(True).alias("own"))))
+        .otherwise(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
+                           F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own"))))).alias("to"))
     rows = rows.select("tile", F.col("to.band").alias("band"), F.col("to.own").alias("own"), "class", "n", "root", "bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,13 +350,18 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
                         keep[some] = slack[some] <= 0
             if keep.any():
                 x, y = np.minimum(x[keep], y[keep]), np.maximum(x[keep], y[keep])
+                weight = np.ones(len(x), dtype=np.int64)
                 if nearest:
                     low, high = np.minimum(group_of[x], group_of[y]), np.maximum(group_of[x], group_of[y])
                     order = np.lexsort((slack[keep], high, low))
-                    first = np.ones(len(order), dtype=bool)
-                    first[1:] = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
-                    x, y = x[order[first]], y[order[first]]
-                found.append((x, y, np.ones(len(x), dtype=np.int64)))
+                    x, y, low, high = x[order], y[order], low[order], high[order]
+                    new = np.ones(len(order), dtype=bool)
+                    new[1:] = (np.diff(low) != 0) | (np.diff(high) != 0)
+                    at = np.flatnonzero(new)
+                    lead = np.repeat(at, np.diff(np.append(at, len(x))))
+                    weight = np.add.reduceat(((x != x[lead]) | (y != y[lead])).astype(np.int64), at)  # other pairs left out
+                    x, y = x[at], y[at]
+                found.append((x, y, weight))
 
         def counted() -> None:
             if found:
@@ -374,15 +395,17 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             x, y, times = found[0]
             if nearest:
                 pairs_of = np.stack([np.minimum(group_of[x], group_of[y]), np.maximum(group_of[x], group_of[y])], axis=1)
-                one_of = np.unique(pairs_of, axis=0, return_index=True)[1]
-                x, y, times = x[one_of], y[one_of], times[one_of]
+                _, one_of, which, pairs = np.unique(pairs_of, axis=0, return_index=True, return_inverse=True, return_counts=True)
+                times = np.bincount(which.ravel(), weights=times).astype(np.int64) + pairs - 1
+                x, y = x[one_of], y[one_of]
             a, b = classes[x], classes[y]
-            least = np.minimum(_shares(n[one][x]), _shares(n[one][y]))
+            least = np.zeros(len(x), dtype=np.int64) if nearest else np.minimum(_shares(n[one][x]), _shares(n[one][y]))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(times), pa.array(least)], names=["a", "b", "times", "least"])
 
+    # ``times`` counts the shared tiles of a pair or, of a nearest one, the other pairs of its components.
     pairs = rows.repartition("tile", "band").mapInArrow(run, "a long, b long, times long, least long")
     pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.first("least").alias("least"))
-    return pairs.filter("times >= least").select("a", "b")
+    return pairs.filter("times >= least").select("a", "b", (F.col("times") > 0).alias("more"))
 
 
 def _rooted(tiles: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -393,9 +416,24 @@ def _rooted(tiles: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of tiles that hold two components or more."""
-    mixed = rows.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("tile")
-    return rows.join(mixed, "tile", "left_semi")
+    """Rows of tiles that hold two components or more, and how many rows the tile has."""
+    mixed = rows.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
+    return rows.join(mixed.filter("lo <> hi").select("tile", "members"), "tile")
+
+
+def _open(rows: DataFrame, near: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Rows that all pairs have to be made of once the nearest pairs are checked.
+
+    Where two components had one pair only, that was checked. Left are components that had more and are
+    still apart, and sets that may link with one that has no bitmap.
+    """
+    ends = near.filter("more").select("a", "b")
+    for side in ("a", "b"):
+        ends = ends.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"of_{side}")), side, "left")
+        ends = ends.withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    apart = ends.filter("of_a <> of_b").select(F.explode(F.array("of_a", "of_b")).alias("root")).distinct()
+    large = F.col("n").cast("long") * 100 >= percent * LARGE
+    return rows.filter(large).unionByName(rows.filter(~large).join(apart, "root", "left_semi"))
 
 
 def _chained(rows: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -415,31 +453,33 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     documents, restore = shield(documents, ["doc_id", "text"])
     texts = documents.select("text").filter("text is not null")
     others = [c for c in documents.columns if c != "text"]
-    placed = write_once(class_of(documents)).rows
+    placed = write_once(class_of(documents.withColumn("_hash", F.xxhash64("text")))).rows
     # An empty set is a class of its own id, which holds nothing else.
     alone = F.xxhash64(F.lit("empty set"), "doc_id").bitwiseAND(F.lit(-2))
     placed = placed.withColumn("_class", F.coalesce("_class", alone))
-    classes = placed.groupBy("_class").agg(F.min("doc_id").alias("_least"), F.first("_n").alias("_n"), F.first("_bits").alias("_bits"))
+    classes = placed.groupBy("_class").agg(F.min("doc_id").alias("_least"), F.first("_n").alias("_n"), F.first("_bits").alias("_bits"), F.min("_hash").alias("_hash"))
     common = _common(texts, placed.count())
     tiled = write_once(_shared(_leading(texts, common, percent)))
     tiles = tiled.rows
 
     bits = classes.select(F.col("_class").alias("class"), F.col("_n").alias("n"), F.col("_bits").alias("bits"))
+    reps = classes.filter("_n > 0").select(F.col("_class").alias("class"), F.col("_hash").alias("hash"))
     roots = None
     for turn in range(CHAINS):
         near = _bounded(_chained(_rooted(tiles, roots), turn, percent).distinct(), bits, percent)
-        links = _verified(write_once(near).rows, texts, percent)
+        links = _verified(write_once(near).rows, texts, reps, percent)
         if roots is not None:  # of the links before, only the spanning ones are needed
             links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = write_once(components(links)).rows
 
     # Components that are left meet at their nearest pairs first, then at all.
     inside = bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits"))
-    for nearest in (True, False):
-        mixed = _mixed(_rooted(tiles, roots)).join(inside, "class").select("tile", "class", "n", "root", "bits")
-        found = _verified(write_once(_banded(mixed, percent, nearest)).rows, texts, percent)
-        if nearest:
-            roots = write_once(components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))).rows
+    rows = _mixed(_rooted(tiles, roots)).join(inside, "class")
+    near = write_once(_banded(rows, percent, nearest=True)).rows
+    found = _verified(near, texts, reps, percent)
+    roots = write_once(components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))).rows
+    rows = _mixed(_open(_rooted(tiles, roots), near, roots, percent)).join(inside, "class")
+    found = _verified(write_once(_banded(rows, percent, nearest=False)).rows, texts, reps, percent)
     tiled.delete()
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     whole = classes.select("_class", "_least").join(every.select(F.col("node").alias("_class"), "root"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))

@@ -97,6 +97,28 @@ def test_ngram_join_counts_shared_tiles_of_large_sets(spark, monkeypatch):
     test_ngram_join_matches_all_pairs(spark)
 
 
+def test_ngram_join_cuts_all_tiles_into_bands(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", 1)
+    test_ngram_join_matches_all_pairs(spark)
+
+
+def test_components_with_several_near_pairs_are_joined(spark):
+    """Two groups of copies that only one of many bounded pairs joins, and copies that differ in white space."""
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for side, cut in enumerate((0, 7)):
+        for i in range(9):
+            one = list(words)
+            one[cut + 3] = f"x{side}"
+            one[50] = f"y{side}_{i}" if i else "both"
+            texts.append("  ".join(one) if i % 2 else " ".join(one))
+    texts += [t.upper() for t in texts[:4]] + [t.replace(" ", "\n") for t in texts[9:12]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(rows).collect()}
+    sizes, roots = components_of(texts)
+    assert found == {i: (sizes[i], roots[i]) for i in range(len(texts))}
+
+
 def test_ngram_join_edges(spark, edge, empty):
     found = ngram_join.join(edge).collect()
     assert len(found) == len(EDGE) and ngram_join.join(empty).count() == 0
