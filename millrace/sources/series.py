@@ -13,7 +13,7 @@ from millrace.functions.dates import check_part, dateadd, datediff
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
     """1..n as ``generated_number``."""
     if upper_bound <= 0:
-        raise ValueError("upper bound must be positive")
+        raise ValueError(f"a series needs at least one number, not {upper_bound}")
     return spark.range(1, upper_bound + 1).withColumnRenamed("id", "generated_number")
 
 
