@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.checks import evaluate
+from millrace.session import write_once
 from millrace.sinks.tables import replace_folder, save_table
 from millrace.sources.files import SALES_SCHEMA, read_json_pages
 
@@ -58,14 +59,18 @@ Check = Callable[[DataFrame], DataFrame]
 def build_and_check(
     df: DataFrame, name: str, checks: Sequence[tuple[str, Check]], fail_fast: bool = True, path: str | None = None
 ) -> dict[str, tuple[str, int]]:
-    """Run the checks of a model and write it as a table only if all of them pass."""
-    results: dict[str, tuple[str, int]] = {}
-    for label, check in checks:
-        results[label] = evaluate(check(df))
-        if results[label][0] == "error" and fail_fast:
-            break
-    failed = {k: v for k, v in results.items() if v[0] == "error"}
-    if failed:
-        raise ValueError(f"{name} not written; failing checks: {failed}")
-    save_table(df, name, path=path)
-    return results
+    """Compute a model once, check the rows that were written, and publish these only if all checks pass."""
+    written = write_once(df)
+    try:
+        results: dict[str, tuple[str, int]] = {}
+        for label, check in checks:
+            results[label] = evaluate(check(written.rows))
+            if results[label][0] == "error" and fail_fast:
+                break
+        failed = {k: v for k, v in results.items() if v[0] == "error"}
+        if failed:
+            raise ValueError(f"{name} not written; failing checks: {failed}")
+        save_table(written.rows, name, path=path)
+        return results
+    finally:
+        written.delete()

@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import write_once
+
 
 def replace_folder(df: DataFrame, path: str, format: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Replace a folder; with partition columns only the partitions present in ``df`` are replaced.
 
     Writing the same rows again leaves the same content, so a run may be repeated.
     """
+    if partition_by:
+        # Small partitions get one file, and large ones as many tasks as their size asks for.
+        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     writer = df.write.format(format).mode("overwrite")
     if partition_by:
-        # Rows of one partition are spread over as many tasks as they need, not sent to one.
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
@@ -47,13 +51,16 @@ class MaterializedView:
         create_if_absent(self.spark, self.name, self.query().schema, path=self.path)
 
     def refresh(self) -> DataFrame:
-        """Recompute and replace the table, then verify that the key is unique."""
-        table = save_table(self.query(), self.name, path=self.path)
-        if self.key:
-            repeated = table.groupBy(*self.key).count().where(F.col("count") > 1)
-            if not repeated.isEmpty():
-                raise ValueError(f"{self.name}: key {', '.join(self.key)} is not unique")
-        return table
+        """Recompute beside the table, verify that the key is unique, and only then replace the table."""
+        written = write_once(self.query())
+        try:
+            if self.key:
+                repeated = written.rows.groupBy(*self.key).count().where(F.col("count") > 1)
+                if not repeated.isEmpty():
+                    raise ValueError(f"{self.name}: key {', '.join(self.key)} is not unique")
+            return save_table(written.rows, self.name, path=self.path)
+        finally:
+            written.delete()
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
