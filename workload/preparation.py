@@ -190,6 +190,19 @@ PART_FEATURES = {
 QUERIES.update({name: _on_parts(made, sql) for name, (made, sql) in PART_FEATURES.items()})
 
 
+@query("""
+SELECT o_orderkey, ntile(7) OVER (ORDER BY o_orderkey + 9007199254740992) AS wide_bin,
+       ntile(5) OVER (ORDER BY o_custkey + 9007199254740992, o_orderkey) AS tied_bin
+FROM orders""")
+def feat_quantile_bins_wide_integers(spark, folder):
+    """Bins of integers that a double can't tell apart."""
+    first = F.lit(1 << 53)
+    orders = load(spark, folder, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") + first).alias("wide"), (F.col("o_custkey") + first).alias("tied"))
+    bins = {"wide_bin": ft.k_bins_discretize("wide", 7), "tied_bin": ft.k_bins_discretize("tied", 5)}
+    return ft.fit_transform(orders, bins, key=["o_orderkey"], keep=["o_orderkey"])
+
+
 @query(GAPPY_SQL + """
 SELECT how, count(*) AS rows, CAST(0 AS BIGINT) AS still_null, count(*) AS from_pool, count(price) AS unchanged
 FROM parts, (VALUES ('observed'), ('distinct')) AS ways(how) GROUP BY how""")
