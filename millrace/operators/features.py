@@ -21,10 +21,11 @@ from millrace.functions.names import slugify
 from millrace.operators import ordering
 from millrace.operators.aggregates import COMPARISONS, frequencies, most_frequent
 from millrace.operators.joins import lookup
-from millrace.operators.reshape import DRIVER_VALUES
 from millrace.session import write_once
 
 ROW_KEY = "_row_key"
+# Values of a column that the driver takes as a list, for one-hot columns and frequent values.
+DRIVER_VALUES = 1000
 # Up to this many codes are a CASE; more are looked up in a joined mapping.
 CASE_VALUES = 20
 MAX_TILES = 256

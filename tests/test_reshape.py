@@ -58,20 +58,20 @@ def test_union_relations(spark):
 
 def test_column_values(spark):
     df = spark.createDataFrame([(c,) for c in "abcdefggggg"], "field string")
-    assert reshape.get_column_values(df, "field") == ["g", "a", "b", "c", "d", "e", "f"]
+    assert reshape.get_column_values(df, "field", at_most=7) == ["g", "a", "b", "c", "d", "e", "f"]
     assert reshape.get_column_values(df, "field", order_by=["value"], max_records=2) == ["a", "b"]
-    assert reshape.get_column_values(df, "field", where="field > 'f'") == ["g"]
+    assert reshape.get_column_values(df, "field", where="field > 'f'", at_most=7) == ["g"]
     assert reshape.get_column_values(None, "field", default=["x"]) == ["x"]
-    assert reshape.get_column_values(df.where("false"), "field", default=["x"]) == ["x"]
+    assert reshape.get_column_values(df.where("false"), "field", default=["x"], at_most=7) == ["x"]
     with pytest.raises(ValueError):
         reshape.get_column_values(None, "field")
     with pytest.raises(ValueError):
-        reshape.get_column_values(spark.range(2000), "id")
+        reshape.get_column_values(spark.range(2000), "id", at_most=1999)
 
 
 def test_values_on_the_driver(spark):
     df = spark.createDataFrame([(1, "a", True), (2, "b", False), (3, "c", None)], "col_1 int, col_2 string, col_3 boolean")
-    assert reshape.get_query_results_as_dict(df) == {"col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
+    assert reshape.get_query_results_as_dict(df, max_rows=3) == {"col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
     with pytest.raises(ValueError):
         reshape.get_query_results_as_dict(df, max_rows=2)
     assert reshape.get_single_value(df.select("col_2")) == "a"

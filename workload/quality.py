@@ -58,27 +58,27 @@ def check_cardinality_equality(spark, folder):
 
 
 _BOTH = """
-WITH a AS (SELECT c_nationkey AS nation, count(*) AS x FROM customer WHERE c_nationkey <> 3 GROUP BY 1),
-b AS (SELECT s_nationkey AS nation, count(*) AS y FROM supplier GROUP BY 1),
-c AS (SELECT coalesce(a.nation, b.nation) AS nation, coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM a FULL JOIN b ON a.nation = b.nation)
+WITH a AS (SELECT doc_id, count(*) AS x FROM documents GROUP BY 1),
+b AS (SELECT doc_id, count(*) AS y FROM labels GROUP BY 1),
+c AS (SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM a FULL JOIN b ON a.doc_id = b.doc_id)
 """
 
 
-def _nations(spark, folder):
-    customers = load(spark, folder, "customer").select(F.col("c_nationkey").alias("nation")).where("nation <> 3")
-    return customers, load(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"))
+def _labelled(spark, folder):
+    """Not every document has a label, so groups are missing on one side."""
+    return load(spark, folder, "documents").select("doc_id"), load(spark, folder, "labels").select("doc_id")
 
 
-@query(_BOTH + "SELECT nation, x AS count_a, y AS count_b, abs(x - y) AS diff_count FROM c WHERE x <> y")
+@query(_BOTH + "SELECT doc_id, x AS count_a, y AS count_b, abs(x - y) AS diff_count FROM c WHERE x <> y")
 def check_equal_rowcount(spark, folder):
-    return checks.equal_rowcount(*_nations(spark, folder), ["nation"])
+    return checks.equal_rowcount(*_labelled(spark, folder), ["doc_id"])
 
 
 @query(_BOTH + """
-SELECT nation, x AS count_our_model, y AS count_comparison_model, CASE WHEN x > y THEN x - y WHEN x = y THEN 1 ELSE 0 END AS row_count_delta
+SELECT doc_id, x AS count_our_model, y AS count_comparison_model, CASE WHEN x > y THEN x - y WHEN x = y THEN 1 ELSE 0 END AS row_count_delta
 FROM c WHERE x >= y""")
 def check_fewer_rows_than(spark, folder):
-    return checks.fewer_rows_than(*_nations(spark, folder), ["nation"])
+    return checks.fewer_rows_than(*_labelled(spark, folder), ["doc_id"])
 
 
 @query("""
@@ -214,27 +214,25 @@ UNION ALL SELECT 'key_unique', 'pass', 0
 UNION ALL SELECT 'known_status', CASE WHEN count(*) > 0 THEN 'warn' ELSE 'pass' END, count(*)
   FROM (SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'P'))
 UNION ALL SELECT 'cheap', CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END, count(*) FROM orders WHERE o_custkey > 10 AND o_totalprice > 400000
-UNION ALL SELECT 'same_slice', CASE WHEN n > 0 THEN 'error' ELSE 'pass' END, n FROM (
-  SELECT abs((SELECT count(*) FROM orders WHERE o_orderstatus = 'F') - (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')) AS n)""")
+UNION ALL SELECT 'one_each', CASE WHEN n > 0 THEN 'error' ELSE 'pass' END, n FROM (
+  SELECT abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM customer)) AS n)""")
 def check_evaluation(spark, folder):
     """Status and number of failures of several checks on one table."""
     orders = load(spark, folder, "orders")
-    status = lambda s: orders.where(F.col("o_orderstatus") == s)
     results = {
         "key_not_null": checks.run_check(checks.not_null, orders, "o_orderkey"),
         "key_unique": checks.run_check(checks.unique, orders, "o_orderkey"),
         "known_status": checks.run_check(checks.accepted_values, orders, "o_orderstatus", ["F", "P"], error_if="> 10"),
         "cheap": checks.run_check(checks.accepted_range, orders, "o_totalprice", max_value=400000, where="o_custkey > 10"),
-        "same_slice": checks.run_check(checks.equal_rowcount, status("F"), status("P")),
+        "one_each": checks.run_check(checks.equal_rowcount, orders, load(spark, folder, "customer")),
     }
     return spark.createDataFrame([(k, *v) for k, v in results.items()], "name string, status string, n long")
 
 
 @query("""
-SELECT l_orderkey, l_linenumber FROM lineitem WHERE abs(l_discount - l_tax) > 0.0001 AND l_returnflag = 'R' AND l_quantity = 7""")
+SELECT l_orderkey, l_linenumber FROM lineitem WHERE abs(l_discount - l_tax) > 0.0001""")
 def check_assert_equal(spark, folder):
-    rows = _lines(spark, folder).where("l_returnflag = 'R' AND l_quantity = 7")
-    failing = checks.assert_equal(rows, "l_discount", "l_tax", tolerance=0.0001)
+    failing = checks.assert_equal(_lines(spark, folder), "l_discount", "l_tax", tolerance=0.0001)
     return failing.select("l_orderkey", "l_linenumber")
 
 
