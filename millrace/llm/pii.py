@@ -1,8 +1,8 @@
 """Personal data: patterns propose spans, checks confirm them, words nearby adjust their score.
 
 Kinds of the base: email, ip (parts at most 255), card (14 to 19 digits, Luhn), phone (10 to 15 digits).
-Their confirmed spans are always reported. Kinds that the method adds: iban (modulo 97) and national_id,
-which is reported only where the words round it lift its score to ``THRESHOLD``.
+Their confirmed spans are always reported. Kinds that the method adds: iban (the length of its country, modulo
+97), and national_id, which is reported only where the words round it lift its score to ``THRESHOLD``.
 
 Cases: a null or empty text has no spans. Spans count code points, the end is exclusive. Spans of one kind
 never overlap, spans of different kinds may; ``redact`` joins those that do. Every step takes time in
@@ -33,13 +33,20 @@ WORDS_FOR = {
     "iban": "iban|account|bank|konto|compte|cuenta",
     "national_id": "ssn|social security|sozialversicherung|securite sociale|seguridad social",
 }
+#: Characters of an account number by its country, as registered; other codes may have 15 to 34.
+IBAN_LENGTH = {code: int(n) for n, codes in (line.split(":") for line in (
+    "15:NO", "16:BE", "18:DK FI FK FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV",
+    "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST",
+    "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HN HU LB NI PL SV", "29:BR EG PS QA UA",
+    "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU")) for code in codes.split()}
 WORDS_AGAINST = "version|isbn|issn|serial|sku|build|order no"
 
 # A candidate cannot begin inside a run of the characters it begins with, so each run is tried once.
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){13,}")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_REST = {n: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in range(15, 35)}
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_END = re.compile(r"[^A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -79,6 +86,22 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", done)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """From each start so many characters as its country has, whatever follows them; for a country that is not
+    registered the longest that ends at a border and passes."""
+    done = 0
+    for m in _IBAN.finditer(text):
+        if m.start() < done:
+            continue
+        length = IBAN_LENGTH.get(m.group()[:2])
+        for n in [length] if length else range(34, 14, -1):
+            rest = _IBAN_REST[n].match(text, m.end())
+            if rest and mod97(text[m.start() : rest.end()]):
+                done = rest.end()
+                yield m.start(), done
+                break
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and int(part or "0") <= 255
@@ -101,9 +124,8 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 10 <= len(_digits(m.group())) <= 15:
                 yield "phone", *m.span()
-    for m in _IBAN.finditer(text):
-        if mod97(m.group()):
-            yield "iban", *m.span()
+    for start, end in _ibans(text):
+        yield "iban", start, end
     if "-" in text:
         for m in _NATIONAL.finditer(text):
             yield "national_id", *m.span()

@@ -148,6 +148,18 @@ def test_personal_data(spark, edge, empty):
     assert "quality_lines" in pii.mark(edge).columns
 
 
+def test_account_numbers_before_other_words():
+    number, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for text_ in (f"{number} BIC COBADEFF", f"{spaced} 12.05.2023", f"{number} OK", f"{number} A b", f"KD12 {spaced} 0815", f"{number}, {number}"):
+        assert {text_[s["start"] : s["end"]] for s in pii.find(text_) if s["kind"] == "iban"} <= {number, spaced} and pii.find(text_), text_
+        assert number not in pii.redact(text_, pii.find(text_)) and spaced not in pii.redact(text_, pii.find(text_))
+    assert [(s["start"], s["end"]) for s in pii.find("NO9386011117947 GB82 WEST 1234 5698 7654 32 X")] == [(0, 15), (16, 43)]
+    # A code without a registered length: the longest end at a border that passes.
+    other = "ZZ" + f"{98 - int('1234567890123' + '3535' + '00') % 97:02d}" + "1234567890123"
+    assert [(s["start"], s["end"]) for s in pii.find(f"{other} UND")] == [(0, len(other))]
+    assert not pii.find(f"{number}0") and not pii.find(f"{number}x") and not pii.find("DE88370400440532013000 OK")
+
+
 def test_quality_counts(spark, edge, empty):
     texts = EDGE + ["a b c a b c # $", "l one\nl one\n\nl one", prose(5, 80)]
     model = quality_lines.Model(np.zeros((2, len(quality_lines.FEATURES))), np.zeros((2, 2)))
