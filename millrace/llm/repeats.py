@@ -11,7 +11,7 @@ its occurrences are removed. Finding them takes three steps, whose data are spre
 3. Contexts of one anchor that differ are put into an index: their run-compressed Burrows-Wheeler transform,
    with the suffix positions at the run ends. Match lengths are computed at the ends of runs and streamed
    along the text from there, which gives the longest match of every position; windows that match in full
-   are repeats.
+   are repeats. Windows of an anchor whose contexts don't fit one index are counted by their hash instead.
 
 Cases: a null or empty text, and one shorter than ``LENGTH``, loses nothing and matches nothing. Repeated
 rows and equal texts lose all bytes if long enough. Strings never reach over the end of a text. Rows with
@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text as T
@@ -34,7 +36,7 @@ from millrace.llm.columns import release_shuffles, shield
 from millrace.session import write_once
 
 LENGTH, GRAM = 200, 64
-#: Contexts of about so many bytes share an index.
+#: Contexts of so many bytes at most share an index.
 INDEX_BYTES = 1 << 20
 
 
@@ -77,7 +79,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     return text, first, last, mine, h[mine], context
 
 
-def _occurrences(texts: DataFrame) -> DataFrame:
+def _occurrences(texts: DataFrame, length: int) -> DataFrame:
     """anchor, ctx, class, lo (first window), n (windows) of the anchors of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +88,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
             for _, _, data, offsets in T.chunks(batch.column(0)):
                 key = _class_of(data, offsets)
                 new = np.array([k not in seen and not seen.add(k) for k in key.tolist()], dtype=bool)
-                text, first, last, _, hashed, context = anchors(data, offsets)
+                text, first, last, _, hashed, context = anchors(data, offsets, length)
                 keep = new[text]
                 text, first, last, hashed, context = (x[keep] for x in (text, first, last, hashed, context))
                 yield pa.RecordBatch.from_arrays(
@@ -97,39 +99,27 @@ def _occurrences(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "anchor long, ctx long, class long, at long")
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """Occurrences of anchors that occur twice or more. ``whole``: the context does too; ``asked``: one of each
-    context of an anchor whose contexts differ."""
+def _several(*columns: str) -> Column:
+    """Whether the rows of a group differ in one of the columns."""
+    return reduce(or_, (F.min(c) != F.max(c) for c in columns))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[c.to_numpy() for c in b.columns] for b in batches]
-        if not parts:
-            return
-        anchor, ctx, key, at = (np.concatenate(x) for x in zip(*parts))
-        del parts
-        order = np.lexsort((at, key, ctx, anchor))
-        anchor, ctx, key, at = anchor[order], ctx[order], key[order], at[order]
-        new = np.ones(len(anchor), dtype=bool)  # a class that two tasks have read counts once
-        new[1:] = (anchor[1:] != anchor[:-1]) | (ctx[1:] != ctx[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])
-        anchor, ctx, key, at = anchor[new], ctx[new], key[new], at[new]
-
-        def with_next(same: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(anchor), dtype=bool)
-            out[1:] |= same
-            out[:-1] |= same
-            return out
-
-        same_anchor = anchor[1:] == anchor[:-1]
-        same_context = same_anchor & (ctx[1:] == ctx[:-1])
-        twice, whole = with_next(same_anchor), with_next(same_context)
-        group = np.cumsum(np.concatenate([[True], ~same_anchor])) - 1
-        starts = np.concatenate([[True], ~same_context])
-        mixed = (np.bincount(group, weights=starts) > 1)[group]
-        asked = mixed & starts
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x[twice]) for x in (anchor, key, at, whole, asked)], names=["anchor", "class", "at", "whole", "asked"])
-
-    return rows.repartition("anchor").mapInArrow(run, "anchor long, class long, at long, whole boolean, asked boolean")
+
+def _repeated(rows: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of contexts that occur twice or more, and one of each context of an anchor whose contexts differ.
+
+    Of the second, ``whole`` says that the context occurs twice and ``hot`` that those of its anchor may not fit an
+    index. Groups are counted where their rows are, so no task holds all rows of an anchor; a class that two tasks
+    have read is the same occurrence twice, which ``_several`` doesn't count. Counts are written before they are
+    joined: only a join right after its shuffles is split where it is skewed.
+    """
+    twice = write_once(rows.groupBy("anchor").agg(_several("ctx", "class", "at").alias("twice")).filter("twice").select("anchor")).rows
+    rows = write_once(rows.join(twice, "anchor", "left_semi")).rows
+    contexts = write_once(rows.groupBy("anchor", "ctx").agg(
+        F.min("class").alias("class"), F.min_by("at", "class").alias("at"), _several("class", "at").alias("whole"))).rows
+    whole = rows.join(contexts.filter("whole").select("anchor", "ctx"), ["anchor", "ctx"], "left_semi")
+    mixed = write_once(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")).rows
+    hot = F.col("n") * (2 * length - gram) > INDEX_BYTES
+    return whole, contexts.join(mixed, "anchor").select("anchor", "class", "at", "whole", hot.alias("hot"))
 
 
 def _texts_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -211,6 +201,39 @@ def long_matches(parts: list[bytes], length: int) -> np.ndarray:
     return long_[inside]
 
 
+def _with_text(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """class, its text, and the occurrences asked for (anchor, at, whole)."""
+    wanted = asked.groupBy("class").agg(F.collect_list(F.struct("anchor", "at", "whole")).alias("asked"))
+    return _texts_of(texts, asked).join(wanted, "class").select("class", "bytes", "asked")
+
+
+def _hot_matched(with_text: DataFrame, length: int) -> DataFrame:
+    """class, first and last window of the repeats among contexts of anchors that have too many for an index.
+
+    Their windows are counted one by one, by hash: equal ones meet, and others of the anchor are spread.
+    """
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                data = np.frombuffer(batch.column(1)[i].as_buffer(), dtype=np.uint8)
+                rows = batch.column(2)[i].as_py()
+                at = np.array([r["at"] for r in rows], dtype=np.int64)
+                first, n = at >> 8, at & 255
+                lo = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.array([r["anchor"] for r in rows], dtype=np.int64), n)),
+                     pa.array(T.hashes(data, lo, lo + length, fold=False).view(np.int64)),
+                     pa.array(np.full(len(lo), batch.column(0)[i].as_py(), dtype=np.int64)), pa.array(lo),
+                     pa.array(np.repeat(np.array([r["whole"] for r in rows], dtype=bool), n))],
+                    names=["anchor", "window", "class", "lo", "whole"])
+
+    every = write_once(with_text.mapInArrow(windows, "anchor long, window long, class long, lo long, whole boolean")).rows
+    again = every.groupBy("anchor", "window").agg(_several("class", "lo").alias("again")).filter("again")
+    again = write_once(again.select("anchor", "window")).rows
+    return every.filter("not whole").join(again, ["anchor", "window"], "left_semi").select("class", "lo", F.col("lo").alias("hi"))
+
+
 def _matched(contexts: DataFrame, length: int) -> DataFrame:
     """class, first and last window of the repeats among contexts that differ (anchor, class, lo, whole, context)."""
 
@@ -228,7 +251,7 @@ def _matched(contexts: DataFrame, length: int) -> DataFrame:
         g = 0
         while g < len(edge) - 1:
             # Whole anchors, as many as fill an index.
-            last = max(g + 1, int(np.searchsorted(weight[edge], weight[edge[g]] + INDEX_BYTES, side="right")) - 1)
+            last = int(np.searchsorted(weight[edge], weight[edge[g]] + INDEX_BYTES, side="right")) - 1
             rows = np.arange(edge[g], edge[last])
             long_ = long_matches([context[int(i)].as_py() for i in rows], length)
             begin = weight[rows] - weight[rows[0]]
@@ -261,11 +284,12 @@ def remove(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     documents, restore = shield(documents, ["text"])
     texts = documents.select("text").filter(F.octet_length("text") >= length)
 
-    found = write_once(_repeated(_occurrences(texts)))
+    every = write_once(_occurrences(texts, length))
+    whole, asked = _repeated(every.rows, length, GRAM)
+    asked = write_once(asked).rows
+    every.delete()
     lo, n = F.shiftright("at", 8), F.col("at") % 256
-    whole = found.rows.filter("whole").select("class", lo.alias("lo"), (lo + n - 1).alias("hi"))
-    asked = found.rows.filter("asked")
-    wanted = asked.groupBy("class").agg(F.collect_list(F.struct("anchor", "at", "whole")).alias("asked"))
+    whole = whole.select("class", lo.alias("lo"), (lo + n - 1).alias("hi"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,12 +302,13 @@ def remove(documents: DataFrame, length: int = LENGTH) -> DataFrame:
                      pa.array([r["whole"] for r in rows], pa.bool_()), pa.array([data[a : a + r["at"] % 256 - 1 + length] for a, r in zip(first, rows)], pa.binary())],
                     names=["anchor", "class", "lo", "whole", "context"])
 
-    with_text = _texts_of(texts, asked).join(wanted, "class").select("class", "bytes", "asked")
-    contexts = with_text.mapInArrow(cut, "anchor long, class long, lo long, whole boolean, context binary")
+    contexts = _with_text(texts, asked.filter("not hot")).mapInArrow(cut, "anchor long, class long, lo long, whole boolean, context binary")
     part = write_once(_matched(contexts, length)).rows
-    spans = whole.unionByName(part).groupBy("class").agg(F.collect_list(F.struct("lo", (F.col("hi") + length).alias("hi"))).alias("spans"))
+    hot = asked.filter("hot")
+    if not hot.isEmpty():
+        part = part.unionByName(_hot_matched(_with_text(texts, hot), length))
+    spans = whole.unionByName(part).groupBy("class").agg(F.collect_set(F.struct("lo", (F.col("hi") + length).alias("hi"))).alias("spans"))
     spans = write_once(spans).rows
-    found.delete()
     members = bit_set(spans, "class")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -271,6 +271,25 @@ def test_repeats_match_all_windows(spark, edge, empty):
     assert repeats.remove(edge).count() == len(EDGE) and repeats.remove(empty).count() == 0
 
 
+def test_repeats_of_an_anchor_with_many_contexts(spark, monkeypatch):
+    shared, tail = prose(50, 120), prose(52, 50)
+    texts = [prose(100 + i, 40) + shared + (tail if i % 5 == 0 else prose(200 + i, 40)) for i in range(40)] + [shared + "!"] * 2
+    raw = [t.encode() for t in texts]
+    counts = collections.Counter(b[i : i + 200] for b in raw for i in range(len(b) - 199))
+    monkeypatch.setattr(repeats, "INDEX_BYTES", 4000)
+
+    def bounded(parts, length, matches=repeats.long_matches):
+        assert sum(map(len, parts)) <= 4000, "an index over the bound"
+        return matches(parts, length)
+
+    monkeypatch.setattr(repeats, "long_matches", bounded)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: [(x.start, x.end) for x in r.removed] for r in repeats.remove(frame).collect()}
+    for i, b in enumerate(raw):
+        want = [[k, k + 200] for k in range(len(b) - 199) if counts[b[k : k + 200]] > 1]
+        assert found[i] == [tuple(x) for x in repeats._merged(want)], i
+
+
 def test_long_matches_of_an_index():
     draw = random.Random(8)
     parts = [bytes(draw.choice(b"ab") for _ in range(40)) for _ in range(6)]
