@@ -47,6 +47,8 @@ CHAINS = 1
 LARGE = 16_000
 #: Tile groups of so many rows at most are paired all at once, larger ones one by one.
 SMALL_GROUP = 12
+#: Rows of a block: larger groups of a tile are cut into blocks, and pairs of blocks are spread over tasks.
+DEAL = 4096
 #: Bits of the set of classes whose shingles are read for exact checks; a fuller set reads more of them.
 SET_BITS = 23
 
@@ -294,23 +296,62 @@ def _verified(pairs: DataFrame, texts: DataFrame, reps: DataFrame, percent: int)
     return links
 
 
-def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of classes of different components that may link: rows have tile, members, class, n, root and bits.
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of tiles in bands, once for each pair of blocks that they are in: ``pair`` (-1 for groups of one block),
+    ``side`` (which of the two blocks) and ``same`` (whether the two are one).
+
+    A component that fills a block has blocks of its own, which aren't paired with each other.
+    """
+    by = ["tile", "band"]
+    counts = rows.filter(F.col("members") > DEAL).groupBy(*by, "root").count()
+    counts = write_once(counts).rows
+    heavy = F.col("count") > DEAL
+    blocks = lambda n: F.ceil(n / DEAL).cast("int")
+    total = counts.groupBy(*by).agg(F.sum("count").alias("rows"), F.sum(F.when(~heavy, F.col("count"))).alias("light")).filter(F.col("rows") > DEAL)
+    total = write_once(total.select(*by, blocks(F.coalesce("light", F.lit(0))).alias("n_light"))).rows
+    whole = rows.withColumns({"pair": F.lit(-1).cast("long"), "side": F.lit(False), "same": F.lit(True)})
+    if total.isEmpty():
+        return whole
+    own = write_once(counts.filter(heavy).join(total, by, "left_semi").select(*by, "root", blocks(F.col("count")).alias("n_own"))).rows
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("number")
+    every = total.filter("n_light > 0").select(*by, F.lit(None).cast("long").alias("owner"), numbers("n_light")).unionByName(
+        own.select(*by, F.col("root").alias("owner"), numbers("n_own")))
+    every = every.select(*by, F.struct("owner", "number").alias("block"))
+    pairs = every.withColumnRenamed("block", "i").join(every.withColumnRenamed("block", "j"), by)
+    # A null owner isn't equal to itself here, so blocks of several components also meet themselves and each other.
+    pairs = pairs.filter("i <= j and not coalesce(i.owner = j.owner, false)").withColumn("pair", F.monotonically_increasing_id())
+    pairs = write_once(pairs).rows
+    one = F.struct(F.col("i").alias("block"), F.lit(False).alias("side"))
+    two = F.struct(F.col("j").alias("block"), F.lit(True).alias("side"))
+    ends = pairs.select(*by, "pair", (F.col("i") == F.col("j")).alias("same"), F.inline(F.when(F.col("i") == F.col("j"), F.array(one)).otherwise(F.array(one, two))))
+    ends = write_once(ends.select(*by, "pair", "same", "side", F.coalesce("block.owner", F.lit(0)).alias("owner"), F.col("block.owner").isNotNull().alias("owned"), F.col("block.number").alias("number"))).rows
+    placed = rows.join(total, by).join(own, [*by, "root"], "left")
+    placed = placed.withColumns({
+        "owned": F.col("n_own").isNotNull(), "owner": F.when(F.col("n_own").isNotNull(), F.col("root")).otherwise(0),
+        "number": F.pmod(F.when(F.col("n_own").isNotNull(), F.xxhash64("class")).otherwise(F.xxhash64("root")), F.coalesce("n_own", "n_light")).cast("int")})
+    placed = placed.join(ends, [*by, "owner", "owned", "number"]).select(*whole.columns)
+    return whole.join(total, by, "left_anti").select(*whole.columns).unionByName(placed)
+
+
+def _banded(rows: DataFrame, bits: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of classes of different components that may link: rows have tile, members, class, n and root, bits class and bits.
 
     With ``nearest`` only one near pair of two components of each task, and in ``more`` whether there are others;
     sets without bitmaps have no near pairs.
 
     A tile's rows go to the band of their size and, as smaller partners, to the next one, so that a tile is
-    spread over as many tasks as it has bands. Two sizes that can link differ by one band at most. Tiles that
-    are paired all at once stay whole.
+    spread over as many tasks as it has bands, and of a large band over as many as it has pairs of blocks. Two sizes
+    that can link differ by one band at most. Tiles that are paired all at once stay whole.
     """
     step = math.log(100 / percent)
+    rows = write_once(rows).rows
     rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int"))
-    rows = rows.select("tile", "class", "n", "root", "bits", F.explode(
+    rows = rows.select("tile", "members", "class", "n", "root", F.explode(
         F.when(F.col("members") <= SMALL_GROUP, F.array(F.struct(F.lit(-1).alias("band"), F.lit(True).alias("own"))))
         .otherwise(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
                            F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own"))))).alias("to"))
-    rows = rows.select("tile", F.col("to.band").alias("band"), F.col("to.own").alias("own"), "class", "n", "root", "bits")
+    rows = _dealt(rows.select("tile", F.col("to.band").alias("band"), F.col("to.own").alias("own"), "class", "n", "root", "members"))
+    rows = rows.join(bits, "class").select("tile", "band", "own", "class", "n", "root", "bits", "pair", "side", "same")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
@@ -320,6 +361,7 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
         tile, band, own, key, n, root = (whole.column(i).to_numpy() for i in range(6))
         n = n.astype(np.int64)
         bits = whole.column(6).combine_chunks()
+        deal, side, same_block = (whole.column(i).to_numpy() for i in (7, 8, 9))
         # Every class once: many tiles of a task hold the same ones.
         classes, one, of = np.unique(key, return_index=True, return_inverse=True)
         maps = [np.frombuffer(bits[int(i)].as_py() or b"", dtype=np.uint64) for i in one]
@@ -332,7 +374,7 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def add(x: np.ndarray, y: np.ndarray) -> None:
-            ok = (root[x] != root[y]) & (100 * n[x] >= percent * n[y]) & (100 * n[y] >= percent * n[x]) & (own[x] | own[y])
+            ok = (root[x] != root[y]) & (100 * n[x] >= percent * n[y]) & (100 * n[y] >= percent * n[x]) & (own[x] | own[y]) & (same_block[x] | (side[x] != side[y]))
             x, y = of[x[ok]], of[y[ok]]
             size = n[one]
             most = _most_differing(size[x], size[y], percent)
@@ -369,8 +411,8 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 pair, where = np.unique(x * len(classes) + y, return_inverse=True)
                 found[:] = [(pair // len(classes), pair % len(classes), np.bincount(where, weights=times).astype(np.int64))]
 
-        order = np.lexsort((n, band, tile))
-        edge = np.concatenate([[0], np.flatnonzero((np.diff(tile[order]) != 0) | (np.diff(band[order]) != 0)) + 1, [len(order)]])
+        order = np.lexsort((root, deal, band, tile))
+        edge = np.concatenate([[0], np.flatnonzero((np.diff(tile[order]) != 0) | (np.diff(band[order]) != 0) | (np.diff(deal[order]) != 0)) + 1, [len(order)]])
         count = np.diff(edge)
         group = np.repeat(np.arange(len(count)), count)
         small = np.flatnonzero((count <= SMALL_GROUP)[group])
@@ -382,12 +424,16 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             rows = order[edge[g] : edge[g + 1]]
             if (root[rows] == root[rows[0]]).all():
                 continue
+            # Rows are in order of their component: partners of one come before its first row.
+            first = np.searchsorted(root[rows], root[rows])
             for low in range(0, len(rows), 128):
-                # Partners of a block are the rows before it in order of size, as far as sizes allow.
-                start = np.searchsorted(100 * n[rows], percent * n[rows[low]])
-                block, other = rows[low : low + 128], rows[start : low + 128]
-                i, j = np.nonzero((np.arange(start, start + len(other))[None, :] < np.arange(low, low + len(block))[:, None]))
-                add(block[i], other[j])
+                block, before = rows[low : low + 128], first[low : low + 128]
+                for start in range(0, before[-1], DEAL):
+                    end = min(start + DEAL, int(before[-1]))
+                    other = rows[start:end]
+                    i, j = np.nonzero((np.arange(start, end)[None, :] < before[:, None])
+                                      & (100 * n[other][None, :] >= percent * n[block][:, None]) & (100 * n[block][:, None] >= percent * n[other][None, :]))
+                    add(block[i], other[j])
             if len(found) > 500:
                 counted()
         counted()
@@ -403,7 +449,7 @@ def _banded(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(times), pa.array(least)], names=["a", "b", "times", "least"])
 
     # ``times`` counts the shared tiles of a pair or, of a nearest one, the other pairs of its components.
-    pairs = rows.repartition("tile", "band").mapInArrow(run, "a long, b long, times long, least long")
+    pairs = rows.repartition("tile", "band", "pair").mapInArrow(run, "a long, b long, times long, least long")
     pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.first("least").alias("least"))
     return pairs.filter("times >= least").select("a", "b", (F.col("times") > 0).alias("more"))
 
@@ -474,12 +520,12 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # Components that are left meet at their nearest pairs first, then at all.
     inside = bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits"))
-    rows = _mixed(_rooted(tiles, roots)).join(inside, "class")
-    near = write_once(_banded(rows, percent, nearest=True)).rows
+    rows = _mixed(_rooted(tiles, roots))
+    near = write_once(_banded(rows, inside, percent, nearest=True)).rows
     found = _verified(near, texts, reps, percent)
     roots = write_once(components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))).rows
-    rows = _mixed(_open(_rooted(tiles, roots), near, roots, percent)).join(inside, "class")
-    found = _verified(write_once(_banded(rows, percent, nearest=False)).rows, texts, reps, percent)
+    rows = _mixed(_open(_rooted(tiles, roots), near, roots, percent))
+    found = _verified(write_once(_banded(rows, inside, percent, nearest=False)).rows, texts, reps, percent)
     tiled.delete()
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
     whole = classes.select("_class", "_least").join(every.select(F.col("node").alias("_class"), "root"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))

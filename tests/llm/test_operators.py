@@ -102,6 +102,19 @@ def test_ngram_join_cuts_all_tiles_into_bands(spark, monkeypatch):
     test_ngram_join_matches_all_pairs(spark)
 
 
+def test_ngram_join_deals_large_tiles_in_blocks(spark, monkeypatch):
+    """A component that fills a tile, beside rows of other components: each pair of two components once."""
+    monkeypatch.setattr(ngram_join, "DEAL", 8)
+    root = {k: 1 if k <= 40 else k for k in range(1, 53)}
+    rows = spark.createDataFrame([(7, k, 100, r, 52) for k, r in root.items()], "tile long, class long, n int, root long, members long")
+    bits = spark.createDataFrame([(k, bytearray(64)) for k in root], "class long, bits binary")
+    found = [(r.a, r.b) for r in ngram_join._banded(rows, bits, 75, nearest=False).collect()]
+    assert sorted(found) == [(a, b) for a, b in itertools.combinations(root, 2) if root[a] != root[b]]
+    banded = rows.select("tile", F.lit(1).alias("band"), F.lit(True).alias("own"), "class", "n", "root", "members")
+    dealt = ngram_join._dealt(banded).groupBy("pair").count().collect()
+    assert len(dealt) > 10 and max(r["count"] for r in dealt) < 40 and all(r.pair >= 0 for r in dealt)
+
+
 def test_components_with_several_near_pairs_are_joined(spark):
     """Two groups of copies that only one of many bounded pairs joins, and copies that differ in white space."""
     words = [f"w{i}" for i in range(60)]
