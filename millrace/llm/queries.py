@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, html, mixing, neighbours, ngram_join, pii, quality_lines, repeats, tool_calls, url_lists
+from millrace.llm import (
+    decontamination, html, mixing, neighbours, ngram_join, phrases, pii, quality_lines, repeats, tool_calls, url_lists,
+)
 from millrace.session import load_table
 
 
@@ -151,6 +153,54 @@ def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 phrases of every language whose words go together most."""
+    found = phrases.collocations(load_table(spark, folder, "documents"))
+    return found.withColumnRenamed("group", "lang")
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), found AS (
+  SELECT lang, s AS size, array_to_string(w[i:i + s - 1], ' ') AS phrase
+  FROM places, (VALUES (1), (2), (3), (4)) AS sizes(s) WHERE i + s - 1 <= len(w)
+), every AS (
+  SELECT lang, size, phrase, CAST(count(*) AS BIGINT) AS f FROM found GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM every WHERE size = 1 GROUP BY lang
+), frequent AS (
+  SELECT lang, size, phrase, f, string_split(phrase, ' ') AS w FROM every WHERE f >= 30
+), cuts AS (
+  SELECT c.lang, c.size, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST(2000000 * CAST(c.f AS HUGEINT) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM frequent WHERE size >= 2) AS c
+  JOIN frequent AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN frequent AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, f, array_to_string(w[i:j], ' ') AS phrase
+  FROM (SELECT *, unnest(range(i + 1, size + 1)) AS j FROM (SELECT *, unnest(range(1, size)) AS i FROM frequent WHERE size >= 3))
+  WHERE j - i + 1 < size
+), longest AS (
+  SELECT lang, phrase, max(f) AS f FROM inner_phrases GROUP BY ALL
+), kept AS (
+  SELECT c.lang, c.phrase, c.a, c.l, c.r, c.score FROM weakest AS c LEFT JOIN longest AS g ON g.lang = c.lang AND g.phrase = c.phrase
+  WHERE g.f IS NULL OR 100 * CAST(g.f AS HUGEINT) < 80 * CAST(c.a AS HUGEINT)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 #: Name: the query, and its SQL or None.
 QUERIES = {
     "op1_main_text": (main_texts, None),
@@ -163,4 +213,5 @@ QUERIES = {
     "op8_quality_scores": (quality_scores, None),
     "op9_benchmark_leaks": (benchmark_leaks, None),
     "op10_repeated_strings": (repeated_strings, None),
+    "op13_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
 }
