@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontamination, html, mixing, neighbours, ngram_join, phrases, pii, quality_lines, repeats, tool_calls, url_lists,
+    decontamination, html, mixing, neighbours, ngram_join, phrases, pii, quality_lines, repeats, tool_calls, url_lists, vector_codes,
 )
 from millrace.session import load_table
 
@@ -159,6 +159,56 @@ def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("group", "lang")
 
 
+def vector_compression(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every usable vector, and the codebooks they are of."""
+    found = vector_codes.compress(load_table(spark, folder, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """The fit as one query: ``books0`` holds the first entries, ``booksN`` those after N rounds."""
+    steps = [f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), rows_numbered AS (
+  SELECT *, row_number() OVER (ORDER BY vec_id) AS row_no, len(v) // {parts} AS width FROM usable
+), parts AS MATERIALIZED (
+  SELECT row_no, p, v[p * width + 1:(p + 1) * width] AS part FROM rows_numbered, range({parts}) AS every(p)
+), books0 AS MATERIALIZED (
+  SELECT p, row_no - 1 AS e, part AS entry FROM parts WHERE row_no <= {entries}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f""", near{i} AS MATERIALIZED (
+  SELECT row_no, p, part, unnest(best) FROM (
+    SELECT row_no, p, any_value(part) AS part, arg_min({{'e': e, 'd': d}}, {{'d': d, 'e': e}}) AS best FROM (
+      SELECT row_no, a.p, part, e, list_sum([(a.part[i] - b.entry[i]) * (a.part[i] - b.entry[i]) FOR i IN range(1, len(a.part) + 1)]) AS d
+      FROM parts AS a JOIN books{i} AS b ON a.p = b.p
+    ) GROUP BY row_no, p)
+)""")
+        if i < rounds:
+            steps.append(f""", sums{i} AS (
+  SELECT p, e, i, CAST(sum(part[i]) AS HUGEINT) AS s, count(*) AS n
+  FROM (SELECT p, e, part, unnest(range(1, len(part) + 1)) AS i FROM near{i}) GROUP BY p, e, i
+), means{i} AS (
+  SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS entry FROM sums{i} GROUP BY p, e
+), books{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.entry, b.entry) AS entry FROM books{i} AS b LEFT JOIN means{i} AS m ON m.p = b.p AND m.e = b.e
+)""")
+    steps.append(f""", coded AS (
+  SELECT row_no, string_agg(lpad(lower(hex(e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY row_no
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM books{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM rows_numbered JOIN coded USING (row_no), digest
+""")
+    return "".join(steps)
+
+
+CODES_SQL = _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE)
+
+
 COLLOCATIONS_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -213,5 +263,6 @@ QUERIES = {
     "op8_quality_scores": (quality_scores, None),
     "op9_benchmark_leaks": (benchmark_leaks, None),
     "op10_repeated_strings": (repeated_strings, None),
+    "op11_vector_codes": (vector_compression, CODES_SQL),
     "op13_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
 }
