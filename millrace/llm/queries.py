@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontamination, html, mixing, neighbours, ngram_join, phrases, pii, quality_lines, repeats, tool_calls, url_lists, vector_codes,
+    decontamination, html, licenses, mixing, neighbours, ngram_join, phrases, pii, quality_lines, repeats, tool_calls, url_lists, vector_codes,
 )
 from millrace.session import load_table
 
@@ -209,6 +209,17 @@ FROM rows_numbered JOIN coded USING (row_no), digest
 CODES_SQL = _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE)
 
 
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    found = licenses.scan(_texts(spark, folder))
+    base = F.filter("licenses", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["start"])
+    listed = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    score = F.coalesce(F.array_max(F.transform("licenses", lambda s: s["score"])), F.lit(0.0))
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                        listed(base).alias("base_labels"), listed(F.col("licenses")).alias("labels"), score.alias("score"))
+
+
 COLLOCATIONS_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
@@ -264,5 +275,6 @@ QUERIES = {
     "op9_benchmark_leaks": (benchmark_leaks, None),
     "op10_repeated_strings": (repeated_strings, None),
     "op11_vector_codes": (vector_compression, CODES_SQL),
+    "op12_license_scan": (license_scan, None),
     "op13_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
 }
