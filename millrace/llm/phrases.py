@@ -5,12 +5,13 @@ and tabs. A sample of the documents proposes phrases at a lowered minimum. The f
 proposed phrases and their negative border: a phrase is counted when it is a single word, or when it less
 its last and less its first word are both proposed, whether it was proposed itself or not. A phrase that the
 pass finds frequent although the sample did not propose it is a border failure: longer phrases round it may
-have been missed. Then a further pass counts just what the frequent phrases add to the border, until a pass
-adds nothing. Words are counted whole in the first pass, so there are at most as many passes as a phrase has words.
+have been missed. Then an expansion pass counts all phrases that are still open: those not counted yet
+whose parts are each known to be frequent or open as well. A frequent phrase is counted by the first pass or open in
+the second, so nothing is left after that.
 
-What is proposed travels as a bit set of fixed size: a phrase taken for proposed by chance is counted too, and
-none is lost. Counts are keyed by the phrases themselves. Tasks add up phrases by 64-bit hashes before
-they hand them over, in a state of bounded size.
+What is proposed or frequent travels as a bit set: a phrase taken for a member by chance is counted too, and none is lost.
+These passes count phrases by a 64-bit hash. A last pass over the texts spells the frequent
+ones and counts them by their words; only phrases of equal hashes in one group of texts count as one there.
 
 Cases: a null or empty text has no words; a null group is ``und``; repeated rows count each; other columns are
 not read, so their names can't clash; an empty table gives no rows.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.bitset import bit_set, maybe_in
+from millrace.llm.bitset import maybe_in, wide_bit_set
 from millrace.llm.columns import named, release_shuffles
 from millrace.llm.text import Spans, chunks, grams, hashes, mix, words
 from millrace.session import write_once
@@ -34,10 +35,12 @@ from millrace.session import write_once
 #: Bytes that end a word, and those of them that end a piece.
 SPLITTERS = b".,;:!?\n\x0b\x0c\r"
 BREAKS = b" \t" + SPLITTERS
-#: Share of the documents in the sample, and bits of the set of proposed phrases.
-SHARE, SET_BITS = 1 / 8, 23
-#: Phrases that a task adds up before it hands them over.
-STATE = 1 << 19
+#: Share of the documents in the sample, and the most bits of a set of phrases as a power of two.
+SHARE, SET_BITS = 1 / 8, 27
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 
 
 def _table(members: bytes) -> np.ndarray:
@@ -57,17 +60,17 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[Spans, np.ndarray]:
     return w, np.concatenate([[0], np.flatnonzero(cut) + 1, [len(w.start)]])
 
 
-def spaced(data: np.ndarray, w: Spans) -> tuple[np.ndarray, np.ndarray]:
+def spaced(data: np.ndarray, offsets: np.ndarray, w: Spans) -> tuple[np.ndarray, np.ndarray]:
     """The words lower-cased with one space after each, and where each begins (with the end)."""
-    length = w.end - w.start
-    first = np.zeros(len(length) + 1, dtype=np.int64)
-    np.cumsum(length + 1, out=first[1:])
-    out = np.full(int(first[-1]), 0x20, dtype=np.uint8)
-    word = np.repeat(np.arange(len(length)), length)
-    inside = np.arange(len(word)) - np.repeat(first[:-1] - np.arange(len(length)), length)
-    letters = data[w.start[word] + inside]
-    capital = (letters >= 0x41) & (letters <= 0x5A)
-    out[first[word] + inside] = letters + capital.astype(np.uint8) * np.uint8(0x20)
+    first = np.zeros(len(w.start) + 1, dtype=np.int64)
+    np.cumsum(w.end - w.start + 1, out=first[1:])
+    # With a space after every text there is a byte after every word, which becomes its space.
+    apart = np.insert(_LOWER[data], offsets[1:], 0x20)
+    edge = np.zeros(len(apart) + 1, dtype=np.int8)
+    edge[w.start + w.text] += 1
+    edge[w.end + w.text + 1] -= 1
+    out = apart[np.cumsum(edge[:-1], dtype=np.int8) == 1]
+    out[first[1:] - 1] = 0x20
     return out, first
 
 
@@ -79,34 +82,6 @@ def cut_texts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data[at])))
 
 
-class Tally:
-    """Counts by hash in the order in which the hashes came, with the texts of the first ones."""
-
-    def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
-        self.known, self.place = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        self.n, self.hashes, self.parts = np.zeros(0, dtype=np.int64), [], []
-
-    def add(self, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Add counts of different hashes; which of them are new, to be described by ``describe``."""
-        at = np.searchsorted(self.known, h)
-        old = np.zeros(len(h), dtype=bool)
-        inside = at < len(self.known)
-        old[inside] = self.known[at[inside]] == h[inside]
-        self.n[self.place[at[old]]] += n[old]
-        new = np.flatnonzero(~old)
-        self.place = np.insert(self.place, at[new], len(self.n) + np.arange(len(new)))
-        self.known = np.insert(self.known, at[new], h[new])
-        self.n = np.concatenate([self.n, n[new]])
-        self.hashes.append(h[new])
-        return new
-
-    def describe(self, *columns: pa.Array) -> None:
-        self.parts.append(columns)
-
-
 def _windows(documents: DataFrame, group: str, text: str) -> DataFrame:
     return documents.select(F.coalesce(named(group).cast("string"), F.lit("und")).alias("group"), named(text).alias("text"))
 
@@ -126,16 +101,13 @@ def propose(documents: DataFrame, key: Column, minimum: int, longest: int, share
     """Hashes of the phrases of less than ``longest`` words that are frequent in a sample of the rows.
 
     ``documents`` has the columns group and text; ``key`` decides by its hash whether a row is in the sample.
-    The minimum is lowered to half of what the share leaves of it.
+    The minimum is lowered to 0.7 of what the share leaves of it.
     """
-    lowered = max(1, round(minimum * share / 2))
+    lowered = max(2, round(0.7 * minimum * share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of_row = _group_hashes(batch.column(0))
-            for low, high, data, offsets in chunks(batch.column(1)):
-                w, first = pieces(data, offsets)
-                h = mix(hashes(data, w.start, w.end, fold=True) ^ of_row[low:high][w.text])
+            for *_, first, h in _hashed(batch):
                 for size in range(1, longest):
                     found, n = np.unique(grams(h, first, size)[0], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["hash", "n"])
@@ -145,75 +117,93 @@ def propose(documents: DataFrame, key: Column, minimum: int, longest: int, share
     return found.where(F.col("n") >= lowered).select("hash")
 
 
-def count(documents: DataFrame, proposed: np.ndarray, counted: np.ndarray | None, longest: int, state: int = STATE) -> DataFrame:
-    """Exact counts of the proposed phrases and their border: group, size, phrase, hash, n.
+def _hashed(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Spans, np.ndarray, np.ndarray]]:
+    """First and last row, bytes, offsets, words, first words of the pieces and hashes of the words (by group) of groups of texts."""
+    of_row = _group_hashes(batch.column(0))
+    for low, high, data, offsets in chunks(batch.column(1)):
+        w, first = pieces(data, offsets)
+        if len(w.start):
+            yield low, high, data, offsets, w, first, mix(hashes(data, w.start, w.end, fold=True) ^ of_row[low:high][w.text])
+
 
-    Of phrases that an earlier pass counted by the set ``counted`` none is counted again. The first pass
-    (no ``counted``) counts single words too, and all words of a group as the phrase of no words.
+def count(documents: DataFrame, proposed: np.ndarray, frequent: np.ndarray | None, longest: int) -> DataFrame:
+    """Counts by hash of phrases: size, hash, n.
+
+    Without ``frequent``: words, proposed phrases and their border. With it, the phrases found frequent by then:
+    what was not counted and is open.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, totals = Tally(), {}
+        for batch in batches:
+            for *_, first, h in _hashed(batch):
+                # By the place of the first word: whether the phrase one word shorter is proposed, and whether it may be frequent.
+                inside, likely = np.zeros(len(h) + 1, dtype=bool), np.zeros(len(h) + 1, dtype=bool)
+                for size in range(1, longest + 1):
+                    found, at = grams(h, first, size)
+                    done = inside[at] & inside[at + 1] if size > 1 else np.ones(len(at), dtype=bool)
+                    parts = likely[at] & likely[at + 1]
+                    wanted = done if frequent is None else ~done & parts
+                    inside[:], likely[:] = False, False
+                    if size < longest:
+                        inside[at] = maybe_in(proposed, found)
+                        if frequent is not None:
+                            likely[at] = np.where(done, maybe_in(frequent, found), parts)
+                    different, n = np.unique(found[wanted], return_counts=True)
+                    if len(n):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(n), size, dtype=np.int32)), pa.array(different.view(np.int64)), pa.array(n)], names=["size", "hash", "n"])
+
+    return documents.mapInArrow(run, "size int, hash long, n long").groupBy("hash", "size").agg(F.sum("n").alias("n"))
+
+
+def failures(frequent: DataFrame, proposed: np.ndarray, longest: int) -> DataFrame:
+    """Frequent phrases that longer ones may hold and that were not proposed."""
 
-        def out() -> pa.RecordBatch:
-            columns = [pa.concat_arrays(c) for c in zip(*tally.parts)]
-            found = pa.array(np.concatenate(tally.hashes).view(np.int64))
-            made = pa.RecordBatch.from_arrays([columns[0], columns[1], columns[2], found, pa.array(tally.n)], names=["group", "size", "phrase", "hash", "n"])
-            tally.clear()
-            return made
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(h[~maybe_in(proposed, h)])], names=["hash"])
+
+    return frequent.where(F.col("size") < longest).select("hash").mapInArrow(run, "hash long")
+
+
+def spell(documents: DataFrame, likely: np.ndarray, longest: int) -> DataFrame:
+    """Exact counts by their words of the phrases whose hash may be in a set: group, size, phrase, hash, n.
+
+    The phrase of size 0 counts all words of a group.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {}
+
+        def out(group: pa.Array, size: np.ndarray, phrase: pa.Array, found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            columns = [group.cast(pa.string()), pa.array(size, pa.int32()), phrase.cast(pa.string()), pa.array(found, pa.int64()), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["group", "size", "phrase", "hash", "n"])
 
         for batch in batches:
-            of_row = _group_hashes(batch.column(0))
-            for low, high, data, offsets in chunks(batch.column(1)):
-                w, first = pieces(data, offsets)
-                if not len(w.start):
-                    continue
+            for low, high, data, offsets, w, first, h in _hashed(batch):
                 groups = batch.column(0).slice(low, high - low).cast(pa.large_string())
-                h = mix(hashes(data, w.start, w.end, fold=True) ^ of_row[low:high][w.text])
-                buffer, begin = spaced(data, w)
-                if counted is None:
-                    for g, n in zip(groups.to_pylist(), w.per_text.tolist()):
-                        totals[g] = totals.get(g, 0) + n
-                shorter, shorter_at = grams(h, first, 1)
+                for g, n in zip(groups.to_pylist(), w.per_text.tolist()):
+                    totals[g] = totals.get(g, 0) + n
+                buffer, begin = spaced(data, offsets, w)
+                alive = np.ones(len(h) + 1, dtype=bool)
                 for size in range(1, longest + 1):
-                    if size == 1:
-                        found, at = shorter, shorter_at
-                        if counted is not None:
-                            continue
-                    else:
-                        found, at = grams(h, first, size)
-                        inside = np.zeros(len(h) + 1, dtype=bool)
-                        inside[shorter_at] = maybe_in(proposed, shorter)
-                        wanted = inside[at] & inside[at + 1]
-                        if counted is not None:
-                            inside[shorter_at] = maybe_in(counted, shorter)
-                            wanted &= ~(inside[at] & inside[at + 1])
-                        shorter, shorter_at = found, at
-                        found, at = found[wanted], at[wanted]
+                    found, at = grams(h, first, size)
+                    # What a frequent phrase holds is frequent too, which leaves few that are in the set by chance.
+                    wanted = maybe_in(likely, found) & alive[at] & alive[at + 1] if size > 1 else maybe_in(likely, found)
+                    alive[:] = False
+                    alive[at] = wanted
+                    found, at = found[wanted], at[wanted]
                     if not len(found):
                         continue
                     different, one, n = np.unique(found, return_index=True, return_counts=True)
-                    new = tally.add(different, n)
-                    if len(new):
-                        at = at[one[new]]
-                        tally.describe(groups.take(pa.array(w.text[at])), pa.array(np.full(len(at), size, dtype=np.int32)),
-                                       cut_texts(buffer, begin[at], begin[at + size] - 1))
-                    if len(tally.n) >= state:
-                        yield out()
-        if len(tally.n):
-            yield out()
+                    at = at[one]
+                    yield out(groups.take(pa.array(w.text[at])), np.full(len(at), size), cut_texts(buffer, begin[at], begin[at + size] - 1), different.view(np.int64), n)
         if totals:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals), pa.large_string()), pa.array([0] * len(totals), pa.int32()), pa.array([""] * len(totals), pa.large_string()),
-                 pa.array([0] * len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())],
-                names=["group", "size", "phrase", "hash", "n"])
-
-    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in run(batches):
-            columns = [c.cast(pa.string()) if pa.types.is_large_string(c.type) else c for c in batch.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            none = np.zeros(len(totals), dtype=np.int64)
+            yield out(pa.array(list(totals)), none, pa.array([""] * len(totals)), none, np.array(list(totals.values())))
 
-    found = documents.mapInArrow(cast, "group string, size int, phrase string, hash long, n long")
+    found = documents.mapInArrow(run, "group string, size int, phrase string, hash long, n long")
     return found.groupBy("group", "size", "phrase").agg(F.sum("n").alias("n"), F.max("hash").alias("hash"))
 
 
@@ -238,21 +228,17 @@ def mine(
     rows = _windows(documents, group, text)
     drawn = F.xxhash64(*(named(c) for c in ([key] if key else [])), named(text))
     sample = documents.select(F.coalesce(named(group).cast("string"), F.lit("und")).alias("group"), named(text).alias("text"), drawn.alias("drawn"))
-    proposed = bit_set(propose(sample, F.col("drawn"), minimum, longest, share), "hash", set_bits)
-    counted, passes = None, 0
-    frequent = None
-    while True:
-        passes += 1
-        # A pass writes what it found frequent, and nothing else of what it counted.
-        found = write_once(count(rows, proposed, counted, longest).where((F.col("size") == 0) | (F.col("n") >= minimum))).rows
-        frequent = found if frequent is None else frequent.unionByName(found)
-        counted = proposed if counted is None else counted | proposed
-        known = bit_set(frequent.where((F.col("size") > 0) & (F.col("size") < longest)), "hash", set_bits)
-        if not (known & ~counted).any():
-            break
-        # Border failures: what is now known to be frequent, beside what was proposed before.
-        proposed = counted | known
-    return Mined(frequent.where("size > 0"), frequent.where("size = 0").select("group", "n"), passes)
+    proposed = wide_bit_set(write_once(propose(sample, F.col("drawn"), minimum, longest, share)).rows, "hash", most=set_bits)
+    # A pass writes what it found frequent, and nothing else of what it counted.
+    frequent = write_once(count(rows, proposed, None, longest).where(F.col("n") >= minimum)).rows
+    known, passes = wide_bit_set(frequent.where(F.col("size") < longest), "hash", most=set_bits), 1
+    if not failures(frequent, proposed, longest).isEmpty():
+        open_ones = write_once(count(rows, proposed, known, longest).where(F.col("n") >= minimum)).rows
+        frequent, passes = frequent.unionByName(open_ones), 2
+    likely = wide_bit_set(frequent, "hash", most=set_bits)
+    spelled = spell(rows, likely, longest).where((F.col("size") == 0) | (F.col("n") >= minimum))
+    written = write_once(spelled).rows
+    return Mined(written.where("size > 0"), written.where("size = 0").select("group", "n"), passes)
 
 
 def _exact(column: str) -> Column:
