@@ -28,7 +28,6 @@ ROW_KEY = "_row_key"
 DRIVER_VALUES = 1000
 # Up to this many codes are a CASE; more are looked up in a joined mapping.
 CASE_VALUES = 20
-MAX_TILES = 256
 
 
 @dataclass(frozen=True)
@@ -73,11 +72,6 @@ def _collect_categories(df: DataFrame, column: str, condition: Any) -> list | No
     return None if len(found) > DRIVER_VALUES else [r[0] for r in found]
 
 
-def _beyond_double(data_type: T.DataType) -> bool:
-    """Whether different values of the type can be the same double."""
-    return isinstance(data_type, T.LongType) or (isinstance(data_type, T.DecimalType) and data_type.precision > 15)
-
-
 def _gather(df: DataFrame, features: Mapping[str, Feature], key: Sequence[str]) -> dict[Need, Any]:
     needs = list(dict.fromkeys(n for f in features.values() for n in f.needs))
     facts: dict[Need, Any] = {}
@@ -94,16 +88,10 @@ def _gather(df: DataFrame, features: Mapping[str, Feature], key: Sequence[str])
             shares.setdefault(n.column, []).append(n.detail)
         elif n.kind == "tiles":
             tiles.setdefault(n.column, []).append(n.detail)
-    # Doubles don't tell all long integers and decimals apart: such columns split ties by their own value first.
-    exact = {c: tiles.pop(c) for c in list(tiles) if _beyond_double(df.schema[c].dataType)}
     if shares or tiles:
         found, borders = ordering.column_ranks(df, shares, tiles, key)
         facts.update({Need("percentile", c, p): v for (c, p), v in found.items()})
         facts.update({Need("tiles", c, k): (rows, tuple(key)) for (c, k), rows in borders.items()})
-    for c, ks in exact.items():
-        own = (c, *(k for k in key if k != c))
-        _, borders = ordering.column_ranks(df, {}, {c: ks}, own)
-        facts.update({Need("tiles", c, k): (rows, own) for (c, k), rows in borders.items()})
     for n in needs:
         if n.kind == "mode":
             facts[n] = most_frequent(df, n.column)
@@ -237,8 +225,8 @@ def k_bins_discretize(column: str, k: int, strategy: str = "quantile") -> Featur
     Uniform bins divide the range by k - 1, so only the maximum falls into bin k.
     """
     if strategy == "quantile":
-        if not 1 <= k <= MAX_TILES:
-            raise ValueError(f"quantile bins take 1 to {MAX_TILES} bins; use ordering.global_ntile beyond")
+        if k < 1:
+            raise ValueError("quantile bins take 1 bin or more")
         need = Need("tiles", column, k)
         return Feature(lambda df, facts: ordering.ntile_column(df, column, *facts[need]), (need,))
     if strategy == "uniform":

@@ -93,6 +93,73 @@ def test_ties_are_split_by_a_key_of_several_columns(spark, monkeypatch, short):
         ordering.column_ranks(df, {}, {"x": [7]}, ["a", "b"])
 
 
+@pytest.mark.parametrize("fan, parts", [(2, 13), (3, 40)])
+def test_prefixes_over_many_levels(spark, monkeypatch, fan, parts):
+    monkeypatch.setattr(ordering, "FAN", fan)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 3000).selectExpr("id", "id % 2 as g", "if(id % 3 = 0, null, id * 2) as x").repartition(7)
+        got = ordering.row_numbers(df, ["g", "id"]).withColumn("want", F.row_number().over(Window.orderBy("g", "id")) - 1)
+        assert got.where("row_index <> want").count() == 0 and got.count() == 3000
+        for ahead in (False, True):
+            shift = F.lead if ahead else F.lag
+            got = ordering.neighbour(df, ["g"], ["id"], "x", "n", ahead)
+            want = got.withColumn("want", shift("x").over(Window.partitionBy("g").orderBy("id")))
+            assert want.where("not (n <=> want)").count() == 0
+            assert got.where("not n_exists").count() == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _sorted(values):
+    return sorted(values, key=lambda v: (v is None, v != v, v if v is not None and v == v else 0))
+
+
+@pytest.mark.parametrize("kind", ["double", "long", "decimal(30,2)", "int"])
+def test_ranked_values_match_a_sort(spark, kind):
+    import random
+
+    draw = random.Random(kind)
+    values = [draw.choice([None, 7, 7, draw.randint(-10**6, 10**6), draw.randint(0, 40)]) for _ in range(4000)]
+    if kind == "double":
+        values += [float("nan")] * 40 + [float("inf"), float("-inf"), -0.0, 0.0] * 9
+        values = [None if v is None else float(v) for v in values]
+    elif kind in ("long", "decimal(30,2)"):
+        values = [None if v is None else v + 2**53 for v in values]
+    df = spark.createDataFrame([(v,) for v in values], f"x {'double' if kind == 'double' else 'long'}").withColumn("x", F.col("x").cast(kind)).repartition(6)
+    order = _sorted(values)
+    present = sum(v is not None for v in values)
+    wanted = sorted({0, 1, 17, 999, 1000, 2500, present - 1, present, len(values) - 1})
+    n, m, found = ordering.ranked_values(df, {"x": lambda n, present: wanted})["x"]
+    assert (n, m) == (len(values), present)
+    for rank in wanted:
+        value, before, equal = found[rank]
+        same = [i for i, v in enumerate(order) if v == order[rank] or (v is not None and v != v and order[rank] is not None and order[rank] != order[rank])]
+        assert (before, equal) == (same[0], len(same))
+        assert (value is None) == (order[rank] is None) and (value is None or float(value) == float(order[rank]) or value != value)
+
+
+def test_a_bracket_that_misses_its_rank_is_widened(spark, monkeypatch):
+    off = lambda steps, present, wanted: [ordering.Bracket(10.0, 12.0, sorted(wanted))]
+    monkeypatch.setattr(ordering, "_brackets", off)
+    df = spark.range(500).selectExpr("double(id) as x")
+    found = ordering.ranked_values(df, {"x": lambda n, present: [3, 11, 400]})["x"][2]
+    assert found == {3: (3.0, 3, 1), 11: (11.0, 11, 1), 400: (400.0, 400, 1)}
+
+
+@pytest.mark.parametrize("kind", ["double", "long"])
+def test_a_thousand_tiles(spark, kind):
+    rows = [(None if i % 11 == 0 else i % 700, None if i % 5 == 0 else i % 9, i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "x long, a int, b int").withColumn("x", F.col("x").cast(kind)).repartition(5)
+    borders = ordering.column_ranks(df, {}, {"x": [1000]}, ["a", "b"])[1]["x", 1000]
+    got = df.withColumn("tile", ordering.ntile_column(df, "x", borders, ["a", "b"]))
+    want = got.withColumn("want", F.ntile(1000).over(Window.orderBy(F.col("x").asc_nulls_last(), "a", "b")))
+    assert want.where("tile <> want").count() == 0
+
+
 def test_written_tables_lie_in_the_shared_folder(spark):
     import os
 

@@ -203,6 +203,17 @@ def feat_quantile_bins_wide_integers(spark, folder):
     return ft.fit_transform(orders, bins, key=["o_orderkey"], keep=["o_orderkey"])
 
 
+@query("""
+SELECT o_orderkey, ntile(1000) OVER (ORDER BY o_totalprice, o_orderkey) AS price_bin,
+       ntile(1000) OVER (ORDER BY o_custkey, o_orderkey) AS customer_bin
+FROM orders""")
+def feat_quantile_bins_thousand(spark, folder):
+    """Many bins, of values that hardly repeat and of values that all do."""
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    bins = {"price_bin": ft.k_bins_discretize("o_totalprice", 1000), "customer_bin": ft.k_bins_discretize("o_custkey", 1000)}
+    return ft.fit_transform(orders, bins, key=["o_orderkey"], keep=["o_orderkey"])
+
+
 @query(GAPPY_SQL + """
 SELECT how, count(*) AS rows, CAST(0 AS BIGINT) AS still_null, count(*) AS from_pool, count(price) AS unchanged
 FROM parts, (VALUES ('observed'), ('distinct')) AS ways(how) GROUP BY how""")
