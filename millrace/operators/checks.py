@@ -7,8 +7,10 @@ equal rows first and report how many rows each failing line stands for in ``n_ro
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,17 +57,88 @@ def _value(expression: str | Column) -> Column:
     return F.expr(expression) if isinstance(expression, str) else expression
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A check as an expression: true for the rows that fail it, of those that meet ``where``.
+
+    With ``by`` the expression is over aggregates and true for the failing groups of these columns.
+    """
+
+    failing: Column
+    where: str | Column | None = None
+    by: tuple[str, ...] = ()
+    error_if: str = "!= 0"
+    warn_if: str = "!= 0"
+
+    def __post_init__(self):
+        if self.by and self.where is not None:
+            raise ValueError("filter a table before its groups are checked")
+
+
+def check_together(df: DataFrame, rules: Mapping[str, Rule]) -> dict[str, tuple[str, int]]:
+    """{name: ('pass' | 'warn' | 'error', number of failing rows or groups)} of many checks of one table.
+
+    All rules on rows are one conditional aggregate, so the table is scanned once whatever their number. Rules on
+    groups of the same columns share one more scan and its shuffle. One row for each of these reaches the driver.
+    """
+    counts: dict[str, int] = {}
+    shares: dict[tuple[str, ...], list[str]] = {}
+    for name, rule in rules.items():
+        shares.setdefault(tuple(sorted(rule.by)), []).append(name)
+    for by, names in shares.items():
+        failing = {name: F.coalesce(rules[name].failing, F.lit(False)) for name in names}
+        if by:
+            flags = [failing[name].alias(f"f{i}") for i, name in enumerate(names)]
+            groups = df.groupBy(*[F.col(quoted(c)) for c in by]).agg(*flags)
+            row = groups.agg(*[F.count_if(f"f{i}") for i in range(len(names))]).first()
+        else:
+            met = lambda name: F.lit(True) if rules[name].where is None else F.coalesce(_value(rules[name].where), F.lit(False))
+            row = df.agg(*[F.count_if(met(name) & failing[name]) for name in names]).first()
+        counts |= dict(zip(names, row))
+    texts = [F.expr(f"{counts[name]} {rule}") for name, r in rules.items() for rule in (r.error_if, r.warn_if)]
+    status = df.sparkSession.range(1).select(*texts).first() if texts else ()
+    return {name: ("error" if status[2 * i] else "warn" if status[2 * i + 1] else "pass", counts[name]) for i, name in enumerate(rules)}
+
+
+def not_null_rule(column: str, **options: Any) -> Rule:
+    return Rule(F.col(column).isNull(), **options)
+
+
+def true_rule(expression: str | Column, **options: Any) -> Rule:
+    """Rows where the expression is false; NULL passes."""
+    return Rule(~_value(expression), **options)
+
+
+def range_rule(column: str, min_value: Any = None, max_value: Any = None, inclusive: bool = True, **options: Any) -> Rule:
+    return Rule(_outside(column, min_value, max_value, inclusive), **options)
+
+
+def unique_rule(columns: Sequence[str], nulls: bool = False, **options: Any) -> Rule:
+    """Keys that occur more than once; keys with a NULL pass unless NULLs are to be values."""
+    known = F.lit(True) if nulls else reduce(lambda a, b: a & b, [F.first(F.col(c)).isNotNull() for c in columns])
+    return Rule(known & (F.count(F.lit(1)) > 1), by=tuple(columns), **options)
+
+
+def values_rule(column: str, values: Sequence[Any], **options: Any) -> Rule:
+    """Distinct values outside the list; NULL passes."""
+    return Rule(~F.first(F.col(column)).isin(*values), by=(column,), **options)
+
+
 def accepted_range(
     df: DataFrame, column: str, min_value: Any = None, max_value: Any = None, inclusive: bool = True
 ) -> DataFrame:
     """Rows outside the bounds; NULL passes. A bound may be a constant or a column, and either may be left out."""
+    return df.where(_outside(column, min_value, max_value, inclusive))
+
+
+def _outside(column: str, min_value: Any, max_value: Any, inclusive: bool) -> Column:
     x, outside = F.col(column), F.lit(False)
     bound = lambda v: v if isinstance(v, Column) else F.lit(v)
     if min_value is not None:
         outside = outside | (x < bound(min_value) if inclusive else x <= bound(min_value))
     if max_value is not None:
         outside = outside | (x > bound(max_value) if inclusive else x >= bound(max_value))
-    return df.where(outside)
+    return outside
 
 
 def at_least_one(df: DataFrame, column: str, group_by_columns: Sequence[str] = ()) -> DataFrame:

@@ -385,26 +385,24 @@ def random_impute(
 ) -> DataFrame:
     """NULLs of a column replaced by values drawn from the column.
 
-    The pool is every non-null value, or every distinct one; it is numbered 0..P-1 by value and key, and
-    a row with NULL takes the pool entry numbered by a hash of its key. Drawn rows meet the pool in an
-    equi-join on that number, which is spread evenly; rows with a value are passed through. Without
-    values to draw from, NULL stays. Without a key, rows are numbered and written once.
+    The draw inverts the distribution: distinct values in ascending order get intervals as long as their
+    number of rows, or of length 1 if the distribution isn't to be considered, and a row with NULL takes the
+    value in whose interval its number lies. The number is the first 15 hexadecimal digits of the md5 of the
+    seed and the key, joined by ``|``, modulo the total length, so any engine can repeat it. Values are counted
+    before they are ranged, so a hot value is one interval. Without values to draw from, NULL
+    stays. Without a key, rows are numbered and written once.
     """
     columns = df.columns
     if key is None:
         df = write_once(df.withColumn(ROW_KEY, F.monotonically_increasing_id())).rows
         key = [ROW_KEY]
     filled, missing = df.where(F.col(column).isNotNull()), df.where(F.col(column).isNull())
-    if consider_distribution:
-        pool = ordering.row_numbers(filled.select(F.col(column).alias("_drawn"), *key), ["_drawn", *key], "_draw")
-    else:
-        pool = ordering.row_numbers(filled.select(F.col(column).alias("_drawn")).distinct(), ["_drawn"], "_draw")
-    pool = pool.select("_drawn", "_draw")
-    size = pool.agg(F.count(F.lit(1)).alias("_pool"))
-    drawn = (
-        missing.crossJoin(F.broadcast(size))
-        .withColumn("_draw", F.pmod(F.xxhash64(*key, F.lit(seed)), F.nullif("_pool", F.lit(0))))
-        .join(pool, "_draw", "left")
-        .withColumn(column, F.col("_drawn"))
-    )
+    length = F.count(F.lit(1)) if consider_distribution else F.lit(1).cast("long")
+    values = write_once(filled.groupBy(F.col(column).alias("_drawn")).agg(length.alias("_length"))).rows
+    intervals = ordering.sums_before(values, ["_drawn"], "_length", "_start")
+    total = values.agg(F.sum("_length").alias("_total"))
+    number = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *key)), 1, 15), 16, 10).cast("long")
+    kept = [F.col(c) for c in columns if c != column]
+    points = missing.crossJoin(F.broadcast(total)).select(*kept, F.pmod(number, F.nullif("_total", F.lit(0))).alias("_draw"))
+    drawn = ordering.interval_values(points, "_draw", intervals, "_start", "_drawn", column)
     return filled.select(*columns).unionAll(drawn.select(*columns))

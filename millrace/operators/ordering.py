@@ -101,6 +101,34 @@ def row_numbers(df: DataFrame, order: Sequence[str], output: str = "row_index")
     )
 
 
+def sums_before(df: DataFrame, order: Sequence[str], value: str, output: str) -> DataFrame:
+    """The sum of ``value`` over all rows that sort before a row; rows equal in ``order`` sort freely."""
+    ranged = _ranged(df, order).rows
+    upto = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(_PID).agg(F.sum(value).alias(_N))
+    local = ranged.withColumn("_local", F.coalesce(F.sum(value).over(upto), F.lit(0)))
+    return local.join(F.broadcast(_sums_before(sizes)), _PID).withColumn(output, F.col(_N) + F.col("_local")).drop(_PID, _N, "_local")
+
+
+def interval_values(points: DataFrame, at: str, intervals: DataFrame, start: str, value: str, output: str) -> DataFrame:
+    """Each point with the value of the interval it lies in: the last one that starts at the point or before it.
+
+    Points and starts are ranged together and a value is carried forward, within a partition by a window and over
+    partitions by their edges. Points at one place are spread over partitions, so neither a wide interval nor
+    a place that most points share goes to one task.
+    """
+    columns = points.columns
+    rows = points.select(F.struct(*columns).alias("_row"), F.col(at).cast("long").alias("_at"), F.lit(1).alias("_kind"), F.xxhash64(*columns).alias("_tie"))
+    starts = intervals.select(F.col(start).cast("long").alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"), F.struct(F.col(value).alias("v")).alias("_value"))
+    order = ["_at", "_kind", "_tie"]
+    ranged = _ranged(rows.unionByName(starts, allowMissingColumns=True), order).rows
+    upto = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    edges = ranged.groupBy(_PID).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_at"))).alias("_block"))
+    local = ranged.withColumn("_local", F.last("_value", ignorenulls=True).over(upto)).where("_kind = 1")
+    carried = local.join(F.broadcast(_edges_before(edges)), _PID)
+    return carried.select("_row.*", F.coalesce("_local", "_edge")["v"].alias(output))
+
+
 def ntile_of_position(position: Column, total: Column, k: int) -> Column:
     """SQL NTILE from a 0-based position: the first ``total % k`` tiles get one row more."""
     small = F.floor(total / F.lit(k)).cast("long")

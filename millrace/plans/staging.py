@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date as Date
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.checks import evaluate
+from millrace.operators.checks import Rule, check_together, evaluate
 from millrace.session import write_once
 from millrace.sinks.tables import replace_folder, save_table
 from millrace.sources.files import SALES_SCHEMA, read_json_pages
@@ -57,16 +57,20 @@ Check = Callable[[DataFrame], DataFrame]
 
 
 def build_and_check(
-    df: DataFrame, name: str, checks: Sequence[tuple[str, Check]], fail_fast: bool = True, path: str | None = None
+    df: DataFrame, name: str, checks: Sequence[tuple[str, Check]], fail_fast: bool = True, path: str | None = None,
+    rules: Mapping[str, Rule] | None = None,
 ) -> dict[str, tuple[str, int]]:
-    """Compute a model once, check the rows that were written, and publish these only if all checks pass."""
+    """Compute a model once, check the rows that were written, and publish these only if all checks pass.
+
+    ``rules`` are checked first and together: one scan for all on rows, one for each set of grouping columns.
+    """
     written = write_once(df)
     try:
-        results: dict[str, tuple[str, int]] = {}
+        results = check_together(written.rows, rules or {})
         for label, check in checks:
-            results[label] = evaluate(check(written.rows))
-            if results[label][0] == "error" and fail_fast:
+            if fail_fast and any(status == "error" for status, _ in results.values()):
                 break
+            results[label] = evaluate(check(written.rows))
         failed = {k: v for k, v in results.items() if v[0] == "error"}
         if failed:
             raise ValueError(f"{name} not written; failing checks: {failed}")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import write_once
 from millrace.sinks.tables import append_results
 
 
@@ -21,28 +23,59 @@ def training_columns(mart: DataFrame, label: str, ignore: Sequence[str] = ()) ->
     return [c for c in mart.columns if c not in dropped and not c.startswith(f"is_{label}__")], target
 
 
+def training_share(key: Sequence[str], seed: int = 42) -> Column:
+    """A number from 0 to 1 for each row: the first 8 hexadecimal digits of the md5 of seed and key, joined by ``|``."""
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), *key)), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 32))
+
+
 def split_rows(mart: DataFrame, key: Sequence[str] | None = None, share: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows. A key makes the split a hash of the row, the same in every run and retry."""
-    if key is None:
-        train, test = mart.randomSplit([share, 1 - share], seed)
-        return train, test
-    fraction = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    return mart.where(fraction < share), mart.where(fraction >= share)
-
-
-def _vectors(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Feature vector and target; NULL counts as 0, which is what a missing logarithm stands for here."""
-    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns], target)
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="features").transform(filled)
-    return assembled.select("features", F.col(target).cast("double").alias("label"))
-
-
-def fit_forest(
-    train: DataFrame, test: DataFrame, columns: Sequence[str], target: str, trees: int = 100, seed: int = 42,
-    depth: int = 5,
-) -> tuple[RandomForestClassificationModel, float, float]:
-    """(model, train accuracy, test accuracy) of a forest on the given columns."""
-    training, testing = _vectors(train, columns, target), _vectors(test, columns, target)
+    """Training and test rows, split by a hash of the key, or of the whole row without one.
+
+    The split is the same in every run, retry and engine, however the rows are partitioned.
+    """
+    at = training_share(key or mart.columns, seed)
+    return mart.where(at < share), mart.where(at >= share)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Rows written once as vectors: features, label, training; the names of the features by place in the vector."""
+
+    rows: DataFrame
+    names: tuple[str, ...]
+    columns: tuple[str, ...]
+
+    def part(self, training: bool, names: Sequence[str] | None = None) -> DataFrame:
+        """Training or test rows with all features, or with the named ones sliced out of the vector."""
+        rows = self.rows.where(F.col("training") == training)
+        if names is None:
+            return rows
+        places = [self.names.index(n) for n in names]
+        return VectorSlicer(inputCol="all", outputCol="features", indices=places).transform(rows.withColumnRenamed("features", "all"))
+
+
+def prepare(mart: DataFrame, columns: Sequence[str], target: str, key: Sequence[str] | None = None, share: float = 0.7, seed: int = 42) -> Prepared:
+    """Compute the mart once and write its rows as vectors.
+
+    A feature with NULLs counts as 0 where it is NULL and gets a feature of its own, ``<name>_is_missing``, so that a
+    missing value and a value of 0 stay apart.
+    """
+    kept = mart.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(target).cast("double").alias("label"),
+                       (training_share(key or mart.columns, seed) < share).alias("training"))
+    written = write_once(kept).rows
+    gaps = written.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
+    missing = [c for c in columns if gaps[c]]
+    filled = written.select(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in columns],
+                            *[F.col(c).isNull().cast("double").alias(f"{c}_is_missing") for c in missing], "label", "training")
+    names = (*columns, *(f"{c}_is_missing" for c in missing))
+    rows = VectorAssembler(inputCols=list(names), outputCol="features").transform(filled).select("features", "label", "training")
+    return Prepared(write_once(rows).rows, names, tuple(columns))
+
+
+def fit_forest(prepared: Prepared, names: Sequence[str] | None = None, trees: int = 100, seed: int = 42, depth: int = 30):
+    """(model, train accuracy, test accuracy) of a forest on all or on the named features."""
+    training, testing = prepared.part(True, names), prepared.part(False, names)
     forest = RandomForestClassifier(numTrees=trees, seed=seed, maxDepth=depth, featuresCol="features", labelCol="label")
     model = forest.fit(training)
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
@@ -51,25 +84,28 @@ def fit_forest(
 
 def train_model(
     mart: DataFrame, label: str, key: Sequence[str] | None = None, trees: int = 100, seed: int = 42, top: int = 5,
-    ignore: Sequence[str] | None = None, depth: int = 5,
+    ignore: Sequence[str] | None = None, depth: int = 30,
 ) -> tuple[DataFrame, DataFrame]:
     """(metrics, importances) of a full model and of one refitted on its ``top`` features.
 
-    ``ignore`` names columns that are no features; the key columns unless given.
+    ``ignore`` names columns that are no features; the key columns unless given. ``depth`` is the deepest that
+    Spark's trees can be. The mart is computed once; both models read the vectors that were written.
     """
     columns, target = training_columns(mart, label, key or () if ignore is None else ignore)
-    train, test = split_rows(mart, key, seed=seed)
-    full, train_score, test_score = fit_forest(train, test, columns, target, trees, seed, depth)
-    importances = sorted(zip(columns, full.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
+    prepared = prepare(mart, columns, target, key, seed=seed)
+    sizes = {r["training"]: r["count"] for r in prepared.rows.groupBy("training").count().collect()}
+    full, train_score, test_score = fit_forest(prepared, None, trees, seed, depth)
+    importances = sorted(zip(prepared.names, full.featureImportances.toArray().tolist()), key=lambda r: (-r[1], r[0]))
     best = [name for name, _ in importances[:top]]
-    _, train_top, test_top = fit_forest(train, test, best, target, trees, seed, depth)
+    _, train_top, test_top = fit_forest(prepared, best, trees, seed, depth)
     spark = mart.sparkSession
+    rows = (sizes.get(True, 0), sizes.get(False, 0))
     metrics = spark.createDataFrame(
         [
-            ("full_model", train_score, test_score, len(columns)),
-            (f"top{top}_features_model", train_top, test_top, len(best)),
+            ("full_model", train_score, test_score, len(prepared.names), *rows),
+            (f"top{top}_features_model", train_top, test_top, len(best), *rows),
         ],
-        "model_type string, train_accuracy double, test_accuracy double, features_count int",
+        "model_type string, train_accuracy double, test_accuracy double, features_count int, train_rows long, test_rows long",
     )
     return metrics, spark.createDataFrame(importances, "feature string, importance double")
 
@@ -77,6 +113,8 @@ def train_model(
 def save_results(
     metrics: DataFrame, importances: DataFrame, run_timestamp: datetime | str,
     metrics_table: str = "model_metrics", importance_table: str = "feature_importance",
+    metrics_path: str | None = None, importance_path: str | None = None,
 ) -> None:
-    append_results(metrics, metrics_table, run_timestamp)
-    append_results(importances, importance_table, run_timestamp)
+    """Append a run's results to their tables, whose files lie under the paths, or in the warehouse without them."""
+    append_results(metrics, metrics_table, run_timestamp, metrics_path)
+    append_results(importances, importance_table, run_timestamp, importance_path)

@@ -214,3 +214,25 @@ def test_assertions(spark):
     assert run(checks.assert_close, df, "a", "b") == ("error", 2)
     assert run(checks.assert_not_null, df, "a") == ("error", 2)
     assert run(checks.assert_equal_string, df, "a", "b") == ("error", 3)
+
+
+def test_checks_together_agree_with_each_alone(spark, tmp_path):
+    rows = [(i if i % 9 else None, i % 4, float(i % 50), None if i == 3 else i % 7) for i in range(200)] + [(5, 1, 99.0, 1)] * 3
+    df = spark.createDataFrame(rows, "a int, b int, x double, c int")
+    together = checks.check_together(df, {
+        "a": checks.not_null_rule("a"), "a from 50": checks.not_null_rule("a", where="x > 20", error_if="> 1000"),
+        "x": checks.range_rule("x", 1, 49), "x open": checks.range_rule("x", 0, 99, inclusive=False), "true": checks.true_rule("c < 6"),
+        "key": checks.unique_rule(["a"]), "pair": checks.unique_rule(["a", "b"], nulls=True), "values": checks.values_rule("c", [0, 1, 2]),
+        "values too": checks.values_rule("c", list(range(7))),
+    })
+    alone = {
+        "a": checks.run_check(checks.not_null, df, "a"), "a from 50": checks.run_check(checks.not_null, df, "a", where="x > 20", error_if="> 1000"),
+        "x": checks.run_check(checks.accepted_range, df, "x", 1, 49), "x open": checks.run_check(checks.accepted_range, df, "x", 0, 99, inclusive=False),
+        "true": checks.run_check(checks.expression_is_true, df, "c < 6"), "key": checks.run_check(checks.unique, df, "a"),
+        "pair": checks.run_check(checks.unique_combination_of_columns, df, ["a", "b"]), "values": checks.run_check(checks.accepted_values, df, "c", [0, 1, 2]),
+        "values too": checks.run_check(checks.accepted_values, df, "c", list(range(7))),
+    }
+    assert together == alone and together["values too"] == ("pass", 0) and together["a from 50"][0] == "warn"
+    assert checks.check_together(df.limit(0), {"a": checks.not_null_rule("a"), "key": checks.unique_rule(["a"])}) == {"a": ("pass", 0), "key": ("pass", 0)}
+    with pytest.raises(ValueError):
+        checks.values_rule("c", [1], where="x > 1")

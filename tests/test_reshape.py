@@ -138,3 +138,12 @@ def test_anti_and_semi(spark):
     assert rows(joins.anti(left, keys, "k")) == [(1,), (3,), (None,)]
     assert rows(joins.semi(left, keys, "k")) == [(2,), (2,)]
     assert "LeftAnti" in joins.anti(left, keys, "k")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_signed_difference_repeats_rows_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(reshape, "REPEAT_ROWS", 7)
+    a = spark.createDataFrame([(1, "x")] * 50 + [(2, None)] * 3 + [(None, "y")], "a int, b string")
+    b = spark.createDataFrame([(1, "x")] * 8 + [(2, None)] * 24 + [(3, "z")], "a int, b string")
+    got = reshape.symmetric_difference(a, b, keep_duplicates=True).groupBy("which_diff", "a", "b").count().collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("a_minus_b", 1, "x", 42), ("a_minus_b", None, "y", 1), ("b_minus_a", 2, None, 21), ("b_minus_a", 3, "z", 1)], key=str)

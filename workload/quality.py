@@ -219,13 +219,13 @@ UNION ALL SELECT 'one_each', CASE WHEN n > 0 THEN 'error' ELSE 'pass' END, n FRO
 def check_evaluation(spark, folder):
     """Status and number of failures of several checks on one table."""
     orders = load(spark, folder, "orders")
-    results = {
-        "key_not_null": checks.run_check(checks.not_null, orders, "o_orderkey"),
-        "key_unique": checks.run_check(checks.unique, orders, "o_orderkey"),
-        "known_status": checks.run_check(checks.accepted_values, orders, "o_orderstatus", ["F", "P"], error_if="> 10"),
-        "cheap": checks.run_check(checks.accepted_range, orders, "o_totalprice", max_value=400000, where="o_custkey > 10"),
-        "one_each": checks.run_check(checks.equal_rowcount, orders, load(spark, folder, "customer")),
-    }
+    results = checks.check_together(orders, {
+        "key_not_null": checks.not_null_rule("o_orderkey"),
+        "key_unique": checks.unique_rule(["o_orderkey"]),
+        "known_status": checks.values_rule("o_orderstatus", ["F", "P"], error_if="> 10"),
+        "cheap": checks.range_rule("o_totalprice", max_value=400000, where="o_custkey > 10"),
+    })
+    results["one_each"] = checks.run_check(checks.equal_rowcount, orders, load(spark, folder, "customer"))
     return spark.createDataFrame([(k, *v) for k, v in results.items()], "name string, status string, n long")
 
 
@@ -236,6 +236,23 @@ def check_assert_equal(spark, folder):
     return failing.select("l_orderkey", "l_linenumber")
 
 
+@query("""
+SELECT 'close' AS rule, l_orderkey, l_linenumber FROM lineitem WHERE round(l_extendedprice / 1000, 1) <> round(l_extendedprice / 1000 * (1 + l_tax), 1)
+UNION ALL SELECT 'equal_string', l_orderkey, l_linenumber FROM lineitem WHERE CAST(l_linenumber AS VARCHAR) <> l_linestatus || '1'
+UNION ALL SELECT 'not_null', l_orderkey, l_linenumber FROM lineitem WHERE l_discount <= 0""")
+def check_assertions(spark, folder):
+    """Lines whose price changes in its first decimal by the tax, whose number isn't a text, and whose discount has no logarithm."""
+    rows = _lines(spark, folder)
+    price = F.col("l_extendedprice") / 1000
+    found = {
+        "close": checks.assert_close(rows, price, price * (1 + F.col("l_tax")), 1),
+        "equal_string": checks.assert_equal_string(rows, "l_linenumber", F.concat("l_linestatus", F.lit("1"))),
+        "not_null": checks.assert_not_null(rows, F.when(F.col("l_discount") > 0, F.log("l_discount"))),
+    }
+    parts = [failing.select(F.lit(rule).alias("rule"), "l_orderkey", "l_linenumber") for rule, failing in found.items()]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 @query("""SELECT o_custkey, count(*) AS n, max(o_orderdate) AS latest FROM orders GROUP BY o_custkey""")
 def build_then_test(spark, folder):
     """A model whose table is written only after its checks have passed."""
@@ -244,9 +261,11 @@ def build_then_test(spark, folder):
     )
     name, path = f"orders_per_customer_{uuid.uuid4().hex[:12]}", new_folder(spark)
     build_and_check(model, name, [
-        ("customer present", lambda df: checks.not_null(df, "o_custkey")),
-        ("customer unique", lambda df: checks.unique(df, "o_custkey")),
-        ("some orders", lambda df: checks.accepted_range(df, "n", min_value=1)),
-    ], path=path)
+        ("as many as customers", lambda df: checks.fewer_rows_than(df, load(spark, folder, "orders"))),
+    ], rules={
+        "customer present": checks.not_null_rule("o_custkey"),
+        "some orders": checks.range_rule("n", min_value=1),
+        "customer unique": checks.unique_rule(["o_custkey"]),
+    }, path=path)
     spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(path)

@@ -205,6 +205,18 @@ def union_relations(spark, folder):
     )
 
 
+@query("""
+SELECT CAST(c_nationkey AS VARCHAR) AS nation, CAST(c_acctbal AS DECIMAL(12,1)) AS balance, NULL::BIGINT AS supplier_id FROM customer
+UNION ALL SELECT CAST(s_nationkey AS VARCHAR), CAST(s_acctbal AS DECIMAL(12,1)), s_suppkey FROM supplier""")
+def union_relations_included(spark, folder):
+    """Named columns only, two of them in a type of their own, and no column for the source."""
+    customer = load(spark, folder, "customer").toDF("customer_id", "name", "nation", "balance", "segment")
+    supplier = load(spark, folder, "supplier").toDF("supplier_id", "name", "nation", "balance")
+    return reshape.union_relations(
+        {"customer": customer, "supplier": supplier}, column_override={"NATION": "string", "balance": "decimal(12,1)"},
+        include=["nation", "Balance", "supplier_id"], source_column_name=None)
+
+
 @query("""
 SELECT n_nationkey AS key, n_name AS name FROM nation UNION ALL SELECT r_regionkey, r_name FROM region""")
 def union_by_prefix(spark, folder):
@@ -239,6 +251,18 @@ def symmetric_difference(spark, folder):
     return reshape.symmetric_difference(lines, lines.withColumn("l_quantity", 51 - F.col("l_quantity")))
 
 
+@query("""
+WITH a AS (SELECT l_returnflag, l_linestatus, CAST(l_quantity AS INTEGER) AS q FROM lineitem),
+     b AS (SELECT l_returnflag, CASE WHEN l_quantity > 20 THEN 'F' ELSE l_linestatus END, CAST(l_quantity AS INTEGER) FROM lineitem)
+SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def multiset_difference(spark, folder):
+    """Few different rows, each many times, and each more often on one side."""
+    lines = load(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").alias("q"))
+    closed = lines.withColumn("l_linestatus", F.when(F.col("q") > 20, "F").otherwise(F.col("l_linestatus")))
+    return reshape.symmetric_difference(lines, closed, keep_duplicates=True)
+
+
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 

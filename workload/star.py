@@ -1,17 +1,17 @@
 """The rental reports, run on rental tables derived from the whole trade tables.
 
 Parts are films, brands categories, suppliers actors (an actor plays in a film when the supplier has
-delivered the part), orders rentals and payments, nations stores. Parts above size 45 are not stocked.
-An order with status O is a rental that is still out.
+delivered the part), orders rentals and payments, nations stores. Two copies of each part
+are kept. An order with status O is a rental that is still out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans import rental
-from millrace.session import Tables, load_tables
+from millrace.session import Tables, load_table, load_tables
 
 TODAY = "1998-06-15"
 AS_OF = "1998-01-01 00:00:00"
@@ -69,7 +69,7 @@ def rental_tables(spark: SparkSession, folder: str) -> Tables:
         "film_actor": lambda: t["lineitem"].select(
             key("l_suppkey").alias("actor_id"), key("l_partkey").alias("film_id")
         ).distinct(),
-        "inventory": lambda: t["part"].where(key("p_size") <= 45).select(
+        "inventory": lambda: t["part"].select(
             key("p_partkey").alias("film_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")
         ).select(
             (key("film_id") * 2 + key("copy")).alias("inventory_id"), "film_id",
@@ -116,7 +116,7 @@ actor AS (
 film_actor AS (SELECT DISTINCT l_suppkey AS actor_id, l_partkey AS film_id FROM lineitem),
 inventory AS (
   SELECT p_partkey * 2 + copy AS inventory_id, p_partkey AS film_id, CAST((p_partkey + copy) % 25 AS INTEGER) AS store_id
-  FROM part, (SELECT unnest([0, 1]) AS copy) WHERE p_size <= 45),
+  FROM part, (SELECT unnest([0, 1]) AS copy)),
 rental AS (
   SELECT o_orderkey AS rental_id, o_orderdate AS rental_date,
          (o_orderkey * 7) % (SELECT 2 * count(*) FROM part) AS inventory_id, o_custkey AS customer_id,
@@ -127,13 +127,12 @@ payment AS (
          CAST(o_totalprice AS DECIMAL(12,2)) AS amount, o_orderdate AS payment_date FROM orders)
 """
 
-# Every order borrows one of the two copies of a part; copies of parts over size 45 are not kept.
+# Every order borrows one of the two copies of a part.
 _LOANS = """
 WITH loans AS (
   SELECT p_partkey, p_name, p_brand, item % 2 AS copy, o_orderkey, o_custkey, o_orderstatus, o_orderdate,
          CAST(o_totalprice AS DECIMAL(12,2)) AS paid
-  FROM (SELECT *, o_orderkey * 7 % (SELECT 2 * count(*) FROM part) AS item FROM orders) JOIN part ON p_partkey = item // 2
-  WHERE p_size <= 45)
+  FROM (SELECT *, o_orderkey * 7 % (SELECT 2 * count(*) FROM part) AS item FROM orders) JOIN part ON p_partkey = item // 2)
 """
 
 
@@ -148,18 +147,17 @@ def _busiest_suppliers(condition: str, limit: int) -> str:
         FROM delivered JOIN supplier ON s_suppkey = l_suppkey ORDER BY rental_count DESC, actor_id LIMIT {limit}"""
 
 
-_CAST = """
-FROM film f JOIN film_category fc ON fc.film_id = f.film_id JOIN category c ON c.category_id = fc.category_id
-JOIN film_actor fa ON fa.film_id = f.film_id JOIN actor a ON a.actor_id = fa.actor_id
-GROUP BY f.film_id, f.title, f.description, c.name, f.rental_rate, f.length, f.rating
-"""
-_FILM_COLUMNS = """
-SELECT f.film_id AS fid, f.title AS title, f.description AS description, c.name AS category, f.rental_rate AS price,
-       f.length AS length, f.rating AS rating,
-"""
-_RECASED = " || ".join(
-    f"upper(substring(a.{c}, 1, 1)) || lower(substring(a.{c}, 2))" for c in ("first_name", "last_name")
-)
+def _film_list(actor: str) -> str:
+    """Parts with the names of their suppliers; ``actor`` makes a name of ``s_name``."""
+    return f"""
+        WITH suppliers_of AS (
+          SELECT l_partkey, {actor} AS actor FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) JOIN supplier ON s_suppkey = l_suppkey)
+        SELECT p_partkey AS fid, concat_ws(' ', p_name, p_partkey) AS title, p_type AS description, p_brand AS category,
+               CAST(p_retailprice AS DECIMAL(10,2)) AS price, p_size AS length,
+               CASE WHEN p_size >= 40 THEN 'R' WHEN p_size >= 20 THEN 'PG' ELSE 'G' END AS rating,
+               (SELECT string_agg(actor, ', ' ORDER BY actor) FROM suppliers_of WHERE l_partkey = p_partkey) AS actors
+        FROM part WHERE p_partkey IN (SELECT l_partkey FROM suppliers_of)"""
+
 
 # name -> (report on the rental tables, the same report as SQL on the given tables or after RENTAL_SQL)
 REPORTS = {
@@ -170,8 +168,6 @@ REPORTS = {
     "top_category_by_revenue": (rental.top_category_by_payments, f"""{_LOANS}
         SELECT p_brand AS category_name, CAST(sum(paid) AS DECIMAL(18,2)) AS total_amount FROM loans
         GROUP BY p_brand ORDER BY 2 DESC, 1 LIMIT 1"""),
-    "anti_join_missing_children": (rental.films_without_inventory, """
-        SELECT p_partkey AS film_id, concat_ws(' ', p_name, p_partkey) AS title FROM part WHERE (p_size <= 45) IS NOT TRUE"""),
     "topk_in_filtered_category": (
         lambda t: rental.top_actors_in_category(t, "Brand#7"), _busiest_suppliers("p_brand = 'Brand#7'", 3)),
     "late_open_items": (lambda t: rental.late_rentals(t, TODAY), f"""{_LOANS}
@@ -179,15 +175,13 @@ REPORTS = {
                concat_ws(' ', p_name, p_partkey) AS title
         FROM customer JOIN loans ON o_custkey = c_custkey
         WHERE (o_orderstatus <> 'O') IS NOT TRUE AND o_orderdate < TIMESTAMP '{TODAY}' ORDER BY title, rental_id LIMIT 5"""),
-    "listagg_two_level": (rental.actor_info, """,
-        per_category AS (
-          SELECT fa.actor_id, c.name || ': ' || string_agg(f.title, ', ' ORDER BY f.title) AS entry
-          FROM film_actor fa JOIN film f ON fa.film_id = f.film_id
-          JOIN film_category fc ON fc.film_id = f.film_id JOIN category c ON c.category_id = fc.category_id
-          GROUP BY fa.actor_id, c.category_id, c.name),
-        infos AS (SELECT actor_id, string_agg(DISTINCT entry, ', ' ORDER BY entry) AS film_info FROM per_category GROUP BY actor_id)
-        SELECT a.actor_id, a.first_name, a.last_name, i.film_info
-        FROM actor a LEFT JOIN infos i ON a.actor_id = i.actor_id"""),
+    "listagg_two_level": (rental.actor_info, """
+        WITH shelves AS (
+          SELECT l_suppkey, concat(p_brand, ': ', string_agg(concat_ws(' ', p_name, p_partkey), ', ' ORDER BY concat_ws(' ', p_name, p_partkey))) AS shelf
+          FROM part JOIN (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) ON l_partkey = p_partkey GROUP BY l_suppkey, p_brand)
+        SELECT s_suppkey AS actor_id, string_split(s_name, '#')[1] AS first_name, string_split(s_name, '#')[2] AS last_name,
+               (SELECT string_agg(shelf, ', ' ORDER BY shelf) FROM shelves WHERE l_suppkey = s_suppkey) AS film_info
+        FROM supplier"""),
     # The result's column names are fixed values.
     "contact_list_view": (rental.customer_list, """
         SELECT c_custkey AS id, concat_ws(' ', c_mktsegment, c_name) AS name, concat('1 ', c_name) AS address,
@@ -199,11 +193,8 @@ REPORTS = {
                CAST(n_nationkey AS VARCHAR) AS "zip code", CAST(n_nationkey AS VARCHAR) AS phone, n_name AS city,
                r_name AS country, n_nationkey AS sid
         FROM region JOIN nation ON n_regionkey = r_regionkey"""),
-    "concat_list_view": (rental.film_list, f"""
-        {_FILM_COLUMNS} string_agg(a.first_name || ' ' || a.last_name, ', ' ORDER BY a.first_name || ' ' || a.last_name) AS actors
-        {_CAST}"""),
-    "recased_list_view": (rental.film_list_recased, f"""
-        {_FILM_COLUMNS} string_agg({_RECASED}, ', ' ORDER BY {_RECASED}) AS actors {_CAST}"""),
+    "concat_list_view": (rental.film_list, _film_list("replace(s_name, '#', ' ')")),
+    "recased_list_view": (rental.film_list_recased, _film_list("concat(upper(s_name[1]), lower(replace(s_name[2:], '#', '')))")),
     "sales_by_category_view": (rental.sales_by_film_category, f"""{_LOANS}
         SELECT p_brand AS category, CAST(sum(paid) AS DECIMAL(18,2)) AS total_sales FROM loans GROUP BY p_brand"""),
     "sales_by_store": (rental.sales_by_store, f"""{_LOANS},
@@ -244,10 +235,22 @@ def _on_rental_tables(report):
 
 # Reports whose SQL uses the rental tables; the others are put straight to the given ones.
 _ON_RENTAL_TABLES = {
-    "group_count_by_category", "listagg_two_level", "concat_list_view", "recased_list_view", "in_stock", "items_in_stock",
+    "group_count_by_category", "in_stock", "items_in_stock",
     "items_not_in_stock", "held_by", "customer_balance_asof", "rewards_report",
 }
 QUERIES = {
     name: (_on_rental_tables(report), RENTAL_SQL + sql if name in _ON_RENTAL_TABLES else sql)
     for name, (report, sql) in REPORTS.items()
 }
+
+
+def unlabelled_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The films without a copy, where films are documents and copies their labels: some documents have none."""
+    documents, labels = load_table(spark, folder, "documents"), load_table(spark, folder, "labels")
+    title = F.concat_ws(" ", "source", "lang", F.col("doc_id").cast("string"))
+    return rental.films_without_inventory({
+        "film": documents.select(F.col("doc_id").alias("film_id"), title.alias("title")), "inventory": labels.select(F.col("doc_id").alias("film_id"))})
+
+
+QUERIES["anti_join_missing_children"] = (unlabelled_documents, """
+    SELECT doc_id AS film_id, concat_ws(' ', source, lang, doc_id) AS title FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
