@@ -104,6 +104,14 @@ def pivot(
     return columns
 
 
+def pivot_long(df: DataFrame, by: Sequence[str], column: str, *aggregates: Column) -> DataFrame:
+    """The cells of a pivot as rows (by, column, aggregates), for columns of more values than a table can have columns.
+
+    Cells without rows are left out, as in a sparse matrix.
+    """
+    return df.groupBy(*by, column).agg(*aggregates)
+
+
 def group_by_first(df: DataFrame, n: int):
     """Group by the first ``n`` columns of ``df``."""
     if not 0 <= n <= len(df.columns):

@@ -336,6 +336,19 @@ def one_hot_encode(column: str, categories: Sequence[Any] | None = None, source_
     return Feature(make, () if categories is not None else (need,))
 
 
+def one_hot_positions(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """One-hot encoding of a column of any number of values as the place of the 1, with the length of the vector.
+
+    Adds ``is_<column>_at`` (from 0, in the order of the values, NULL last) and ``is_<column>_of``, the number of
+    places: one for each value and one for NULL. These are the only entries of a sparse vector, so
+    rows stay as wide as they are. Values are numbered without leaving the cluster and looked up by a join.
+    """
+    name = output or f"is_{column}"
+    codes = write_once(ordering.dense_codes(df, column, f"{name}_at")).rows
+    size = codes.agg((F.count(column) + 1).alias(f"{name}_of"))
+    return lookup(df, codes, column, count="n").select(*df.columns, f"{name}_at").crossJoin(F.broadcast(size))
+
+
 def poly_transform(column: str, degree: float) -> Feature:
     return Feature(lambda df, facts: F.pow(_number(column), F.lit(float(degree))))
 

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import checks, textsearch
-from millrace.plans import mart, staging, training
+from millrace.plans import mart, run, staging, training
+from millrace.sinks import versions
 from millrace.sinks import tables as sinks
 from millrace.sources import catalog, files, synthetic
 
@@ -180,3 +181,49 @@ def test_source_to_model(spark):
     assert spark.table("t_metrics").count() == 4 and spark.table("t_importance").count() == 96
     for name in ("t_metrics", "t_importance"):
         spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("failing", ["one", "two", "three"])
+def test_a_run_goes_on_where_it_stopped(spark, tmp_path, failing):
+    made, place = [], str(tmp_path)
+
+    def step(name, after):
+        def make(before):
+            made.append(name)
+            rows = before[after] if after else spark.range(5)
+            if name == failing and made.count(name) == 1:
+                rows = rows.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")))
+            return rows.withColumn("id", F.col("id") + 1)
+
+        return name, make
+
+    steps = [step("one", None), step("two", "one"), step("three", "two")]
+    with pytest.raises(Exception, match="lost"):
+        run.run_steps(spark, place, "r1", steps)
+    seen = versions.Versions(spark, place)
+    assert seen.current() == {}
+    for _ in range(2):
+        done = run.run_steps(spark, place, "r1", steps)
+    assert sorted(r.id for r in done["three"].collect()) == [3, 4, 5, 6, 7]
+    assert {n: made.count(n) for n in ("one", "two", "three")} == {"one": 1, "two": 1, "three": 1} | {failing: 2}
+    assert set(seen.current()) == {"one", "two", "three"} and seen.manifest().count() == 3
+    # Another run makes all steps again; its tables take the place of the first run's together.
+    run.run_steps(spark, place, "r2", steps, tables=["three"])
+    assert seen.current()["three"] != seen.current("r1")["three"] and seen.current()["one"] == seen.current("r1")["one"]
+    assert seen.sweep("three") == 1 and seen.read("three").count() == 5
+
+
+def test_a_version_is_seen_when_it_is_published(spark, tmp_path):
+    store = versions.Versions(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        store.read("a")
+    first = {name: store.write(name, spark.range(n)) for name, n in (("a", 2), ("b", 3))}
+    assert store.current() == {}
+    store.publish(first, "r1")
+    reader = store.read("a")
+    store.write("a", spark.range(9))
+    assert store.read("a").count() == 2 and store.read("b").count() == 3
+    store.publish({"a": store.write("a", spark.range(4))}, "r2")
+    assert store.read("a").count() == 4 and reader.count() == 2 and store.current("r1") == first
+    with pytest.raises(ValueError):
+        run.run_steps(spark, str(tmp_path / "x"), "r", [("a", lambda _: spark.range(1)), ("a", lambda _: spark.range(1))])

@@ -206,6 +206,17 @@ def feat_quantile_bins_wide_integers(spark, folder):
     return ft.fit_transform(orders, bins, key=["o_orderkey"], keep=["o_orderkey"])
 
 
+@query("""
+WITH gappy AS (SELECT o_orderkey, CASE WHEN o_custkey % 7 > 0 THEN o_custkey END AS customer FROM orders)
+SELECT o_orderkey, customer, dense_rank() OVER (ORDER BY customer NULLS LAST) - 1 AS is_customer_at,
+       (SELECT count(DISTINCT customer) + 1 FROM gappy) AS is_customer_of FROM gappy""")
+def feat_one_hot_positions(spark, folder):
+    """A column of more values than one-hot columns are made for."""
+    orders = load(spark, folder, "orders")
+    gappy = orders.select("o_orderkey", F.when(F.col("o_custkey") % 7 > 0, F.col("o_custkey")).alias("customer"))
+    return ft.one_hot_positions(gappy, "customer")
+
+
 @query("""
 SELECT o_orderkey, ntile(1000) OVER (ORDER BY o_totalprice, o_orderkey) AS price_bin,
        ntile(1000) OVER (ORDER BY o_custkey, o_orderkey) AS customer_bin

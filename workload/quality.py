@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from millrace.operators import checks
+from millrace.plans.run import run_steps
 from millrace.plans.staging import build_and_check
 from millrace.session import load_table as load
 from millrace.session import new_folder
+from millrace.sinks.versions import Versions
 
 QUERIES: dict[str, tuple] = {}
 
@@ -269,3 +271,45 @@ def build_then_test(spark, folder):
     }, path=path)
     spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(path)
+
+
+@query("""
+SELECT 'staged' AS name, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total, 1 AS times_made FROM lineitem
+UNION ALL SELECT 'mart', count(*), CAST(sum(total) AS DECIMAL(28,2)), 2 FROM (SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM lineitem GROUP BY ALL)
+UNION ALL SELECT 'results', count(*), CAST(sum(total) AS DECIMAL(28,2)), 1 FROM (SELECT CAST(max(total) AS DECIMAL(28,2)) AS total FROM (
+  SELECT sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total FROM lineitem GROUP BY l_returnflag))""")
+def restarted_run(spark, folder):
+    """Staging, mart and results in order; the mart fails at first, and the run is started again."""
+    place, made = new_folder(spark), {"staged": 0, "mart": 0, "results": 0}
+
+    def staged(_):
+        made["staged"] += 1
+        return load(spark, folder, "lineitem").select("l_returnflag", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+
+    def mart(before):
+        made["mart"] += 1
+        totals = before["staged"].groupBy("l_returnflag").agg(F.sum("price").cast("decimal(28,2)").alias("price"))
+        # The first time the step breaks off after a part of its rows is written.
+        stop = F.when(F.col("l_returnflag") == "R", F.raise_error(F.lit("stopped")).cast("decimal(28,2)")).otherwise(F.col("price"))
+        return totals.withColumn("price", stop) if made["mart"] == 1 else totals
+
+    def results(before):
+        made["results"] += 1
+        return before["mart"].agg(F.max("price").alias("price"))
+
+    steps = [("staged", staged), ("mart", mart), ("results", results)]
+    try:
+        run_steps(spark, place, "2024-01-01", steps)
+    except Exception as stopped:  # noqa: BLE001 - a failed write comes as one of several errors
+        if "stopped" not in str(stopped):
+            raise
+    if Versions(spark, place).current():
+        raise AssertionError("a run that stopped is not seen by readers")
+    run_steps(spark, place, "2024-01-01", steps)
+    run_steps(spark, place, "2024-01-01", steps)
+    seen = Versions(spark, place)
+    parts = [
+        seen.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.sum("price").cast("decimal(28,2)").alias("total"), F.lit(made[name]).alias("times_made"))
+        for name in made
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])

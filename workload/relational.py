@@ -114,6 +114,14 @@ def pivot_counts(spark, folder):
     )
 
 
+@query("""
+SELECT l_returnflag, l_partkey, count(*) AS n, max(l_quantity) AS most FROM lineitem GROUP BY l_returnflag, l_partkey""")
+def pivot_counts_long(spark, folder):
+    """The cells of a pivot over all parts."""
+    lines = load(spark, folder, "lineitem")
+    return aggregates.pivot_long(lines, ["l_returnflag"], "l_partkey", F.count(F.lit(1)).alias("n"), F.max("l_quantity").alias("most"))
+
+
 @query("""
 SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total, count(*) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
