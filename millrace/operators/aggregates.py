@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.names import slugify
@@ -21,26 +21,25 @@ def group_concat(
     """One text per group, NULLs skipped, values in ascending order; a group of NULLs gives NULL.
 
     Equal values are counted before the shuffle, so what reaches one task per group is its distinct
-    values and their counts. The result is one cell per group; a group whose text would pass
-    the limit of a cell raises an error, it is never cut. ``group_concat_parts`` has no such limit.
+    values and their counts. The length of a group's text is added up over rows that may spill to disk, before any list
+    is made; a text that would pass the limit of a cell raises an error there, it is never cut.
+    ``group_concat_parts`` has no such limit.
     """
     counted = df.groupBy(*by, text).agg(F.count(F.lit(1)).alias("_times"))
     times = F.lit(1) if distinct else F.col("_times")
     width = F.when(F.col(text).isNotNull(), times * (F.octet_length(text) + len(separator)))
-    entry = F.struct(F.col(text).alias("t"), times.cast("int").alias("n"))
-    grouped = counted.groupBy(*by).agg(
-        F.sum(width).alias("_width"),
-        F.sort_array(F.collect_list(F.when(F.col(text).isNotNull(), entry))).alias("_entries"),
-    )
+    too_long = F.raise_error(F.lit("group_concat: the text of a group does not fit in one value"))
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    checked = counted.withColumn("_width", F.sum(width).over(whole)).withColumn(
+        "_value", F.when(F.col("_width") > LONGEST_TEXT, too_long.cast("string")).otherwise(F.col(text).cast("string")))
+    # Equal texts are one entry with its number, which is written out only in the text itself.
+    entry = F.struct(F.col(text).alias("t"), F.col("_value").alias("v"), times.cast("int").alias("n"))
+    grouped = checked.groupBy(*by).agg(F.sort_array(F.collect_list(F.when(F.col("_value").isNotNull(), entry))).alias("_entries"))
     if distinct:
-        parts = F.transform("_entries", lambda e: e["t"])
+        parts = F.transform("_entries", lambda e: e["v"])
     else:
-        parts = F.flatten(F.transform("_entries", lambda e: F.array_repeat(e["t"], e["n"])))
-    joined = F.when(F.size("_entries") > 0, F.array_join(parts, separator))
-    too_long = F.raise_error(F.lit("group_concat: the text of a group does not fit in one value"))
-    return grouped.select(
-        *by, F.when(F.col("_width") > LONGEST_TEXT, too_long.cast("string")).otherwise(joined).alias(output)
-    )
+        parts = F.transform("_entries", lambda e: F.concat(F.repeat(F.concat(e["v"], F.lit(separator)), e["n"] - 1), e["v"]))
+    return grouped.select(*by, F.when(F.size("_entries") > 0, F.array_join(parts, separator)).alias(output))
 
 
 def group_concat_parts(

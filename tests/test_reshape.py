@@ -147,3 +147,13 @@ def test_signed_difference_repeats_rows_in_parts(spark, monkeypatch):
     got = reshape.symmetric_difference(a, b, keep_duplicates=True).groupBy("which_diff", "a", "b").count().collect()
     assert sorted(map(tuple, got), key=str) == sorted(
         [("a_minus_b", 1, "x", 42), ("a_minus_b", None, "y", 1), ("b_minus_a", 2, None, 21), ("b_minus_a", 3, "z", 1)], key=str)
+
+
+def test_a_text_too_long_for_a_cell_is_an_error_before_it_is_made(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "LONGEST_TEXT", 20)
+    df = spark.createDataFrame([(1, "abc")] * 4 + [(2, "abc")] * 2, "g int, t string")
+    with pytest.raises(Exception, match="does not fit"):
+        aggregates.group_concat(df, ["g"], "t", "texts").collect()
+    short = aggregates.group_concat(df.where("g = 2"), ["g"], "t", "texts").collect()
+    assert [r.texts for r in short] == ["abc, abc"]
+    assert [r.texts for r in aggregates.group_concat(df.where("g = 2"), [], "t", "texts").collect()] == ["abc, abc"]

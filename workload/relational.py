@@ -114,6 +114,16 @@ def pivot_counts(spark, folder):
     )
 
 
+@query("""
+WITH texts AS (SELECT DISTINCT o_orderstatus, CAST(o_custkey AS VARCHAR) AS customer FROM orders),
+     placed AS (SELECT *, (row_number() OVER (ORDER BY o_orderstatus, customer) - 1) // 500 AS part FROM texts)
+SELECT o_orderstatus, part, string_agg(customer, ', ' ORDER BY customer) AS customers FROM placed GROUP BY o_orderstatus, part""")
+def concat_parts(spark, folder):
+    """The texts of three groups that hold all orders, in parts of 500 values."""
+    orders = load(spark, folder, "orders").select("o_orderstatus", F.col("o_custkey").cast("string").alias("customer"))
+    return aggregates.group_concat_parts(orders, ["o_orderstatus"], "customer", "customers", part_rows=500)
+
+
 @query("""
 SELECT l_returnflag, l_partkey, count(*) AS n, max(l_quantity) AS most FROM lineitem GROUP BY l_returnflag, l_partkey""")
 def pivot_counts_long(spark, folder):
