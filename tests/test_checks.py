@@ -98,27 +98,31 @@ def test_expression_is_true(spark):
 
 def test_mutually_exclusive_ranges(spark):
     check = checks.mutually_exclusive_ranges
-    solid = frame(spark, "lo int, hi int", (0, 1), (1, 2), (2, 4))
+    # Ranges that touch are without gaps; each of them moved apart leaves one, moved together an overlap.
+    touching = [(10 * i, 10 * i + 10) for i in range(6)]
+    solid = frame(spark, "lo int, hi int", *touching)
     assert run(check, solid, "lo", "hi", gaps="not_allowed") == ("pass", 0)
-    assert run(check, solid, "lo", "hi", gaps="required") == ("error", 2)
-    assert run(check, frame(spark, "lo int, hi int", (0, 3), (1, 2), (2, 4)), "lo", "hi") == ("error", 1)
-    assert run(check, frame(spark, "lo int, hi int", (3, 1),), "lo", "hi") == ("error", 1)
+    assert run(check, solid, "lo", "hi", gaps="required") == ("error", 5)
+    apart = frame(spark, "lo int, hi int", *[(lo, hi - 1) for lo, hi in touching])
+    for rule, result in (("allowed", ("pass", 0)), ("required", ("pass", 0)), ("not_allowed", ("error", 5))):
+        assert run(check, apart, "lo", "hi", gaps=rule) == result
+    assert run(check, frame(spark, "lo int, hi int", *[(lo, hi + 1) for lo, hi in touching]), "lo", "hi") == ("error", 5)
+    assert run(check, frame(spark, "lo int, hi int", (8, 5)), "lo", "hi") == ("error", 1)
+    # Rooms are booked for themselves; an open end is an expression.
     d = dt.date.fromisoformat
-    gaps = frame(
-        spark, "id int, a date, b date", (1, d("2019-01-01"), d("2019-02-01")), (1, d("2019-03-03"), d("2019-04-01")),
-        (2, d("2019-05-06"), d("2019-07-02")), (2, d("2019-07-03"), None),
+    booked = frame(
+        spark, "room string, start date, stop date", ("east", d("2023-05-01"), d("2023-05-04")), ("east", d("2023-05-10"), None),
+        ("west", d("2023-05-02"), d("2023-05-11")), ("west", d("2023-05-11"), d("2023-05-12")),
     )
-    until = "coalesce(b, date'2099-01-01')"
-    for rule, result in (("allowed", ("pass", 0)), ("required", ("pass", 0)), ("not_allowed", ("error", 2))):
-        assert run(check, gaps, "a", until, "id", rule) == result
+    until = "coalesce(stop, date'2030-01-01')"
+    assert run(check, booked, "start", until, "room", "allowed") == ("pass", 0)
+    assert run(check, booked, "start", until, "room", "not_allowed") == ("error", 1)
+    assert run(check, booked, "start", until, "room", "required") == ("error", 1)
     # A NULL bound fails its row.
-    assert run(check, gaps, "a", "b", "id") == ("error", 1)
-    zero = frame(
-        spark, "id int, a int, b int", (3, 506, 507), (3, 508, 510), (3, 508, 508), (3, 512, 515),
-        (4, 606, 607), (4, 608, 608), (4, 609, 610),
-    )
-    assert run(check, zero, "a", "b", "id", zero_length_range_allowed=True) == ("pass", 0)
-    assert run(check, zero, "a", "b", "id") == ("error", 2)
+    assert run(check, booked, "start", "stop", "room") == ("error", 1)
+    empty = frame(spark, "g int, a int, b int", *[(g, a, a + (a + g) % 2) for g in (1, 2) for a in (20, 22, 25)])
+    assert run(check, empty, "a", "b", "g", zero_length_range_allowed=True) == ("pass", 0)
+    assert run(check, empty, "a", "b", "g") == ("error", 3)
     # A NULL lower bound sorts last, so the range before it has no bound to meet.
     assert run(check, frame(spark, "lo int, hi int", (0, 1), (None, 2)), "lo", "hi") == ("error", 2)
     copies = frame(spark, "lo int, hi int", (0, 2), (0, 2), (0, 2), (2, 3))
@@ -128,10 +132,10 @@ def test_mutually_exclusive_ranges(spark):
 
 
 def test_not_accepted_values(spark):
-    df = frame(spark, "city string", ("Barcelona",), ("London",), ("London",), (None,))
-    assert run(checks.not_accepted_values, df, "city", ["Madrid", "Berlin"]) == ("pass", 0)
-    assert run(checks.not_accepted_values, df, "city", ["London"]) == ("error", 1)
-    assert run(checks.not_accepted_values, df, "city", ["concat('Lon', 'don')"], quote=False) == ("error", 1)
+    df = frame(spark, "colour string", *[(c,) for c in ["red", "blue", "blue", "blue", None]])
+    assert run(checks.not_accepted_values, df, "colour", ["green", "grey"]) == ("pass", 0)
+    assert run(checks.not_accepted_values, df, "colour", ["blue", "green"]) == ("error", 1)
+    assert run(checks.not_accepted_values, df, "colour", ["concat('r', 'ed')", "lower('BLUE')"], quote=False) == ("error", 2)
 
 
 def test_not_constant(spark):

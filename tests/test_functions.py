@@ -1,3 +1,5 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,11 +11,17 @@ def values(df, *cols):
     return [tuple(r) if len(cols) != 1 else r[0] for r in df.select(*cols).collect()]
 
 
+def every(spark, schema, *choices):
+    """All combinations of the choices, in the order of the rows."""
+    rows = list(itertools.product(*choices))
+    return rows, spark.createDataFrame(rows, schema)
+
+
 def test_safe_add_and_subtract(spark):
-    add = spark.createDataFrame([(1, 2, 3, 6), (1, None, 3, 4), (None, None, 2, 2), (None, None, None, 0)], "a int, b int, c int, want int")
-    assert values(add, arithmetic.safe_add(["a", "b", "c"])) == [6, 4, 2, 0]
-    sub = spark.createDataFrame([(3, 2, 1), (4, None, 3), (None, None, 2), (None, None, None)], "a int, b int, c int")
-    assert values(sub, arithmetic.safe_subtract(["a", "b", "c"])) == [0, 1, -2, 0]
+    rows, df = every(spark, "a int, b int, c int", [None, -4, 25], [None, 9], [None, 0, 7])
+    filled = [[v or 0 for v in r] for r in rows]
+    assert values(df, arithmetic.safe_add(["a", "b", "c"])) == [sum(r) for r in filled]
+    assert values(df, arithmetic.safe_subtract(["a", "b", "c"])) == [a - b - c for a, b, c in filled]
     for bad in ([], "a"):
         with pytest.raises(ValueError):
             arithmetic.safe_add(bad)
@@ -22,24 +30,25 @@ def test_safe_add_and_subtract(spark):
 
 
 def test_safe_divide(spark):
-    rows = [(6, 0, None), (10, 5, 2.0), (None, None, None), (None, 0, None), (17, None, None), (0, None, None), (None, 9, None), (0, 5, 0.0)]
-    df = spark.createDataFrame(rows, "n int, d int, want double")
-    assert values(df, arithmetic.safe_divide("n", "d")) == [r[2] for r in rows]
-    expressions = spark.createDataFrame([(0, 5, 9), (2, 3, 0), (0, 0, 0), (3, 4, None), (None, 6, 14), (2, 5, 2)], "a int, b int, d int")
-    got = values(expressions, arithmetic.safe_divide(F.col("a") * F.col("b"), "d"))
-    assert got == [0.0, None, None, None, None, 5.0]
+    over = lambda n, d: None if n is None or not d else n / d
+    rows, df = every(spark, "n double, d double", [None, 0.0, -2.5, 12.0], [None, 0.0, 8.0, -0.5])
+    assert values(df, arithmetic.safe_divide("n", "d")) == [over(*r) for r in rows]
+    rows, df = every(spark, "a int, b int, d int", [None, 1, 11], [0, 4], [None, 0, 3])
+    product = lambda a, b: None if a is None else a * b
+    assert values(df, arithmetic.safe_divide(F.col("a") * F.col("b"), "d")) == [over(product(a, b), d) for a, b, d in rows]
 
 
 def test_width_bucket(spark):
-    amounts = [190000.0, 290000.0, 320000.0, 399999.99, 400000.0, 470000.0, 510000.0, 610000.0]
-    df = spark.createDataFrame([(a,) for a in amounts], "amount double")
-    assert values(df, arithmetic.width_bucket("amount", 200000, 600000, 4)) == [0, 1, 2, 2, 3, 3, 4, 5]
+    marks = [i / 4 for i in range(-8, 60)]
+    df = spark.createDataFrame([(m,) for m in marks], "mark double")
+    assert values(df, arithmetic.width_bucket("mark", 0, 12, 5)) == [0 if m < 0 else 6 if m >= 12 else int(m / 2.4) + 1 for m in marks]
     with pytest.raises(ValueError):
-        arithmetic.width_bucket("amount", 5, 5, 4)
+        arithmetic.width_bucket("mark", 5, 5, 4)
 
 
 def test_surrogate_key(spark):
     df = spark.createDataFrame([("a", "b", "c"), ("a", None, "c"), (None, None, "c"), (None, None, None)], "a string, b string, c string")
+    # Keys that other tools make of these rows.
     assert values(df, keys.generate_surrogate_key(["a"])) == [
         "0cc175b9c0f1b6a831c399e269772661", "0cc175b9c0f1b6a831c399e269772661",
         "f14cc5cdce0420f4a5a6b6d9d7b85f39", "f14cc5cdce0420f4a5a6b6d9d7b85f39"]
@@ -52,21 +61,21 @@ def test_surrogate_key(spark):
 
 
 def test_haversine(spark):
-    df = spark.createDataFrame([(48.864716, 2.349014, 52.379189, 4.899431)], "a double, b double, c double, d double")
-    assert values(df, F.round(geo.haversine_distance("a", "b", "c", "d"))) == [267]
-    assert values(df, F.round(geo.haversine_distance("a", "b", "c", "d", unit="km"))) == [430]
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 90.0), (10.0, 20.0, 10.0, 20.0), (-90.0, 5.0, 90.0, 77.0)], "a double, b double, c double, d double")
+    miles, km = (values(df, geo.haversine_distance("a", "b", "c", "d", unit=unit)) for unit in ("mi", "km"))
+    # A quarter and a half of a great circle.
+    assert miles[1] == km[1] == 0 and abs(km[2] - 2 * km[0]) < 1e-6 and abs(km[0] - 10007.5) < 10
+    assert all(abs(k / m - 1.609344) < 1e-3 for m, k in zip(miles, km) if m)
     with pytest.raises(ValueError):
         geo.haversine_distance("a", "b", "c", "d", unit="feet")
 
 
+# url, host, path
 URLS = [
-    ("www.google.co.uk?utm_source=google&utm_medium=cpc", "www.google.co.uk", ""),
-    ("http://witanddelight.com/2018/01/tips/?utm_medium=x", "witanddelight.com", "2018/01/tips/"),
-    ("https://www.nytimes.com/2018/01/01/blog", "www.nytimes.com", "2018/01/01/blog"),
-    ("android-app://m.facebook.com/", "m.facebook.com", None),
-    ("docs.nytimes.com/2021/01/01/index.js?utm_source=google", "docs.nytimes.com", "2021/01/01/index.js"),
-    ("https://m.facebook.com/", "m.facebook.com", ""),
-]
+    (f"{scheme}{host}{path}{query}", host, path.removeprefix("/"))
+    for scheme in ("", "https://", "http://") for host in ("shop.example.org", "example.net")
+    for path in ("/", "/a/b.html", "/x/y/") for query in ("", "?ref=mail", "?ref=mail&page=2")
+] + [("example.net?ref=mail", "example.net", "")]
 
 
 @pytest.mark.parametrize("strict", [False, True])
@@ -86,12 +95,12 @@ def test_url_rules_that_differ_when_strict(spark):
 
 
 def test_url_parameter(spark):
-    df = spark.createDataFrame([("http://drewbanin.com/milky?utm_medium=organic",), ("http://drewbanin.com/milky?utm_medium=organic&utm_source=github",), ("x?utm_medium=&a=1",), (None,)], "url string")
-    assert values(df, urls.get_url_parameter("url", "utm_medium")) == ["organic", "organic", None, None]
-    assert values(df, urls.get_url_parameter("url", "utm_source")) == [None, "github", None, None]
+    df = spark.createDataFrame([("https://example.org/list?page=3",), ("https://example.org/list?page=12&sort=name",), ("example.org?page=&sort=1",), (None,)], "url string")
+    assert values(df, urls.get_url_parameter("url", "page")) == ["3", "12", None, None]
+    assert values(df, urls.get_url_parameter("url", "sort")) == [None, "name", "1", None]
 
 
-@pytest.mark.parametrize("name, slug", [("", ""), (None, ""), ("!Hell0 world-hi", "hell0_world_hi"), ("0Hell0 world-hi", "_0hell0_world_hi"), ("a -- b", "a_b")])
+@pytest.mark.parametrize("name, slug", [("", ""), (None, ""), ("Unit Price (EUR)", "unit_price_eur"), ("3rd floor", "_3rd_floor"), ("left - - right", "left_right")])
 def test_slugify(name, slug):
     assert slugify(name) == slug
 
