@@ -150,7 +150,7 @@ def test_signed_difference_repeats_rows_in_parts(spark, monkeypatch):
 
 
 def test_a_text_too_long_for_a_cell_is_an_error_before_it_is_made(spark, monkeypatch):
-    monkeypatch.setattr(aggregates, "LONGEST_TEXT", 20)
+    monkeypatch.setattr(aggregates, "LONGEST_TEXT", 15)
     df = spark.createDataFrame([(1, "abc")] * 4 + [(2, "abc")] * 2, "g int, t string")
     with pytest.raises(Exception, match="does not fit"):
         aggregates.group_concat(df, ["g"], "t", "texts").collect()
