@@ -4,8 +4,8 @@ A text's set is the hashes of its distinct ``WORDS``-word shingles; texts with e
 only classes are compared. Two sets that link share one of the shingles that come first in a common order
 (a quarter of each set), so classes meet in the tiles of those shingles. The work takes two steps:
 
-1. Neighbours in each tile are checked, in ``CHAINS`` turns, each with one class of each component found so
-   far. In groups of near copies this connects almost all members with about as many checks as members.
+1. Neighbours in each tile are checked. In groups of near copies this connects almost all members with about as
+   many checks as members.
 2. Tiles that hold classes of different components are cut into bands of similar size, first for the nearest
    pairs of two components, then for all pairs of those components that had more than one and that the nearest
    has not joined. In each band
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text as T
@@ -41,14 +41,18 @@ WORDS = 5
 PERCENT = 75
 #: Expected number of texts whose shingles decide which ones count as common, and most such shingles kept.
 ORDER_SAMPLE, COMMON_KEPT = 3000, 50_000
-#: Turns in which neighbours in the tiles are checked before all pairs of different components are.
-CHAINS = 1
 #: Sets of more shingles go without bitmaps in the tiles; their shared tiles are counted instead.
 LARGE = 16_000
 #: Tile groups of so many rows at most are paired all at once, larger ones one by one.
 SMALL_GROUP = 12
 #: Rows of a block: larger groups of a tile are cut into blocks, and pairs of blocks are spread over tasks.
 DEAL = 4096
+#: Pairs of a tile that are looked at together: so many rows by so many partners.
+ROWS_AT_ONCE, PARTNERS_AT_ONCE = 64, 2048
+#: Rows of tiles that a task holds at a time (whole groups), and pairs that it keeps before it hands them on.
+ROWS_HELD, PAIRS_HELD = 1 << 15, 1 << 19
+#: Parts that the rows of a common tile, or of one component, are dealt to.
+PARTS = 64
 #: Bits of the set of classes whose shingles are read for exact checks; a fuller set reads more of them.
 SET_BITS = 23
 
@@ -154,7 +158,10 @@ def _shares(n: np.ndarray) -> np.ndarray:
 
 
 def _leading(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """Tile, class and size: for every class the shingles that come first in the common order."""
+    """Tile, class and size: for every class the shingles that come first in the common order.
+
+    ``part`` deals the rows of a common tile to ``PARTS`` parts by their class; it is 0 for other tiles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # classes of this task; a copy adds nothing to the tiles
@@ -175,34 +182,37 @@ def _leading(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
                 gram, text = gram[order], text[order]
                 place = np.arange(len(text)) - np.searchsorted(text, text)
                 lead = place < (n - -(-percent * n // 100) + _shares(n))[text]
+                part = np.where(late[order][lead], T.mix(key[text[lead]]) % np.uint64(PARTS), np.uint64(0))
                 gram, text = gram[lead], text[lead]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram.view(np.int64)), pa.array(key[text].view(np.int64)), pa.array(n[text], pa.int32())],
-                    names=["tile", "class", "n"])
+                    [pa.array(gram.view(np.int64)), pa.array(key[text].view(np.int64)), pa.array(n[text], pa.int32()),
+                     pa.array(part.astype(np.int32)), pa.array(late[order][lead])],
+                    names=["tile", "class", "n", "part", "common"])
 
-    return texts.mapInArrow(run, "tile long, class long, n int")
+    return texts.mapInArrow(run, "tile long, class long, n int, part int, common boolean")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Rows of tiles with two classes or more, each once."""
+    """Rows of tiles with two classes or more, each once. Of common tiles, whose rows are in several tasks, all stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
         if not parts:
             return
-        tile, key, n = (np.concatenate(x) for x in zip(*parts))
+        tile, key, n, common = (np.concatenate(x) for x in zip(*parts))
         del parts
         order = np.lexsort((key, tile))
-        tile, key, n = tile[order], key[order], n[order]
+        tile, key, n, common = tile[order], key[order], n[order], common[order]
         new = np.ones(len(tile), dtype=bool)
         new[1:] = (tile[1:] != tile[:-1]) | (key[1:] != key[:-1])
-        tile, key, n = tile[new], key[new], n[new]
+        tile, key, n, common = tile[new], key[new], n[new], common[new]
         both = np.zeros(len(tile) + 1, dtype=bool)
         both[1:-1] = tile[1:] == tile[:-1]
-        keep = both[1:] | both[:-1]
+        keep = both[1:] | both[:-1] | common
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (tile, key, n)], names=["tile", "class", "n"])
 
-    return rows.repartition("tile").mapInArrow(run, "tile long, class long, n int")
+    rows = rows.repartition("tile", "part").select("tile", "class", "n", "common")
+    return rows.mapInArrow(run, "tile long, class long, n int")
 
 
 def _fold(bits: np.ndarray, width: int) -> np.ndarray:
@@ -333,6 +343,28 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return whole.join(total, by, "left_anti").select(*whole.columns).unionByName(placed)
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], n_rows: int) -> Iterator[pa.Table]:
+    """The rows of sorted batches in tables of about ``n_rows`` rows, each of whole groups."""
+    parts: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        parts.append(batch)
+        held += batch.num_rows
+        if held < n_rows:
+            continue
+        whole = pa.Table.from_batches(parts)
+        differs = np.zeros(whole.num_rows - 1, dtype=bool)
+        for column in by:
+            differs |= np.diff(whole[column].to_numpy()) != 0
+        edges = np.flatnonzero(differs)
+        cut = int(edges[-1]) + 1 if len(edges) else 0
+        if cut:
+            yield whole.slice(0, cut)
+        parts, held = whole.slice(cut).to_batches(), whole.num_rows - cut
+    if held:
+        yield pa.Table.from_batches(parts)
+
+
 def _banded(rows: DataFrame, bits: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs of classes of different components that may link: rows have tile, members, class, n and root, bits class and bits.
 
@@ -354,10 +386,10 @@ def _banded(rows: DataFrame, bits: DataFrame, percent: int, nearest: bool) -> Da
     rows = rows.join(bits, "class").select("tile", "band", "own", "class", "n", "root", "bits", "pair", "side", "same")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if not parts:
-            return
-        whole = pa.Table.from_batches(parts)
+        for whole in _whole_groups(batches, ["tile", "band", "pair"], ROWS_HELD):
+            yield from some_groups(whole)
+
+    def some_groups(whole: pa.Table) -> Iterator[pa.RecordBatch]:
         tile, band, own, key, n, root = (whole.column(i).to_numpy() for i in range(6))
         n = n.astype(np.int64)
         bits = whole.column(6).combine_chunks()
@@ -411,6 +443,21 @@ def _banded(rows: DataFrame, bits: DataFrame, percent: int, nearest: bool) -> Da
                 pair, where = np.unique(x * len(classes) + y, return_inverse=True)
                 found[:] = [(pair // len(classes), pair % len(classes), np.bincount(where, weights=times).astype(np.int64))]
 
+        def held() -> int:
+            return sum(len(x) for x, _, _ in found)
+
+        def out() -> pa.RecordBatch:
+            x, y, times = found[0]
+            found.clear()
+            if nearest:
+                pairs_of = np.stack([np.minimum(group_of[x], group_of[y]), np.maximum(group_of[x], group_of[y])], axis=1)
+                _, one_of, which, pairs = np.unique(pairs_of, axis=0, return_index=True, return_inverse=True, return_counts=True)
+                times = np.bincount(which.ravel(), weights=times).astype(np.int64) + pairs - 1
+                x, y = x[one_of], y[one_of]
+            a, b = classes[x], classes[y]
+            least = np.zeros(len(x), dtype=np.int64) if nearest else np.minimum(_shares(n[one][x]), _shares(n[one][y]))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(times), pa.array(least)], names=["a", "b", "times", "least"])
+
         order = np.lexsort((root, deal, band, tile))
         edge = np.concatenate([[0], np.flatnonzero((np.diff(tile[order]) != 0) | (np.diff(band[order]) != 0) | (np.diff(deal[order]) != 0)) + 1, [len(order)]])
         count = np.diff(edge)
@@ -419,45 +466,37 @@ def _banded(rows: DataFrame, bits: DataFrame, percent: int, nearest: bool) -> Da
         for step in range(1, SMALL_GROUP):
             same = np.flatnonzero(group[small[:-step]] == group[small[step:]])
             add(order[small[same]], order[small[same + step]])
-        counted()
         for g in np.flatnonzero(count > SMALL_GROUP):
             rows = order[edge[g] : edge[g + 1]]
             if (root[rows] == root[rows[0]]).all():
                 continue
             # Rows are in order of their component: partners of one come before its first row.
             first = np.searchsorted(root[rows], root[rows])
-            for low in range(0, len(rows), 128):
-                block, before = rows[low : low + 128], first[low : low + 128]
-                for start in range(0, before[-1], DEAL):
-                    end = min(start + DEAL, int(before[-1]))
+            for low in range(0, len(rows), ROWS_AT_ONCE):
+                block, before = rows[low : low + ROWS_AT_ONCE], first[low : low + ROWS_AT_ONCE]
+                for start in range(0, before[-1], PARTNERS_AT_ONCE):
+                    end = min(start + PARTNERS_AT_ONCE, int(before[-1]))
                     other = rows[start:end]
                     i, j = np.nonzero((np.arange(start, end)[None, :] < before[:, None])
                                       & (100 * n[other][None, :] >= percent * n[block][:, None]) & (100 * n[block][:, None] >= percent * n[other][None, :]))
                     add(block[i], other[j])
-            if len(found) > 500:
-                counted()
+                    if held() > PAIRS_HELD or len(found) > 500:
+                        counted()
+                        if held() > PAIRS_HELD // 2:
+                            yield out()
         counted()
         if found:
-            x, y, times = found[0]
-            if nearest:
-                pairs_of = np.stack([np.minimum(group_of[x], group_of[y]), np.maximum(group_of[x], group_of[y])], axis=1)
-                _, one_of, which, pairs = np.unique(pairs_of, axis=0, return_index=True, return_inverse=True, return_counts=True)
-                times = np.bincount(which.ravel(), weights=times).astype(np.int64) + pairs - 1
-                x, y = x[one_of], y[one_of]
-            a, b = classes[x], classes[y]
-            least = np.zeros(len(x), dtype=np.int64) if nearest else np.minimum(_shares(n[one][x]), _shares(n[one][y]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(times), pa.array(least)], names=["a", "b", "times", "least"])
+            yield out()
 
     # ``times`` counts the shared tiles of a pair or, of a nearest one, the other pairs of its components.
-    pairs = rows.repartition("tile", "band", "pair").mapInArrow(run, "a long, b long, times long, least long")
+    rows = rows.repartition("tile", "band", "pair").sortWithinPartitions("tile", "band", "pair")
+    pairs = rows.mapInArrow(run, "a long, b long, times long, least long")
     pairs = pairs.groupBy("a", "b").agg(F.sum("times").alias("times"), F.first("least").alias("least"))
     return pairs.filter("times >= least").select("a", "b", (F.col("times") > 0).alias("more"))
 
 
-def _rooted(tiles: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _rooted(tiles: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows of the tiles with the component that each class is known to be in so far."""
-    if roots is None:
-        return tiles.withColumn("root", F.col("class"))
     return tiles.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
@@ -479,17 +518,39 @@ def _open(rows: DataFrame, near: DataFrame, roots: DataFrame, percent: int) -> D
         ends = ends.withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
     apart = ends.filter("of_a <> of_b").select(F.explode(F.array("of_a", "of_b")).alias("root")).distinct()
     large = F.col("n").cast("long") * 100 >= percent * LARGE
-    return rows.filter(large).unionByName(rows.filter(~large).join(apart, "root", "left_semi"))
+    apart = apart.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    others = rows.filter(~large).withColumn("part", F.pmod(F.xxhash64("class"), F.lit(PARTS)).cast("int"))
+    return rows.filter(large).unionByName(others.join(apart, ["root", "part"], "left_semi").drop("part"))
+
 
+def _chained(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of neighbours in each tile in order of size and class.
 
-def _chained(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of neighbours in each tile: one class of each component, in order of size and then, by turns, of a hash."""
-    one = rows.groupBy("tile", "root").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), "n", "class")).alias("x"))
-    order = ["x.n", "x.class"] if turn % 2 == 0 else ["x.h", "x.class"]
-    by = Window.partitionBy("tile").orderBy(*order)
-    near = one.select("tile", F.col("x.n").alias("n"), F.col("x.class").alias("class"), F.lag("x.n").over(by).alias("m"), F.lag("x.class").over(by).alias("b"))
-    near = near.filter((F.least("m", "n") * 100 >= F.greatest("m", "n") * percent))
-    return near.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b"))
+    Rows are dealt by range, so that a common tile is cut into several tasks; neighbours of two tasks make no pair.
+    """
+    order = ["tile", "n", "class"]
+    rows = rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = [np.zeros(0, dtype=np.int64)] * 3
+        for batch in batches:
+            tile, n, key = last = [np.concatenate([x[-1:], c.to_numpy().astype(np.int64)]) for x, c in zip(last, batch.columns)]
+            near = np.flatnonzero((tile[1:] == tile[:-1]) & (100 * n[:-1] >= percent * n[1:]) & (key[1:] != key[:-1]))
+            x, y = key[near], key[near + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _least_of_root(rows: DataFrame) -> DataFrame:
+    """``rows`` (class, root, least) with ``component_id``, the smallest ``least`` of the root.
+
+    A root may have most of the rows, so they meet in ``PARTS`` parts of it.
+    """
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("class"), F.lit(PARTS)).cast("int"))
+    parts = rows.groupBy("root", "part").agg(F.min("least").alias("least"))
+    whole = parts.groupBy("root").agg(F.min("least").alias("component_id"), F.collect_list("part").alias("parts"))
+    return rows.join(whole.select("root", "component_id", F.explode("parts").alias("part")), ["root", "part"]).drop("part")
 
 
 def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -510,13 +571,8 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     bits = classes.select(F.col("_class").alias("class"), F.col("_n").alias("n"), F.col("_bits").alias("bits"))
     reps = classes.filter("_n > 0").select(F.col("_class").alias("class"), F.col("_hash").alias("hash"))
-    roots = None
-    for turn in range(CHAINS):
-        near = _bounded(_chained(_rooted(tiles, roots), turn, percent).distinct(), bits, percent)
-        links = _verified(write_once(near).rows, texts, reps, percent)
-        if roots is not None:  # of the links before, only the spanning ones are needed
-            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = write_once(components(links)).rows
+    near = _bounded(_chained(tiles, percent).distinct(), bits, percent)
+    roots = write_once(components(_verified(write_once(near).rows, texts, reps, percent))).rows
 
     # Components that are left meet at their nearest pairs first, then at all.
     inside = bits.select("class", F.when(F.col("n") <= LARGE, F.col("bits")).alias("bits"))
@@ -528,7 +584,10 @@ def join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = _verified(write_once(_banded(rows, inside, percent, nearest=False)).rows, texts, reps, percent)
     tiled.delete()
     every = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
-    whole = classes.select("_class", "_least").join(every.select(F.col("node").alias("_class"), "root"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
-    named = whole.join(whole.groupBy("root").agg(F.min("_least").alias("component_id")), "root").select("_class", F.col("root").alias("component"), "component_id")
-    out = placed.join(named, "_class").select(*others, F.col("_n").alias("n_shingles"), "component_id", "component")
+    linked = classes.select(F.col("_class").alias("class"), F.col("_least").alias("least")).join(every.select(F.col("node").alias("class"), "root"), "class")
+    named = write_once(_least_of_root(linked)).rows.select(F.col("class").alias("_class"), F.col("root").alias("_root"), "component_id")
+    # Classes without a link are components of their own.
+    single = classes.select("_class", "_least").join(named, "_class", "left")
+    single = single.select("_class", F.coalesce("_root", "_class").alias("component"), F.when(F.col("_root").isNull(), F.col("_least")).otherwise(F.col("component_id")).alias("component_id"))
+    out = placed.join(single, "_class").select(*others, F.col("_n").alias("n_shingles"), "component_id", "component")
     return restore(out, "n_shingles", "component_id", "component")

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,7 +94,6 @@ def test_ngram_join_matches_all_pairs(spark):
 
 def test_ngram_join_counts_shared_tiles_of_large_sets(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LARGE", 50)
-    monkeypatch.setattr(ngram_join, "CHAINS", 1)
     test_ngram_join_matches_all_pairs(spark)
 
 
@@ -132,6 +132,29 @@ def test_components_with_several_near_pairs_are_joined(spark):
     assert found == {i: (sizes[i], roots[i]) for i in range(len(texts))}
 
 
+def test_ngram_join_holds_few_rows_and_pairs(spark, monkeypatch):
+    """Groups of a tile that come one after the other, pairs handed on early, rows and partners in small pieces."""
+    for name, value in (("ROWS_HELD", 8), ("PAIRS_HELD", 4), ("ROWS_AT_ONCE", 3), ("PARTNERS_AT_ONCE", 4), ("SMALL_GROUP", 2)):
+        monkeypatch.setattr(ngram_join, name, value)
+    test_ngram_join_matches_all_pairs(spark)
+
+
+def test_whole_groups_stay_whole():
+    keys = [1, 1, 2, 2, 2, 2, 2, 3, 4, 4]
+    batches = [pa.RecordBatch.from_pydict({"k": keys[i : i + 2], "x": list(range(i, i + 2))}) for i in range(0, 10, 2)]
+    found = [t.to_pydict() for t in ngram_join._whole_groups(iter(batches), ["k"], 3)]
+    assert [x for t in found for x in t["x"]] == list(range(10))
+    assert sum(len(set(t["k"])) for t in found) == 4 and len(found) > 2
+    assert not list(ngram_join._whole_groups(iter([]), ["k"], 3))
+
+
+def test_smallest_number_of_a_large_root(spark):
+    rows = spark.createDataFrame([(k, 1 if k < 900 else k // 2, 10_000 - k) for k in range(1000)], "class long, root long, least long")
+    rows = rows.unionByName(spark.createDataFrame([(5000, 7000, None)], rows.schema))
+    found = {r["class"]: r.component_id for r in ngram_join._least_of_root(rows).collect()}
+    assert found == {**{k: 9101 if k < 900 else 10_000 - (k | 1) for k in range(1000)}, 5000: None}
+
+
 def test_ngram_join_edges(spark, edge, empty):
     found = ngram_join.join(edge).collect()
     assert len(found) == len(EDGE) and ngram_join.join(empty).count() == 0
