@@ -1,13 +1,16 @@
 """Quality rules by line labelling: a linear-chain conditional random field marks content and boilerplate.
 
-Every line of a text gets a feature vector (``line_features``). ``fit`` learns emission and transition
-weights on a bounded sample of labelled documents, each line taking the label of its document.
+Every line of a text gets a feature vector (``analyse``). ``fit`` learns emission and transition weights on all
+lines of a bounded sample of labelled documents. Labels of lines come from below the documents' labels:
+weights of single lines are learnt first, then each line takes the label that they prefer, as long as most
+characters of a document keep its label (``line_labels``); the chain is learnt from those sequences.
 ``label_documents`` decodes the best label sequence of every whole text (Viterbi) and decides by the share
 of word characters that lie in content lines.
 
 Cases: a null or empty text has no words, fails the base rule and is not kept. Repeated rows are labelled
 one by one and alike. Lines without a word take part in no count and are skipped by the decoder. Without labelled
-documents of both classes the model marks every line as content, so that only the base rule decides.
+documents of both classes the model marks every line as content, so that only the base rule decides. Of several
+labels of one id the smallest counts, of several texts one. Ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -23,9 +26,10 @@ from pyspark.sql import functions as F
 from millrace.llm import text as T
 from millrace.llm.columns import shield
 
-#: Sample that the model is fitted on: so many documents, and so many lines of each.
+#: Sample that the model is fitted on: all lines of so many documents.
 FIT_DOCUMENTS = 2000
-FIT_LINES = 48
+#: Longer sequences are learnt in pieces of so many lines.
+PIECE = 64
 #: A document is kept if at least this share of its word characters lies in content lines.
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
@@ -169,35 +173,59 @@ def _content_share(c: Counts, model: Model) -> np.ndarray:
     return content / np.maximum(total, 1)
 
 
-def train(lines: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.15, l2: float = 1e-3) -> Model:
-    """Weights that make the label sequences of the sample likely (gradient ascent on the log-likelihood).
+def line_labels(lines: list[np.ndarray], chars: list[np.ndarray], labels: np.ndarray, emission: np.ndarray) -> list[np.ndarray]:
+    """The label of each line that ``emission`` prefers; lines that agree best keep the label of their document,
+    until they hold more than half of its characters."""
+    out = []
+    for x, size, label in zip(lines, chars, labels):
+        agrees = (x @ (emission[1] - emission[0])) * (1 if label else -1)
+        order = np.argsort(-agrees, kind="stable")
+        before = np.cumsum(size[order]) - size[order]
+        keeps = agrees >= 0
+        keeps[order[2 * before <= size.sum()]] = True
+        out.append(np.where(keeps, label, 1 - label).astype(np.int64))
+    return out
 
-    ``lines`` holds the features of each document's lines; every line of document i is labelled ``labels[i]``.
-    """
+
+def train(lines: list[np.ndarray], chars: list[np.ndarray], labels: np.ndarray) -> Model:
+    """Weights from the features and characters of each document's lines and the documents' labels."""
     keep = [i for i, x in enumerate(lines) if len(x)]
     if not keep or len(set(labels[keep].tolist())) < 2:
         return Model(np.zeros((2, _N)), np.zeros((2, 2)))
-    order = sorted(keep, key=lambda i: -len(lines[i]))
+    lines, chars, labels = [lines[i] for i in keep], [chars[i] for i in keep], labels[keep].astype(np.int64)
+    # Both classes count alike, and so do long and short documents.
+    share = np.bincount(labels, minlength=2)
+    weights = [0.5 / share[label] / len(x) for x, label in zip(lines, labels)]
+    whole = np.concatenate(lines)
+    alone = likely(
+        [whole[i : i + 1] for i in range(len(whole))], list(np.repeat(labels, [len(x) for x in lines])[:, None]),
+        np.repeat(weights, [len(x) for x in lines]))
+    marked = line_labels(lines, chars, labels, alone.emission)
+    cut = [(d, k) for d, x in enumerate(lines) for k in range(0, len(x), PIECE)]
+    return likely([lines[d][k : k + PIECE] for d, k in cut], [marked[d][k : k + PIECE] for d, k in cut], np.array([weights[d] for d, _ in cut]))
+
+
+def likely(lines: list[np.ndarray], marked: list[np.ndarray], weight: np.ndarray, rounds: int = 150, rate: float = 0.15, l2: float = 1e-3) -> Model:
+    """Weights that make label sequences likely (gradient ascent on the log-likelihood).
+
+    ``lines`` holds the features of the lines of each sequence, ``marked`` their labels, ``weight`` what a line counts.
+    """
+    order = sorted(range(len(lines)), key=lambda i: -len(lines[i]))
     n, longest = len(order), len(lines[order[0]])
     x = np.zeros((n, longest, _N))
     mask = np.zeros((n, longest), dtype=bool)
     for row, i in enumerate(order):
         x[row, : len(lines[i])] = lines[i]
         mask[row, : len(lines[i])] = True
-    y = labels[order].astype(np.int64)
-    length = mask.sum(axis=1)
-    # Both classes count alike, and so do long and short documents.
-    share = np.bincount(y, minlength=2)
-    weight = (0.5 / share[y]) / length
+    y = np.zeros((n, longest), dtype=np.int64)
+    for row, i in enumerate(order):
+        y[row, : len(marked[i])] = marked[i]
+    length, weight = mask.sum(axis=1), np.asarray(weight)[order]
     active = [int((length > t).sum()) for t in range(longest)]
     emission, transition = np.zeros((2, _N)), np.zeros((2, 2))
     m1, m2 = np.zeros(2 * _N + 4), np.zeros(2 * _N + 4)
-    gold = np.zeros((n, longest, 2))
-    gold[np.arange(n), :, y] = 1.0
-    gold *= mask[:, :, None]
-    gold_pairs = np.zeros((2, 2))
-    for label in (0, 1):
-        gold_pairs[label, label] = (weight * np.maximum(length - 1, 0))[y == label].sum()
+    gold = np.stack([y == 0, y == 1], axis=2) * mask[:, :, None].astype(np.float64)
+    gold_pairs = np.einsum("nta,ntb,n->ab", gold[:, :-1], gold[:, 1:], weight)
     for step in range(1, rounds + 1):
         scores = x @ emission.T
         forward, backward = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
@@ -227,10 +255,10 @@ def train(lines: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate:
     return Model(emission, transition)
 
 
-def fit(documents: DataFrame, labels: DataFrame, n_documents: int = FIT_DOCUMENTS, n_lines: int = FIT_LINES) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, n_documents: int = FIT_DOCUMENTS) -> Model:
     """Fit on the ``n_documents`` labelled documents that come first by a hash of their id.
 
-    The driver gets at most ``n_documents * n_lines`` feature vectors, whatever the size of the tables.
+    The driver gets the feature vectors of the lines of so many documents, whatever the size of the tables.
     """
     # One label per document: the smallest, if rows repeat.
     marked = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality")).filter("_id is not null and _quality is not null")
@@ -242,17 +270,19 @@ def fit(documents: DataFrame, labels: DataFrame, n_documents: int = FIT_DOCUMENT
         for batch in batches:
             for low, high, data, offsets in T.chunks(batch.column(1)):
                 c = analyse(data, offsets)
-                kept = [c.features[c.lines.first[i] : min(c.lines.first[i + 1], c.lines.first[i] + n_lines)] for i in range(high - low)]
+                every = np.column_stack([c.features, c.line_chars]).astype("<f4")
+                kept = [every[c.lines.first[i] : c.lines.first[i + 1]].tobytes() for i in range(high - low)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), pa.array([x.astype("<f4").tobytes() for x in kept], pa.binary())],
+                    [batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), pa.array(kept, pa.binary())],
                     names=["id", "quality", "lines"],
                 )
 
-    found = rows.select("_id", "_text", F.col("_quality").cast("int")).mapInArrow(sample, "id long, quality int, lines binary")
+    id_type = rows.schema["_id"].dataType.simpleString()
+    found = rows.select("_id", "_text", F.col("_quality").cast("int")).mapInArrow(sample, f"id {id_type}, quality int, lines binary")
     # Copies of one id are as many rows as the table holds; one of them is enough.
     found = found.groupBy("id").agg(F.min(F.struct("quality", "lines")).alias("x")).orderBy("id").collect()
-    features = [np.frombuffer(bytes(r.x.lines), dtype="<f4").reshape(-1, _N).astype(np.float64) for r in found]
-    return train(features, np.array([int(r.x.quality > 0) for r in found], dtype=np.int64))
+    features = [np.frombuffer(bytes(r.x.lines), dtype="<f4").reshape(-1, _N + 1).astype(np.float64) for r in found]
+    return train([x[:, :_N] for x in features], [x[:, _N] for x in features], np.array([int(r.x.quality > 0) for r in found], dtype=np.int64))
 
 
 def label_documents(documents: DataFrame, model: Model, min_words: int = MIN_WORDS, content_share: float = CONTENT_SHARE) -> DataFrame:

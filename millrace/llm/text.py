@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +39,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=4)
+_LETTERS: dict[bool, np.ndarray] = {}
+
+
 def _letters(fold: bool) -> np.ndarray:
-    table = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-    if fold:
-        table[0x41:0x5B] = table[0x61:0x7B]
-    return table
+    if fold not in _LETTERS:
+        table = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+        if fold:
+            table[0x41:0x5B] = table[0x61:0x7B]
+        _LETTERS[fold] = table
+    return _LETTERS[fold]
 
 
 _POWERS: dict[str, np.ndarray] = {}
