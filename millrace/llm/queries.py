@@ -126,7 +126,7 @@ def linked_calls(spark: SparkSession, folder: str) -> DataFrame:
               ("configure", "text", "string", True), ("configure", "turn", "integer", True), ("configure", "chars", "integer", False)]
     schemas = spark.createDataFrame(fields, "name string, field string, type string, required boolean")
     found = tool_calls.link(calls, results, schemas)
-    return found.select("conv_id", "call_id", "name", "level", "n_rows", "n_results", "dangling", F.array_join("problems", ",").alias("problems"), "valid", "json")
+    return found.select("conv_id", "call_id", "name", "level", "n_rows", "n_results", "n_outputs", "dangling", F.array_join("problems", ",").alias("problems"), "valid", "json")
 
 
 def quality_scores(spark: SparkSession, folder: str) -> DataFrame:

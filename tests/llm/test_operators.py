@@ -5,17 +5,24 @@ import datetime
 import hashlib
 import itertools
 import json
+import os
+import pathlib
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import decontamination, graph, html, mixing, neighbours, ngram_join, pii, quality_lines, repeats, text, tool_calls, url_lists
 
+ROOT = pathlib.Path(__file__).resolve().parents[2]
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE = [None, "", " \n\t ", "one", "a " * 5000, "x" * 20000, "é ü\n" * 300, "same text here\n" * 30, "same text here\n" * 30]
 
@@ -236,6 +243,56 @@ def test_quality_model_learns_junk(spark):
     assert all((r.score >= 0.3) == (r.doc_id < 40) for r in scored)
 
 
+def mixed_texts():
+    """Clean documents with some junk lines, and junk with some clean lines."""
+    junk = lambda k: " ".join(w + "###" for w in prose(k, 12).split())
+    clean = lambda k: prose(k, 12) + "."
+    good = ["\n".join(junk(9000 + 10 * k + i) if i in (2, 3) else clean(10 * k + i) for i in range(8)) for k in range(40)]
+    bad = ["\n".join(clean(5000 + 10 * k + i) if i in (5, 6) else junk(7000 + 10 * k + i) for i in range(8)) for k in range(40)]
+    return good, bad
+
+
+def test_mixed_documents_get_a_share_between_none_and_all(spark):
+    good, bad = mixed_texts()
+    rows = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(good + bad)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", int(i < 40)) for i in range(80)], "doc_id string, quality int")
+    model = quality_lines.fit(rows, labels)
+    found = {int(r.doc_id[1:]): r.quality_lines for r in quality_lines.label_documents(rows, model).collect()}
+    assert all(0.6 < found[i].content_share < 1 and found[i].kept for i in range(40))
+    assert all(0 < found[i].content_share < 0.4 and not found[i].kept for i in range(40, 80))
+
+
+def test_labels_of_lines():
+    """The lines that agree least change their label, unless others hold half of the characters or less."""
+    emission = np.array([[0.0], [1.0]])
+    lines = [np.array([[2.0], [-1.0], [3.0]]), np.array([[2.0], [-1.0], [3.0]]), np.array([[-1.0], [-2.0]])]
+    chars = [np.array([10.0, 5.0, 10.0])] * 2 + [np.array([10.0, 10.0])]
+    found = quality_lines.line_labels(lines, chars, np.array([1, 0, 1]), emission)
+    assert [x.tolist() for x in found] == [[1, 0, 1], [0, 0, 1], [1, 1]]
+
+
+def test_lines_after_the_first_pieces_are_learnt(spark, monkeypatch):
+    """Junk that stands only late in long texts; pieces of the sequences are short."""
+    monkeypatch.setattr(quality_lines, "PIECE", 4)
+    clean = [prose(k, 10) + "." for k in range(3000)]
+    junk = [" ".join(w + "$$$" for w in prose(k, 40).split()) for k in range(400)]
+    good = ["\n".join(clean[60 * k : 60 * k + 60]) for k in range(20)]
+    bad = ["\n".join(clean[1200 + 50 * k : 1250 + 50 * k] + junk[20 * k : 20 * k + 20]) for k in range(20)]
+    rows = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    model = quality_lines.fit(rows, spark.createDataFrame([(i, int(i < 20)) for i in range(40)], "doc_id long, quality int"))
+    found = {r.doc_id: r.quality_lines for r in quality_lines.label_documents(rows, model).collect()}
+    assert all(found[i].content_share > 0.9 for i in range(20)) and all(0.1 < found[i].content_share < 0.5 for i in range(20, 40))
+
+
+@pytest.mark.parametrize("run", [quality_lines.analyse, neighbours.terms, ngram_join._sets, text.hashes], ids=lambda f: f.__qualname__)
+def test_functions_are_loaded_without_the_library(run, tmp_path):
+    """What travels to executors can be read by a process that doesn't find the library."""
+    (tmp_path / "run").write_bytes(cloudpickle.dumps(run))
+    code = f"import pickle, sys; sys.path[:] = [p for p in sys.path if p != {str(ROOT)!r}]; f = pickle.load(open('run', 'rb')); assert callable(f) and 'millrace' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=60)
+
+
 def test_neighbour_edges(spark, edge, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = neighbours.fit(edge, labels)
@@ -383,6 +440,14 @@ def test_tool_calls(spark):
     assert found["1"].json.startswith('{"arguments":{"a":"x","b":1},"id"')
     assert {k: found[k].problems for k in "23456"} == {"2": ["type:a"], "3": ["no_schema"], "4": ["not_an_object"], "5": ["not_an_object"], "6": ["unknown:z"]}
     assert found["5"].dangling and not found["2"].dangling
+    # Results without a call, and results that differ.
+    assert found["9"].problems == ["no_call"] and (found["9"].n_rows, found["9"].n_results, found["9"].output, found["9"].json) == (0, 1, "lost", None)
+    assert not found["9"].valid and not found["9"].dangling and found["9"].level is None and found["2"].n_outputs == 0
+    several = spark.createDataFrame([("2", "b", 1), ("2", "a", 2), ("2", "b", 3), ("2", None, 4)], "call_id string, output string, level int")
+    by = {r.call_id: r for r in tool_calls.link(calls.withColumn("json", F.lit(1)), several, schemas).collect()}
+    assert (by["2"].output, by["2"].n_results, by["2"].n_outputs, by["2"].level) == ("a", 4, 3, 1) and by["1"].n_results == 0 and "9" not in by
+    assert [(r.call_id, r.problems) for r in tool_calls.link(calls.limit(0), several, schemas).collect()] == [("2", ["no_call"])]
+    results = results.limit(0)
     assert tool_calls.link(calls.limit(0), results, schemas).count() == 0
 
 
