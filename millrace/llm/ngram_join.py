@@ -94,9 +94,10 @@ def _classes(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _bitmap(one: np.ndarray) -> bytes:
     """Every shingle flips one bit; there are more bits than shingles (a power of two, 64 at least).
 
-    Small sets get the most: with few bits those that just miss a link would all pass.
+    Small sets get the most: with few bits those that just miss a link would all pass. With three bits a shingle,
+    sets that share seven tenths still show more differing bits than a link allows.
     """
-    bits = 1 << max(6, (6 * len(one) if len(one) <= 340 else 13 * len(one) // 10).bit_length())
+    bits = 1 << max(6, (3 * len(one) if len(one) <= 340 else 13 * len(one) // 10).bit_length())
     return np.packbits((np.bincount((one & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
 
 
