@@ -254,3 +254,33 @@ def unlabelled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["anti_join_missing_children"] = (unlabelled_documents, """
     SELECT doc_id AS film_id, concat_ws(' ', source, lang, doc_id) AS title FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+
+MOMENT = "1997-06-15 11:30:00"
+
+
+def balance_at_an_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """Balances in the middle of a day, of rentals and payments that have hours; a part of a day too long costs nothing."""
+    t = rental_tables(spark, folder)
+    hours = lambda column, key, factor: F.timestamp_add("HOUR", F.pmod(F.col(key) * factor, F.lit(24)), F.col(column))
+    timed = {
+        "rental": t["rental"].withColumns({"rental_date": hours("rental_date", "rental_id", 1), "return_date": hours("return_date", "rental_id", 5)}),
+        "payment": t["payment"].withColumn("payment_date", hours("payment_date", "payment_id", 11)),
+    }
+    return rental.customer_balance(Tables({name: (lambda name=name: timed.get(name, t[name])) for name in t}), MOMENT, charge_replacement=True)
+
+
+QUERIES["customer_balance_at_an_hour"] = (balance_at_an_hour, RENTAL_SQL + f""",
+    timed AS (
+      SELECT customer_id, inventory_id, rental_date + to_hours(CAST(rental_id % 24 AS INTEGER)) AS since,
+             return_date + to_hours(CAST(rental_id * 5 % 24 AS INTEGER)) AS until FROM rental),
+    terms AS (
+      SELECT t.customer_id, f.rental_rate, f.rental_duration, CAST(floor((epoch(t.until) - epoch(t.since)) / 86400 - f.rental_duration) AS BIGINT) AS late
+      FROM timed t JOIN inventory i USING (inventory_id) JOIN film f USING (film_id) WHERE t.since <= TIMESTAMP '{MOMENT}'),
+    fees AS (
+      SELECT customer_id, sum(rental_rate + greatest(0, coalesce(late, 0)) + CASE WHEN late > 2 * rental_duration THEN 2 * rental_rate ELSE 0 END) AS fees
+      FROM terms GROUP BY customer_id),
+    paid AS (
+      SELECT customer_id, sum(amount) AS paid FROM payment
+      WHERE payment_date + to_hours(CAST(payment_id * 11 % 24 AS INTEGER)) <= TIMESTAMP '{MOMENT}' GROUP BY customer_id)
+    SELECT c.customer_id, CAST(coalesce(fees, 0) - coalesce(paid, 0) AS DECIMAL(18,2)) AS balance
+    FROM client c LEFT JOIN fees USING (customer_id) LEFT JOIN paid USING (customer_id)""")
