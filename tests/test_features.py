@@ -1,3 +1,6 @@
+import math
+import statistics
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -17,55 +20,75 @@ def apply(df, feature, places=None):
     return got if places is None else [None if v is None else round(v, places) for v in got]
 
 
+#: Water levels of a made-up river, in centimetres against a mark, and the weather of the same days.
+LEVELS = [(i * 37) % 23 - 7 for i in range(41)]
+WEATHER = [("fog", "rain", "sun")[i % 3 if i % 4 else 1] for i in range(41)]
+
+
+def close(got, want):
+    assert [v is None for v in got] == [v is None for v in want]
+    assert all(v is None or math.isclose(v, w, rel_tol=1e-9, abs_tol=1e-9) for v, w in zip(got, want))
+
+
+def between(values, share):
+    """The percentile that lies between two neighbours of the sorted values."""
+    ordered = sorted(values)
+    place = share * (len(ordered) - 1)
+    low = int(place)
+    return ordered[low] + (place - low) * (ordered[min(low + 1, len(ordered) - 1)] - ordered[low])
+
+
 def test_bool_to_one_hot(spark):
-    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, active boolean")
-    got = ft.fit_transform(df, {"x": ft.bool_to_one_hot(["active"])}).orderBy("id")
-    assert got.columns == ["id", "active", "is_active"] and [r[2] for r in got.collect()] == [1, 0, 0]
-    ones = ft.fit_transform(df, {"x": ft.bool_to_one_hot(["active"], True, "one_")}).orderBy("id")
-    assert [r["one_active"] for r in ones.collect()] == [1, 0, 1]
+    flags = [i % 5 == 0 if i % 7 else None for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(flags)), "id int, flooded boolean")
+    got = ft.fit_transform(df, {"x": ft.bool_to_one_hot(["flooded"])}).orderBy("id")
+    assert got.columns == ["id", "flooded", "is_flooded"] and [r[2] for r in got.collect()] == [int(bool(f)) for f in flags]
+    ones = ft.fit_transform(df, {"x": ft.bool_to_one_hot(["flooded"], True, "one_")}).orderBy("id")
+    assert [r["one_flooded"] for r in ones.collect()] == [int(f is not False) for f in flags]
 
 
 def test_categorical_impute(spark):
-    df = column(spark, ["cat", "dog", "bear", None, "cat", "cat", None, "dog"], "string")
-    assert apply(df, ft.categorical_impute("input")) == ["cat", "dog", "bear", "cat", "cat", "cat", "cat", "dog"]
-    assert apply(column(spark, ["b", "a", None], "string"), ft.categorical_impute("input")) == ["b", "a", "a"]
+    gaps = [None if i % 6 == 5 else w for i, w in enumerate(WEATHER)]
+    usual = statistics.mode(sorted(g for g in gaps if g))
+    assert apply(column(spark, gaps, "string"), ft.categorical_impute("input")) == [g or usual for g in gaps]
+    assert apply(column(spark, ["sun", "fog", None], "string"), ft.categorical_impute("input")) == ["sun", "fog", "fog"]
     assert apply(column(spark, [None], "string"), ft.categorical_impute("input")) == [None]
     with pytest.raises(ValueError):
         ft.categorical_impute("input", "mean")
 
 
-def test_exponentiate(spark):
-    df = column(spark, [-2.0, -1.0, 0.0, 1.0, 2.0])
-    assert apply(df, ft.exponentiate("input"), 7) == [0.1353353, 0.3678794, 1.0, 2.7182818, 7.3890561]
-    assert apply(df, ft.exponentiate("input", 10)) == [0.01, 0.1, 1.0, 10.0, 100.0]
+@pytest.mark.parametrize("base", [None, 3, 0.5])
+def test_exponentiate(spark, base):
+    feature = ft.exponentiate("input") if base is None else ft.exponentiate("input", base)
+    close(apply(column(spark, [v / 4 for v in LEVELS]), feature), [(base or math.e) ** (v / 4) for v in LEVELS])
 
 
 def test_interact(spark):
-    rows = [(0, 2), (1, 1), (2, 2), (3, 5), (5, 1), (6, 0)]
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "id int, a int, b int")
-    assert apply(df, ft.interact("a", "b")) == [0, 1, 4, 15, 5, 0]
-    assert apply(df, ft.interact("a", "b", "additive")) == [2, 2, 4, 8, 6, 6]
-    assert apply(df, ft.interact("a", "b", "exponential")) == [0, 1, 4, 243, 5, 1]
+    pairs = [(v, w % 4) for v, w in zip(LEVELS, reversed(LEVELS))]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "id int, a int, b int")
+    assert apply(df, ft.interact("a", "b")) == [a * b for a, b in pairs]
+    assert apply(df, ft.interact("a", "b", "additive")) == [a + b for a, b in pairs]
+    assert apply(df, ft.interact("a", "b", "exponential")) == [a**b for a, b in pairs]
     with pytest.raises(ValueError):
         ft.interact("a", "b", "divisive")
 
 
-BINS = [1, 1, 1, 2, 2, 2, 2, 3, 4, 4, 5, 7, 8, 9, 9, 9, 9, 9]
-
-
 def test_k_bins(spark):
-    df = column(spark, BINS, "int")
-    quantile = [1, 1, 1, 1, 2, 2, 2, 2, 3, 3, 3, 3, 4, 4, 4, 5, 5, 5]
-    uniform = [1, 1, 1, 1, 1, 1, 1, 2, 2, 2, 3, 4, 4, 5, 5, 5, 5, 5]
-    assert apply(df, ft.k_bins_discretize("input", 5)) == quantile
-    assert apply(df, ft.k_bins_discretize("input", 5, "uniform")) == uniform
+    df = column(spark, LEVELS, "int")
+    low, high = min(LEVELS), max(LEVELS)
+    # Bins of 7, 7, 7, 7, 7 and 6 rows in the order of level and key.
+    order = sorted(range(len(LEVELS)), key=lambda i: (LEVELS[i], i))
+    quantile = {i: place // 7 + 1 for place, i in enumerate(order)}
+    assert apply(df, ft.k_bins_discretize("input", 6)) == [quantile[i] for i in range(len(LEVELS))]
+    uniform = [(v - low) * 3 // (high - low) + 1 for v in LEVELS]
+    assert apply(df, ft.k_bins_discretize("input", 4, "uniform")) == uniform and set(uniform) == {1, 2, 3, 4}
     # Without a key the bins still have their sizes.
-    got = ft.fit_transform(df, {"bin": ft.k_bins_discretize("input", 5)}, keep=["input"])
+    got = ft.fit_transform(df, {"bin": ft.k_bins_discretize("input", 6)}, keep=["input"])
     sizes = {r["bin"]: r["count"] for r in got.groupBy("bin").count().collect()}
-    assert sizes == {1: 4, 2: 4, 3: 4, 4: 3, 5: 3}
+    assert sizes == {1: 7, 2: 7, 3: 7, 4: 7, 5: 7, 6: 6}
     # Nor does a key that repeats change them.
     repeated = df.withColumn("half", F.floor(F.col("id") / 2))
-    got = ft.fit_transform(repeated, {"bin": ft.k_bins_discretize("input", 5)}, ["half"])
+    got = ft.fit_transform(repeated, {"bin": ft.k_bins_discretize("input", 6)}, ["half"])
     assert {r["bin"]: r["count"] for r in got.groupBy("bin").count().collect()} == sizes
     assert got.columns == ["id", "input", "half", "bin"]
     assert apply(column(spark, [4, 4], "int"), ft.k_bins_discretize("input", 5, "uniform")) == [None, None]
@@ -77,8 +100,9 @@ def test_k_bins(spark):
 
 
 def test_label_encode(spark):
-    df = column(spark, ["cat", "bear", "dog", "frog", None, "cat"], "string")
-    assert apply(df, ft.label_encode("input")) == [1, 0, 2, 3, 4, 1]
+    gaps = [None if i % 9 == 4 else w for i, w in enumerate(WEATHER)]
+    codes = {w: i for i, w in enumerate(sorted(set(WEATHER)))}
+    assert apply(column(spark, gaps, "string"), ft.label_encode("input")) == [codes.get(g, len(codes)) for g in gaps]
 
 
 @pytest.mark.parametrize("max_bytes", [None, 0])
@@ -92,22 +116,24 @@ def test_label_encode_of_many_values(spark, monkeypatch, max_bytes):
     assert got.columns == ["id", "input", "out"]
 
 
-def test_log_transform(spark):
-    df = column(spark, [-1.0, 0.0, 1.0, 10.0, 100000.0, None])
-    assert apply(df, ft.log_transform("input"), 6) == [None, None, 0.0, 1.0, 5.0, None]
-    assert apply(df, ft.log_transform("input", base=2, offset=1), 6)[:3] == [None, 0.0, 1.0]
+@pytest.mark.parametrize("base, offset", [(10, 0), (2, 3), (math.e, 7.5)])
+def test_log_transform(spark, base, offset):
+    want = [math.log(v + offset, base) if v + offset > 0 else None for v in LEVELS]
+    close(apply(column(spark, [*map(float, LEVELS), None]), ft.log_transform("input", base=base, offset=offset)), [*want, None])
 
 
 def test_scales(spark):
-    assert apply(column(spark, [-2, 0, 2, 4, 10], "int"), ft.max_absolute_scale("input"), 6) == [-0.2, 0.0, 0.2, 0.4, 1.0]
-    df = column(spark, [-5, 0, 1, 5], "int")
-    assert apply(df, ft.min_max_scale("input"), 6) == [0.0, 0.5, 0.6, 1.0]
-    assert apply(df, ft.min_max_scale("input", -1, 1), 6) == [-1.0, 0.0, 0.2, 1.0]
-    robust = [-2, -1, 0, 1, 2, 3, 4, 4, 5, 5, 5, 6, 6, 7, 8, 9, 10, 11, 12]
-    got = apply(column(spark, robust, "int"), ft.robust_scale("input"), 6)
-    assert got == [round((x - 5) / 5, 6) for x in robust]
-    got = apply(column(spark, [1, 2, 3, 3, 3, 4, 5, 7], "int"), ft.standardize("input"), 2)
-    assert got == [-1.35, -0.81, -0.27, -0.27, -0.27, 0.27, 0.81, 1.89]
+    df = column(spark, LEVELS, "int")
+    low, high = min(LEVELS), max(LEVELS)
+    close(apply(df, ft.max_absolute_scale("input")), [v / max(map(abs, LEVELS)) for v in LEVELS])
+    close(apply(df, ft.min_max_scale("input")), [(v - low) / (high - low) for v in LEVELS])
+    close(apply(df, ft.min_max_scale("input", -3, 5)), [8 * (v - low) / (high - low) - 3 for v in LEVELS])
+    for middle in (0.5, 0.8):
+        unit = between(LEVELS, 0.5 + middle / 2) - between(LEVELS, 0.5 - middle / 2)
+        close(apply(df, ft.robust_scale("input", middle)), [(v - between(LEVELS, 0.5)) / unit for v in LEVELS])
+    mean, spread = statistics.mean(LEVELS), statistics.stdev(LEVELS)
+    close(apply(df, ft.standardize("input")), [(v - mean) / spread for v in LEVELS])
+    close(apply(df, ft.standardize("input", 100, 15)), [15 * (v - mean) / spread + 100 for v in LEVELS])
 
 
 def test_constant_or_empty_columns_scale_to_null(spark):
@@ -119,49 +145,56 @@ def test_constant_or_empty_columns_scale_to_null(spark):
 
 
 def test_numerical_binarize(spark):
-    df = column(spark, [1, 3, 4, 4, 5, 6, 7, 7, 8, 9, None], "int")
-    assert apply(df, ft.numerical_binarize("input", 5, "value")) == [0, 0, 0, 0, 1, 1, 1, 1, 1, 1, 0]
-    assert apply(df, ft.numerical_binarize("input", 0.2, direction=">")) == [0, 0, 1, 1, 1, 1, 1, 1, 1, 1, 0]
+    df = column(spark, [*LEVELS, None], "int")
+    assert apply(df, ft.numerical_binarize("input", 4, "value")) == [*(int(v >= 4) for v in LEVELS), 0]
+    border = between(LEVELS, 0.7)
+    assert apply(df, ft.numerical_binarize("input", 0.7, direction=">")) == [*(int(v > border) for v in LEVELS), 0]
+    assert apply(df, ft.numerical_binarize("input", 0.7, direction="<=")) == [*(int(v <= border) for v in LEVELS), 0]
     with pytest.raises(ValueError):
         ft.numerical_binarize("input", 0.2, direction="like")
 
 
-def test_numerical_impute(spark):
-    values = [0, 1, 2, 2, 2, None, 3, 3, 4, 4, 5, None, 6, 7, 13]
-    df = column(spark, values, "int")
-    assert apply(df, ft.numerical_impute("input"))[5] == 4.0
-    assert apply(df, ft.numerical_impute("input", "median"))[11] == 3.0
-    assert apply(df, ft.numerical_impute("input", "percentile", 1.0))[5] == 13.0
-    assert apply(df, ft.numerical_impute("input", "median", 0.9))[5] == 3.0
+@pytest.mark.parametrize("options, fill", [
+    ((), statistics.mean), (("median",), statistics.median), (("percentile", 0.9), lambda v: between(v, 0.9)),
+    (("percentile", 1.0), max), (("median", 0.9), statistics.median),
+])
+def test_numerical_impute(spark, options, fill):
+    gaps = [None if i % 8 == 3 else v for i, v in enumerate(LEVELS)]
+    want = fill([v for v in gaps if v is not None])
+    close(apply(column(spark, gaps, "int"), ft.numerical_impute("input", *options)), [want if v is None else v for v in gaps])
+
+
+def test_numerical_impute_by_an_unknown_measure():
     with pytest.raises(ValueError):
         ft.numerical_impute("input", "mode")
 
 
 def test_one_hot_encode(spark):
-    df = column(spark, ["cat", "dog", None, "dog"], "string")
-    got = ft.fit_transform(df, {"x": ft.one_hot_encode("input")}).orderBy("id")
-    assert got.columns[2:] == ["is_input__cat", "is_input__dog", "is_input__"]
-    assert [tuple(r)[2:] for r in got.collect()] == [(1, 0, 0), (0, 1, 0), (0, 0, 1), (0, 1, 0)]
-    some = ft.fit_transform(df, {"x": ft.one_hot_encode("input", source_condition="input <> 'cat'")})
-    assert some.columns[2:] == ["is_input__dog", "is_input__"]
-    given = ft.fit_transform(df, {"x": ft.one_hot_encode("input", categories=["cat", "a b"])})
-    assert given.columns[2:] == ["is_input__cat", "is_input__a_b", "is_input__"]
+    gaps = [None if i % 9 == 4 else w for i, w in enumerate(WEATHER)]
+    df = column(spark, gaps, "string", "sky")
+    got = ft.fit_transform(df, {"x": ft.one_hot_encode("sky")}).orderBy("id")
+    assert got.columns[2:] == ["is_sky__fog", "is_sky__rain", "is_sky__sun", "is_sky__"]
+    assert [tuple(r)[2:] for r in got.collect()] == [tuple(int(g == w) for w in ("fog", "rain", "sun", None)) for g in gaps]
+    some = ft.fit_transform(df, {"x": ft.one_hot_encode("sky", source_condition="sky <> 'rain'")})
+    assert some.columns[2:] == ["is_sky__fog", "is_sky__sun", "is_sky__"]
+    given = ft.fit_transform(df, {"x": ft.one_hot_encode("sky", categories=["sun", "light rain"])})
+    assert given.columns[2:] == ["is_sky__sun", "is_sky__light_rain", "is_sky__"]
     with pytest.raises(ValueError):
-        ft.fit_transform(df, {"x": ft.one_hot_encode("input", categories=["a b", "a-b"])})
+        ft.fit_transform(df, {"x": ft.one_hot_encode("sky", categories=["light rain", "light-rain"])})
 
 
-def test_poly_transform(spark):
-    df = column(spark, [0, 1, 4], "int")
-    assert apply(df, ft.poly_transform("input", 2)) == [0, 1, 16]
-    assert apply(df, ft.poly_transform("input", 0.5)) == [0, 1, 2]
+@pytest.mark.parametrize("degree", [3, 0.5, -1])
+def test_poly_transform(spark, degree):
+    values = [v + 8 for v in LEVELS]
+    close(apply(column(spark, values, "int"), ft.poly_transform("input", degree)), [v**degree for v in values])
 
 
 @pytest.mark.parametrize("on_driver", [1000, 1])
 def test_rare_category_encode(spark, monkeypatch, on_driver):
     monkeypatch.setattr(ft, "DRIVER_VALUES", on_driver)
-    values = ["cat"] + ["dog"] * 5 + ["bear"] * 4 + [None]
-    got = apply(column(spark, values, "string"), ft.rare_category_encode("input", 0.2))
-    assert got == ["Other"] + values[1:]
+    values = [*WEATHER, "hail", "hail", "snow", None]
+    got = apply(column(spark, values, "string"), ft.rare_category_encode("input", 0.05))
+    assert got == ["Other" if v in ("hail", "snow") else v for v in values]
 
 
 @pytest.mark.parametrize("observed", [True, False])

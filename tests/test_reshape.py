@@ -10,46 +10,49 @@ def rows(df):
 
 
 def test_deduplicate_limits_each_key_before_the_shuffle(spark):
-    df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
-    got = reshape.deduplicate(df, ["user_id"], [F.desc("version")])
-    assert rows(got) == [(1, "play", 2), (2, "pause", 1)]
+    readings = [(station, f"level {day * 7 % 5}", day) for station in range(6) for day in range(station + 1)]
+    df = spark.createDataFrame(readings, "station int, reading string, day int")
+    got = reshape.deduplicate(df, ["station"], [F.desc("day")])
+    assert rows(got) == [(station, f"level {station * 7 % 5}", station) for station in range(6)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_pivot(spark):
-    df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
-    got = df.groupBy("size").agg(*aggregates.pivot("color", ["red", "blue"]))
-    assert got.columns == ["size", "red", "blue"] and rows(got) == [("M", 1, 0), ("S", 1, 1)]
-    got = df.groupBy("size").agg(*aggregates.pivot("color", ["red", "blue", "blue's"], quote_identifiers=False))
-    assert got.columns == ["size", "red", "blue", "blues"] and rows(got) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
-    distinct = df.groupBy("size").agg(*aggregates.pivot("color", ["red"], agg="count", cmp="!=", distinct=True, prefix="n_"))
-    assert rows(distinct) == [("M", 1), ("S", 2)]
+    catch = [("lake", "perch"), ("lake", "perch"), ("lake", "pike"), ("river", "fisher's eel"), ("river", "pike"), ("sea", None)]
+    df = spark.createDataFrame(catch, "water string, fish string")
+    got = df.groupBy("water").agg(*aggregates.pivot("fish", ["perch", "pike"]))
+    assert got.columns == ["water", "perch", "pike"] and rows(got) == [("lake", 2, 1), ("river", 0, 1), ("sea", 0, 0)]
+    got = df.groupBy("water").agg(*aggregates.pivot("fish", ["pike", "fisher's eel"], quote_identifiers=False))
+    assert got.columns[1] == "pike" and "'" not in got.columns[2] and rows(got) == [("lake", 1, 0), ("river", 1, 1), ("sea", 0, 0)]
+    distinct = df.groupBy("water").agg(*aggregates.pivot("fish", ["pike"], agg="count", cmp="!=", distinct=True, prefix="n_"))
+    # Rows that are not pike give 1 and all others 0, also the one without a fish, so there are up to two values to count.
+    assert rows(distinct) == [("lake", 2), ("river", 2), ("sea", 1)]
     with pytest.raises(ValueError):
         aggregates.pivot("color", ["red"], cmp="~")
 
 
 def test_unpivot(spark):
-    df = spark.createDataFrame(
-        [(123, "2017-01-01", "active", "tier 1", "name 1"), (234, "2017-02-01", "active", "tier 3", "name 3")],
-        "customer_id int, created_at string, status string, segment string, name string",
-    )
-    got = reshape.unpivot(df, exclude=["CUSTOMER_ID", "created_at"], remove=["name"], field_name="prop", value_name="val")
-    assert got.columns == ["customer_id", "created_at", "prop", "val"] and got.count() == 4
-    flags = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, is_updated boolean")
-    assert [r["value"] for r in reshape.unpivot(flags, exclude=["id"]).orderBy("id").collect()] == ["true", "false", None]
+    boats = [(i, f"2023-0{i}-15", ("moored", "at sea")[i % 2], i * 2.5, f"crew {i}") for i in range(1, 8)]
+    df = spark.createDataFrame(boats, "boat int, seen_on string, state string, length double, crew string")
+    got = reshape.unpivot(df, exclude=["BOAT", "seen_on"], remove=["crew"], field_name="prop", value_name="val")
+    assert got.columns == ["boat", "seen_on", "prop", "val"]
+    assert rows(got) == sorted([(b, d, *x) for b, d, state, length, _ in boats for x in (("state", state), ("length", str(length)))], key=str)
+    flags = spark.createDataFrame([(i, (True, None, False)[i % 3]) for i in range(9)], "id int, leaking boolean")
+    assert [r["value"] for r in reshape.unpivot(flags, exclude=["id"]).orderBy("id").collect()] == ["true", None, "false"] * 3
 
 
 def test_union_relations(spark):
-    one = spark.createDataFrame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
-    two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
-    tables = {"one": one, "two": two}
+    ponds = spark.createDataFrame([(i, f"pond {i}", f"{i}.5 m") for i in range(4)], "id int, name string, depth string")
+    wells = spark.createDataFrame([(i, "stone", 10 * i) for i in range(3)], "id int, wall string, depth int")
+    tables = {"ponds": ponds, "wells": wells}
     got = reshape.union_relations(tables)
-    assert got.columns == ["_source_relation", "id", "name", "favorite_number", "favorite_color"] and got.count() == 5
-    assert ("two", 1, None, "7", "green") in rows(got)
+    assert got.columns == ["_source_relation", "id", "name", "depth", "wall"]
+    assert rows(got) == sorted(
+        [("ponds", i, f"pond {i}", f"{i}.5 m", None) for i in range(4)] + [("wells", i, None, str(10 * i), "stone") for i in range(3)], key=str)
     assert "name" not in reshape.union_relations(tables, exclude=["NAME"]).columns
     assert reshape.union_relations(tables, include=["Id"], source_column_name=None).columns == ["id"]
-    assert reshape.union_relations(tables, where="id = 1").count() == 2
+    assert reshape.union_relations(tables, where="id = 3").count() == 1
     assert dict(reshape.union_relations(tables, column_override={"ID": "bigint"}).dtypes)["id"] == "bigint"
     for bad in ({"include": ["id"], "exclude": ["id"]}, {"include": ["nothing"]}):
         with pytest.raises(ValueError):
@@ -57,10 +60,10 @@ def test_union_relations(spark):
 
 
 def test_column_values(spark):
-    df = spark.createDataFrame([(c,) for c in "abcdefggggg"], "field string")
-    assert reshape.get_column_values(df, "field", at_most=7) == ["g", "a", "b", "c", "d", "e", "f"]
-    assert reshape.get_column_values(df, "field", order_by=["value"], max_records=2) == ["a", "b"]
-    assert reshape.get_column_values(df, "field", where="field > 'f'", at_most=7) == ["g"]
+    df = spark.createDataFrame([(c,) for c in ["reed"] * 3 + ["moss", "fern", "moss", "alga"]], "field string")
+    assert reshape.get_column_values(df, "field", at_most=4) == ["reed", "moss", "alga", "fern"]
+    assert reshape.get_column_values(df, "field", order_by=["value"], max_records=2) == ["alga", "fern"]
+    assert reshape.get_column_values(df, "field", where="field > 'moss'", at_most=4) == ["reed"]
     assert reshape.get_column_values(None, "field", default=["x"]) == ["x"]
     assert reshape.get_column_values(df.where("false"), "field", default=["x"], at_most=7) == ["x"]
     with pytest.raises(ValueError):
@@ -70,11 +73,11 @@ def test_column_values(spark):
 
 
 def test_values_on_the_driver(spark):
-    df = spark.createDataFrame([(1, "a", True), (2, "b", False), (3, "c", None)], "col_1 int, col_2 string, col_3 boolean")
-    assert reshape.get_query_results_as_dict(df, max_rows=3) == {"col_1": [1, 2, 3], "col_2": ["a", "b", "c"], "col_3": [True, False, None]}
+    df = spark.createDataFrame([(10, "oak", None), (20, "elm", True), (30, "ash", False)], "height int, tree string, bare boolean").coalesce(1)
+    assert reshape.get_query_results_as_dict(df, max_rows=3) == {"height": [10, 20, 30], "tree": ["oak", "elm", "ash"], "bare": [None, True, False]}
     with pytest.raises(ValueError):
         reshape.get_query_results_as_dict(df, max_rows=2)
-    assert reshape.get_single_value(df.select("col_2")) == "a"
+    assert reshape.get_single_value(df.select("tree")) == "oak"
     assert reshape.get_single_value(df.where("false"), default=7) == 7
 
 
@@ -114,12 +117,12 @@ def test_series(spark):
     assert [r[0] for r in series.generate_series(spark, 10).orderBy(F.col("generated_number")).collect()] == list(range(1, 11))
     with pytest.raises(ValueError):
         series.generate_series(spark, 0)
-    days = series.date_spine(spark, "day", "2018-01-01", "2018-01-10")
-    assert days.columns == ["date_day"] and days.count() == 9
+    days = series.date_spine(spark, "day", "2023-12-20", "2024-03-05")
+    assert days.columns == ["date_day"] and days.count() == 76 and str(days.agg(F.max("date_day")).first()[0])[:10] == "2024-03-04"
     months = [str(r[0])[:10] for r in series.date_spine(spark, "month", "2024-01-31", "2024-05-01").orderBy("date_month").collect()]
     assert months == ["2024-01-31", "2024-02-29", "2024-03-31", "2024-04-30"]
     with pytest.raises(ValueError):
-        series.date_spine(spark, "day", "2018-01-10", "2018-01-01")
+        series.date_spine(spark, "day", "2024-03-05", "2023-12-20")
     assert [r[0] for r in series.multiply(series.generate_numbers(spark, 3), 10).orderBy("number").collect()] == [10, 20, 30]
 
 
