@@ -25,14 +25,18 @@ def get_relations_by_pattern(
     schema, table, excluded = _like(schema_pattern), _like(table_pattern), _like(exclude)
     found: dict[str, str] = {}
     catalog = spark.catalog
-    for database in sorted(d.name for d in catalog.listDatabases()):
-        for entry in catalog.listTables(database):
+    databases = sorted(d.name for d in catalog.listDatabases() if schema.fullmatch(d.name))
+    if not databases and schema.fullmatch(""):
+        databases = [catalog.currentDatabase()]
+    # The catalog compares what stands before the first wildcard, so that tables with other names aren't described.
+    start = re.match(r"[A-Za-z0-9]*", table_pattern).group()
+    for database in databases:
+        for entry in catalog.listTables(database, f"{start}*"):
             owner = "" if entry.isTemporary else database
-            if not table.fullmatch(entry.name) or (exclude and excluded.fullmatch(entry.name)):
+            if not schema.fullmatch(owner) or not table.fullmatch(entry.name) or (exclude and excluded.fullmatch(entry.name)):
                 continue
-            if schema.fullmatch(owner):
-                name = f"{owner}.{entry.name}" if owner else entry.name
-                found[name] = "view" if entry.tableType in ("VIEW", "TEMPORARY") else "table"
+            name = f"{owner}.{entry.name}" if owner else entry.name
+            found[name] = "view" if entry.tableType in ("VIEW", "TEMPORARY") else "table"
     return dict(sorted(found.items()))
 
 

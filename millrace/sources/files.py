@@ -39,7 +39,7 @@ def read_seed(
         raise ValueError(f"no such columns: {sorted(unknown)}")
     # Reading again with the final types keeps the text of overridden columns (leading zeros) intact.
     fields = [
-        T.StructField(f.name, T._parse_datatype_string(types[f.name.lower()]) if f.name.lower() in types else f.dataType)
+        T.StructField(f.name, T.DataType.fromDDL(types[f.name.lower()]) if f.name.lower() in types else f.dataType)
         for f in inferred.schema
     ]
     return read_csv(spark, path, T.StructType(fields), **options)

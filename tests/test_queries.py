@@ -32,7 +32,7 @@ HOT_QUERIES = [
     "check_mutually_exclusive_ranges", "check_ranges_few_partitions", "check_sequential_values", "check_sequential_days",
     "check_unique_combination", "check_not_constant", "feat_k_bins_quantile", "feat_label_encode", "feat_random_impute", "feature_mart",
     "feat_random_impute_draws", "feat_quantile_bins_thousand", "feat_quantile_bins_wide_integers", "feat_one_hot_positions", "multiset_difference",
-    "concat_list_view", "recased_list_view", "concat_parts", "check_evaluation", "train_forest_metrics",
+    "concat_list_view", "recased_list_view", "concat_parts", "check_evaluation", "train_forest_metrics", "check_equality_duplicates", "date_spine_months",
 ]
 
 

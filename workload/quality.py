@@ -103,6 +103,18 @@ def check_equality(spark, folder):
     return checks.equality(a, b, exclude_columns=["C_NAME"], precision=1)
 
 
+@query("""
+WITH a AS (SELECT l_suppkey, round(l_quantity, 0) AS quantity FROM lineitem WHERE l_returnflag <> 'R'),
+b AS (SELECT l_suppkey, round(l_quantity, 0) AS quantity FROM lineitem WHERE l_linestatus = 'F')
+SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def check_equality_duplicates(spark, folder):
+    """Lines of suppliers, compared with repeated rows as often as they are there."""
+    lines = load(spark, folder, "lineitem")
+    a, b = (lines.where(where).select("l_suppkey", F.col("l_quantity").alias("quantity")) for where in ("l_returnflag <> 'R'", "l_linestatus = 'F'"))
+    return checks.equality(a, b, precision=0, keep_duplicates=True)
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem WHERE NOT (l_extendedprice / l_quantity < 5000)""")
 def check_expression_is_true(spark, folder):

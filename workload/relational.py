@@ -17,6 +17,8 @@ from millrace.sources import catalog, files, series, synthetic
 from workload import star
 
 QUERIES: dict[str, tuple] = {}
+#: Order keys of a page of sales; an order takes about 120 bytes of JSON.
+PAGE_KEYS = 50_000
 
 
 def query(sql: str | None = None):
@@ -331,6 +333,22 @@ def date_spine(spark, folder):
     )
 
 
+@query("""
+WITH ends AS (SELECT min(CAST(o_orderdate AS TIMESTAMP)) AS first, max(CAST(o_orderdate AS TIMESTAMP)) AS last FROM orders),
+starts AS (SELECT unnest(generate_series(0, CAST(datediff('month', first, last) AS BIGINT))) AS i, first FROM ends)
+SELECT CAST(date_trunc('month', first) + to_months(CAST(i AS INTEGER)) AS TIMESTAMP) AS date_month, CAST(coalesce(n, 0) AS BIGINT) AS orders,
+       coalesce(total, 0) AS total
+FROM starts LEFT JOIN (SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n, CAST(sum(floor(o_totalprice)) AS BIGINT) AS total
+                       FROM orders GROUP BY 1) ON month = date_trunc('month', first) + to_months(CAST(i AS INTEGER))""")
+def date_spine_months(spark, folder):
+    """Orders of every month from the first order to the last, months without orders included."""
+    per_month = load(spark, folder, "orders").groupBy(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("date_month")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(F.floor("o_totalprice")).alias("total"))
+    ends = per_month.agg(F.min("date_month").alias("first"), F.timestamp_add("MONTH", F.lit(1), F.max("date_month")).alias("end")).first()
+    spine = series.date_spine(spark, "month", str(ends["first"]), str(ends["end"]))
+    return spine.join(per_month, "date_month", "left").na.fill(0, ["orders", "total"])
+
+
 # Scalar functions
 
 
@@ -519,9 +537,9 @@ def stage_json_idempotent(spark, folder):
     ).select(
         F.col("c_name").alias("client"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("purchase_date"),
         F.col("o_orderpriority").alias("product"), F.floor("o_totalprice").cast("int").alias("price"),
-        F.floor(F.col("o_orderkey") / 1000).alias("page"),
+        F.floor(F.col("o_orderkey") / PAGE_KEYS).alias("page"),
     )
-    # A page is an array of at most 1,000 records in a file of its own.
+    # A page is one array in a file of its own: a few megabytes, one task's work, and no more files than that needs.
     pages = sales.groupBy("page").agg(
         F.to_json(F.collect_list(F.struct("client", "purchase_date", "product", "price"))).alias("value")
     )
@@ -589,6 +607,32 @@ def csv_seed(spark, folder):
     return files.with_defaults(seed, {"note": "n/a"})
 
 
+@query("""SELECT c_custkey AS id, c_name AS customer, CAST(c_acctbal AS DECIMAL(12,2)) AS balance FROM customer""")
+def csv_loaded_table(spark, folder):
+    """Customers written as CSV with a header and loaded into a typed table, the columns named by the load."""
+    path, name = new_folder(spark), _name("loaded")
+    load(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(f"{path}/raw")
+    typed = files.read_columns(
+        spark, f"{path}/raw", "c_custkey long, c_name string, c_acctbal decimal(12,2)", ["id", "customer", "balance"])
+    sinks.save_table(typed, name, path=f"{path}/table")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{path}/table")
+
+
+@query("""
+SELECT n_name, count(*) AS customers, CAST(sum(floor(c_acctbal)) AS BIGINT) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
+def named_sources(spark, folder):
+    """A model that knows its inputs by name only; one name is bound to a folder, the other to a table."""
+    path, name = new_folder(spark), _name("nation")
+    load(spark, folder, "customer").select("c_nationkey", "c_acctbal").write.parquet(f"{path}/customer")
+    sinks.save_table(load(spark, folder, "nation").select("n_nationkey", "n_name"), name, path=f"{path}/nation")
+    sources = catalog.Sources(spark, {"sales.customer": f"{path}/customer", "sales.nation": name})
+    customer, nation = sources["sales.customer"], sources["sales.nation"]
+    spent = customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"), F.sum(F.floor("c_acctbal")).alias("balance"))
+    return spent.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "customers", "balance")
+
+
 @query("""
 SELECT event_type, count(*) AS n, count(value) AS n_values FROM (
   SELECT event_type, CASE WHEN event_type = 'purchase' THEN value END AS value FROM events) GROUP BY event_type""")
