@@ -168,6 +168,8 @@ Ranks = Callable[[int, int], Iterable[int]]
 Found = dict[int, tuple[tuple, int, int]]
 # Series that together have no more rows than this are numbered in one task each.
 SHORT_RUN = 1_000_000
+# Up to so many runs of equal values have sketches of their own.
+SKETCHED_RUNS = 32
 # Up to so many tile borders are compared one by one.
 CASE_BORDERS = 32
 
@@ -340,14 +342,13 @@ def ranked_values(df: DataFrame, ranks: dict[str, Ranks]) -> dict[str, tuple[int
                 by_type.setdefault(values.schema[f"x{i}"].dataType.simpleString(), []).append((f"x{i}", f"{c}#{j}", b))
     for group in by_type.values():
         of_series = {series: (columns[int(x[1:])], b) for x, series, b in group}
-        # The brackets of a column don't overlap, so a row is in one of them at most.
-        parts = []
+        # The brackets of a column don't overlap, so a row is in one of them at most. One scan finds the rows of all columns.
+        entries = []
         for x in dict.fromkeys(x for x, _, _ in group):
             in_series = F.coalesce(*[F.when(b.holds(F.col(x), literal[of_series[series][0]]), F.lit(series)) for y, series, b in group if y == x])
-            parts.append(values.select(in_series.alias("series"), F.col(x).alias("value")).where("series is not null"))
-        inside = parts[0]
-        for part in parts[1:]:
-            inside = inside.unionAll(part)
+            entries.append((in_series, F.when(in_series.isNotNull(), F.struct(in_series.alias("series"), F.col(x).alias("value")))))
+        some = values.where(F.coalesce(*[s for s, _ in entries]).isNotNull())
+        inside = some.select(F.inline(F.array_compact(F.array(*[e for _, e in entries]))))
         wanted = {series: [r - b.below for r in b.ranks] for series, (_, b) in of_series.items()}
         for series, at in _at_places(inside, ["value"], wanted, sum(b.inside for _, b in of_series.values())).items():
             c, b = of_series[series]
@@ -408,15 +409,15 @@ def column_ranks(
             percentiles[column, p] = low + (high - low) * (at - int(at))
     # Tiles whose start falls inside a run of equal values: find the key at that place in the run.
     runs: dict[Run, dict[int, int]] = {}
-    rows_in_runs = 0
+    sizes: dict[Run, int] = {}
     for column, ks in tiles.items():
         n, _, found = first[column]
         for start in {s for k in ks for s in tile_starts(n, k)}:
             value, before, equal = found[start]
             if start > before:
-                rows_in_runs += equal if (column, value, ()) not in runs else 0
+                sizes[column, value, ()] = equal
                 runs.setdefault((column, value, ()), {})[start - before] = start
-    first_keys = _split_runs(df, runs, rows_in_runs, list(key))
+    first_keys = _split_runs(df, runs, sizes, list(key))
     borders = {
         (column, k): [
             (first[column][2][start][0], first_keys.get((column, start)))
@@ -432,13 +433,13 @@ Run = tuple[str, float | None, tuple]
 
 
 def _split_runs(
-    df: DataFrame, runs: dict[Run, dict[int, int]], rows: int, key: list[str]
+    df: DataFrame, runs: dict[Run, dict[int, int]], sizes: dict[Run, int], key: list[str]
 ) -> dict[tuple[str, int], tuple]:
     """The key of the row at each wanted place of each run: {(column, rank of that row): first key columns}.
 
-    The first key column is counted and sorted alone, which leaves just the rows that share its value at
-    a wanted place; those are few unless that value is hot, and are ordered by the rest of the key. A key
-    is as long as it takes to tell the row from the one before it.
+    The first key column is ranked alone, by a sketch if it holds integers and else counted and sorted, which leaves just
+    the rows that share its value at a wanted place; those are few unless that value is hot, and are ordered by the rest
+    of the key. A key is as long as it takes to tell the row from the one before it.
     """
     found: dict[tuple[str, int], tuple] = {}
     depth = 0
@@ -446,11 +447,15 @@ def _split_runs(
         if depth == len(key):
             raise DuplicateKey(f"the columns {', '.join(key) or '()'} do not tell all rows apart")
         names = {run: f"run{i}" for i, run in enumerate(runs)}
+        rows = sum(sizes.values())
         rest = key[:1] if depth == 0 and rows > SHORT_RUN else key[depth:]
-        tagged = _tagged(df, names, key[:depth], rest)
-        at = _at_places(tagged, rest, {names[run]: list(places) for run, places in runs.items()}, rows)
+        wanted = {names[run]: list(places) for run, places in runs.items()}
+        if depth == 0 and rows > SHORT_RUN and len(runs) <= SKETCHED_RUNS and isinstance(df.schema[key[0]].dataType, T.IntegralType):
+            at = _key_at_places(df, names, key[0], wanted, sizes)
+        else:
+            at = _at_places(_tagged(df, names, key[:depth], rest), rest, wanted, rows)
         longer: dict[Run, dict[int, int]] = {}
-        rows = 0
+        sizes = {}
         for (column, value, known), places in runs.items():
             for place, rank in places.items():
                 values, before, equal = at[names[column, value, known]][place]
@@ -458,12 +463,28 @@ def _split_runs(
                     found[column, rank] = known + values
                 else:
                     run = (column, value, known + values)
-                    rows += equal if run not in longer else 0
+                    sizes[run] = equal
                     longer.setdefault(run, {})[place - before] = rank
         runs, depth = longer, depth + len(rest)
     return found
 
 
+def _key_at_places(df: DataFrame, names: dict[Run, str], key: str, places: dict[str, list[int]], sizes: dict[Run, int]) -> dict[str, Found]:
+    """As ``order_statistics`` of an integer key column in each run, NULLs first: the key is ranked as a column per run."""
+    in_run = [F.when(_value(df, c).eqNullSafe(F.lit(None) if v is None else _literal(df, c, v)), F.col(key).cast("long")).alias(name) for (c, v, _), name in names.items()]
+
+    def ranks_of(run: Run) -> Ranks:
+        return lambda n, present: {p - (sizes[run] - present) for p in places[names[run]] if p >= sizes[run] - present}
+
+    result: dict[str, Found] = {}
+    ranked = ranked_values(df.select(*in_run), {name: ranks_of(run) for run, name in names.items()})
+    for run, name in names.items():
+        _, present, found = ranked[name]
+        nulls = sizes[run] - present
+        result[name] = {p: ((None,), 0, nulls) if p < nulls else ((found[p - nulls][0],), found[p - nulls][1] + nulls, found[p - nulls][2]) for p in places[name]}
+    return result
+
+
 def _tagged(df: DataFrame, names: dict[Run, str], known: Sequence[str], rest: Sequence[str]) -> DataFrame:
     """The rows of each run with its name as ``series``; there are at most as many runs as tile borders."""
     parts = []

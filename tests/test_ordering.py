@@ -93,6 +93,25 @@ def test_ties_are_split_by_a_key_of_several_columns(spark, monkeypatch, short):
         ordering.column_ranks(df, {}, {"x": [7]}, ["a", "b"])
 
 
+def test_long_runs_are_split_without_ranging_them(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SHORT_RUN", 100)
+    ranged, real = [], ordering._ranged
+
+    def counted(df, order):
+        written = real(df, order)
+        ranged.append(written.rows.count())
+        return written
+
+    monkeypatch.setattr(ordering, "_ranged", counted)
+    # Three values of x, and a key that is NULL in some rows.
+    df = spark.range(30_000).selectExpr("id % 3 * 1.5 as x", "if(id % 50 = 0, null, (id * 7919) % 30011) as a", "id as b").repartition(5)
+    borders = ordering.column_ranks(df, {}, {"x": [7]}, ["a", "b"])[1]["x", 7]
+    got = df.withColumn("tile", ordering.ntile_column(df, "x", borders, ["a", "b"]))
+    want = got.withColumn("want", F.ntile(7).over(Window.orderBy("x", "a", "b")))
+    assert want.where("tile <> want").count() == 0
+    assert sum(ranged) < 3000
+
+
 @pytest.mark.parametrize("fan, parts", [(2, 13), (3, 40)])
 def test_prefixes_over_many_levels(spark, monkeypatch, fan, parts):
     monkeypatch.setattr(ordering, "FAN", fan)

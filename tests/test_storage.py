@@ -183,6 +183,25 @@ def test_source_to_model(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_wide_rows_are_written_once_and_models_scored_together(spark, monkeypatch):
+    written, real = [], training.write_once
+    monkeypatch.setattr(training, "write_once", lambda df: written.append(df) or real(df))
+    rows = [(i, "ab"[i % 2], float(i % 2 * 3 + i % 5), None if i % 7 == 0 else float(i % 11)) for i in range(200)]
+    made = spark.createDataFrame(rows, "k int, c string, x double, y double").withColumn("c_label_encoded", (F.col("c") == "b").cast("long"))
+    prepared = training.prepare(made, ["x", "y"], "c_label_encoded", ["k"])
+    # One form with all columns, NULLs as a feature of their own.
+    assert prepared.names == ("x", "y", "y_is_missing") and [d.columns for d in written] == [["features", "label", "training"]]
+    full = training.fit_forest(prepared, trees=5, depth=4)
+    narrow = prepared.narrowed(["y_is_missing", "x"], full)
+    assert len(written) == 2 and narrow.rows.first()["features"].size == 2
+    for part, (n, share) in training.accuracies(narrow.rows, "hit").items():
+        both = [tuple(r) for r in full.transform(prepared.rows).where(F.col("training") == part).select("prediction", "label").collect()]
+        assert n == len(both) > 0 and share == sum(p == y for p, y in both) / n
+    assert training.accuracies(narrow.rows.where("training"), "hit")[False][0] == 0
+    at = {tuple(r) for r in made.select(F.col("y").isNull().cast("double"), "x").collect()}
+    assert {tuple(r["features"].toArray().tolist()) for r in narrow.rows.collect()} == at
+
+
 @pytest.mark.parametrize("failing", ["one", "two", "three"])
 def test_a_run_goes_on_where_it_stopped(spark, tmp_path, failing):
     made, place = [], str(tmp_path)
