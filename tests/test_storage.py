@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.operators import checks, textsearch
 from millrace.plans import mart, run, staging, training
 from millrace.sinks import versions
@@ -246,3 +247,17 @@ def test_a_version_is_seen_when_it_is_published(spark, tmp_path):
     assert store.read("a").count() == 4 and reader.count() == 2 and store.current("r1") == first
     with pytest.raises(ValueError):
         run.run_steps(spark, str(tmp_path / "x"), "r", [("a", lambda _: spark.range(1)), ("a", lambda _: spark.range(1))])
+
+
+def test_tasks_read_no_more_than_a_bounded_share(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for given, want in (("128m", ("16777216b", "8388608b")), ("1GB", ("16777216b", "8388608b")), ("8m", ("8m", "8m")), ("4096", ("4096", "4096"))):
+            for k in keys:
+                spark.conf.set(k, given)
+            session.tune(spark)
+            assert tuple(spark.conf.get(k) for k in keys) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
